@@ -79,8 +79,20 @@ def in_partitions(partition_col: str, names: Sequence[Any]) -> Column:
     return F.col(partition_col).isin(list(names))
 
 
+def instant(value: datetime | Column) -> Column:
+    """A literal that leaves the compared column as it is, so it can be pushed down.
+
+    A time without zone is a wall-clock time, one with a zone is an instant.
+    """
+    if isinstance(value, Column):
+        return value
+    if value.tzinfo is not None:
+        return F.lit(value)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def between_dates(date_field: str, start: datetime, end: datetime) -> Column:
-    return F.col(date_field).between(F.lit(start), F.lit(end))
+    return F.col(date_field).between(instant(start), instant(end))
 
 
 def in_time(
@@ -88,8 +100,8 @@ def in_time(
 ) -> Column | None:
     """Optional bounds, inclusive at both ends."""
     at = F.col(date_field)
-    bounds = [at >= F.lit(start)] if start is not None else []
-    bounds += [at <= F.lit(end)] if end is not None else []
+    bounds = [at >= instant(start)] if start is not None else []
+    bounds += [at <= instant(end)] if end is not None else []
     return combine(bounds)
 
 
