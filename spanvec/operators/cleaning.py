@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from spanvec.functions.vectors import vec_normalize
 from spanvec.operators.joins import dedup_records
+from spanvec.session import materialize
 
 # Fixed value: rows further from the mean than this many deviations are outliers.
 OUTLIER_CUT = 3.0
@@ -86,7 +87,8 @@ def clean_records(
     outliers: Sequence[str] = (),
 ) -> DataFrame:
     """Deduplicate, fill, drop outliers, scale, in this order."""
-    out = dedup_records(df, duplicates_on or df.columns)
+    # Every step below reads statistics first, so the shuffle is done once.
+    out = materialize(dedup_records(df, duplicates_on or df.columns))
     out = fill_missing(out, fill)
     out = remove_outliers(out, outliers) if outliers else out
     return normalize_numeric(out, normalize) if normalize else out

@@ -14,7 +14,8 @@ from spanvec.errors import SearchError
 from spanvec.functions.text import split_terms, tokens
 from spanvec.functions.vectors import similarity
 from spanvec.operators.filters import FilterSpec, apply_filter, combine, predicate, score_window
-from spanvec.operators.search import DEFAULT_TOP_K, QuerySet, check_top_k, knn
+from spanvec.operators.search import DEFAULT_TOP_K, QuerySet, attach_fields, check_top_k, knn
+from spanvec.session import materialize
 
 # The usual BM25 parameters.
 BM25_K1 = 1.2
@@ -64,6 +65,8 @@ def text_search(
     counts = [(length - F.size(F.array_remove("t", w))).alias(f"tf{i}") for i, w in enumerate(terms)]
     tf = split.select("id", length.alias("length"), *counts)
     held = [F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]
+    # The texts are cut once; what later steps need of them is a few counts.
+    tf = materialize(tf)
     totals = tf.agg(F.count("length").alias("n"), F.avg("length").alias("mean_length"), *held)
     # One row by construction, so it may be read as constants of the scoring.
     stats = totals.first()
@@ -71,10 +74,9 @@ def text_search(
         lambda a, b: a + b,
         [_bm25(F.col(f"tf{i}"), stats[f"df{i}"], stats["n"], stats["mean_length"]) for i in range(len(terms))],
     )
-    # Rows without a term score 0 and sort last. They are dropped after the
-    # limit: a filter before it would be pushed down and cut the text again.
-    scored = tf.select("id", F.coalesce(score, F.lit(0.0)).alias("raw"))
-    top = scored.orderBy(F.col("raw").desc(), F.col("id")).limit(k).where(F.col("raw") > 0)
+    has_term = combine([F.col(f"tf{i}") > 0 for i in range(len(terms))], "or")
+    scored = tf.where(has_term).select("id", score.alias("raw"))
+    top = scored.orderBy(F.col("raw").desc(), F.col("id")).limit(k)
     # The window holds the k rows that are left.
     return top.select("id", (F.col("raw") / F.max("raw").over(Window.partitionBy(F.lit(0)))).alias("score"))
 
@@ -154,8 +156,8 @@ def hybrid_search(
     else:
         results = sort_by_score(side.withColumn("combined_score", F.col("score")))
     if ranking_fields is not None:
-        # The hits are few, so they go to the table: look up, then left join.
-        results = results.join(ranking_fields, "id", "left")
+        fields = [c for c in ranking_fields.columns if c != "id"]
+        results = attach_fields(results, ranking_fields, fields, 2 * spec.top_k)
     if rankings:
         results = rank_weighted(results, rankings)
     return results.where(score_window("combined_score", spec.min_score, spec.max_score))

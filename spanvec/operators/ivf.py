@@ -159,7 +159,7 @@ def ivf_search(
     )
     if not queries.small:
         probes = probe_cells(queries.frame, centroids, nprobe, metric)
-        found = block_topk(rows, probes, k, [metric])
+        found = block_topk(rows, probes, queries.dim, k, [metric])
     else:
         found = _scan_cells(rows, centroids, queries, nprobe, k, metric)
     ranked = keep_topk(found, k, descending=metric != "L2")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from spanvec.errors import SchemaError
 from spanvec.functions.vectors import _col
-from spanvec.operators.joins import anti_delete
 
 
 def _predicate(condition: Column | str) -> Column:
@@ -26,9 +25,13 @@ def delete_where(df: DataFrame, condition: Column | str) -> DataFrame:
     return df.where(~matches(condition))
 
 
-def batch_delete(df: DataFrame, condition: Column | str, id_col: str = "id") -> DataFrame:
-    """Resolve the condition to ids and drop those; ids may repeat or be NULL."""
-    return anti_delete(df, df.where(matches(condition)), id_col)
+def batch_delete(df: DataFrame, condition: Column | str) -> DataFrame:
+    """Delete the ids a condition resolves to.
+
+    The id is the primary key, so those are the matching rows themselves and
+    no join is needed. ``anti_delete`` takes a list of ids from elsewhere.
+    """
+    return delete_where(df, condition)
 
 
 def batch_update(df: DataFrame, condition: Column | str, changes: Mapping[str, Any]) -> DataFrame:
@@ -44,23 +47,37 @@ def batch_update(df: DataFrame, condition: Column | str, changes: Mapping[str, A
     )
 
 
+def absent_rows(changes: DataFrame, df: DataFrame, id_col: str = "id") -> DataFrame:
+    """The changes whose id the collection does not hold.
+
+    Only ids of the collection are read, and few changes are sent to it
+    rather than shuffling it.
+    """
+    known = df.select(id_col).join(changes.select(id_col), id_col, "left_semi")
+    return changes.join(known, id_col, "left_anti")
+
+
 def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
     """Replace rows of equal id by ``changes`` and add the new ones.
 
     ``changes`` holds an id once. Columns it lacks keep their value on
-    existing rows and are NULL on new ones.
+    existing rows and are NULL on new ones. A full outer join would always
+    shuffle the collection; a left join with the additions appended does not
+    when the changes are few.
     """
     extra = [c for c in changes.columns if c not in df.columns]
     if extra:
         raise SchemaError(f"unknown field: {', '.join(extra)}")
-    old, new = df.alias("o"), changes.withColumn("_new", F.lit(True)).alias("n")
-    joined = old.join(new, F.col(f"o.{id_col}") == F.col(f"n.{id_col}"), "full_outer")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    typed = changes.select([F.col(c).cast(kinds[c]).alias(c) for c in changes.columns])
+    old, new = df.alias("o"), typed.withColumn("_new", F.lit(True)).alias("n")
+    joined = old.join(new, F.col(f"o.{id_col}") == F.col(f"n.{id_col}"), "left")
 
     def pick(f: str) -> Column:
-        if f == id_col:
-            return F.coalesce(f"n.{f}", f"o.{f}").alias(f)
-        if f not in changes.columns:
+        if f == id_col or f not in changes.columns:
             return F.col(f"o.{f}").alias(f)
         return F.when(F.col("n._new"), F.col(f"n.{f}")).otherwise(F.col(f"o.{f}")).alias(f)
 
-    return joined.select([pick(f) for f in df.columns])
+    replaced = joined.select([pick(f) for f in df.columns])
+    added = absent_rows(typed, df, id_col)
+    return replaced.unionByName(added, allowMissingColumns=True)

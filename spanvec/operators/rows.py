@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
+SALTS = 256
+
+
+def top_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str = "rank"
+) -> DataFrame:
+    """The first ``n`` rows of each key with their rank.
+
+    For ``rank <= n`` Spark cuts every map task to ``n`` rows per key before
+    the shuffle, so a key that holds most rows does not meet in one task. It
+    does so up to a limit on ``n``; beyond that the key is first cut down in
+    salted parts, whose best ``n`` hold the best ``n`` of the whole.
+    """
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT_KEY, "1000")):
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = salted.withColumn("_part", F.row_number().over(part)).where(F.col("_part") <= n)
+        df = df.drop("_salt", "_part")
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(whole)).where(F.col(out) <= n)
+
+
 def global_row_number(df: DataFrame, key: str, out: str = "pos") -> DataFrame:
     """1-based position of each row in the order of a unique numeric key.
 
@@ -16,7 +41,8 @@ def global_row_number(df: DataFrame, key: str, out: str = "pos") -> DataFrame:
     per range, is ordered as a whole.
     """
     spark = df.sparkSession
-    ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Several ranges per task even out how they fall on the tasks.
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / ranges for i in range(1, ranges)]
     keyed = df.select(F.col(key).cast("double").alias("_key"))
     cuts = sorted(set(keyed.approxQuantile("_key", steps, 1.0 / (4 * ranges))))

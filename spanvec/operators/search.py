@@ -14,11 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanvec.errors import SearchError
 from spanvec.functions.vectors import as_double, similarity
+from spanvec.operators.rows import top_per_key
 from spanvec.operators.topk import RunningTopK, exact, matrix
 
 # The metric names, and the default result size.
@@ -28,8 +29,6 @@ DEFAULT_TOP_K = 10
 # A query block travels to every task while it is at most this large.
 BLOCK_QUERIES = 4096
 BLOCK_BYTES = 64 << 20
-# Rows of one collection block when both sides are cut into blocks.
-BLOCK_ROWS = 65_536
 # Hits joined back to their collection are broadcast up to this many rows.
 BROADCAST_HITS = 1_000_000
 
@@ -54,6 +53,7 @@ class QuerySet:
     """Query vectors, with a block of them when it is small enough to send."""
 
     frame: DataFrame
+    dim: int
     ids: np.ndarray | None
     block: np.ndarray | None
 
@@ -74,9 +74,11 @@ class QuerySet:
             F.col(id_col).cast("bigint").alias("query_id"), as_double(vector_col).alias("vector")
         )
         head = frame.limit(max_queries + 1).toArrow()
+        first = head["vector"].slice(0, 1).to_pylist()
+        dim = len(first[0]) if first else 0
         if head.num_rows > max_queries or head.nbytes > max_bytes:
-            return cls(frame, None, None)
-        return cls(frame, head["query_id"].to_numpy(), matrix(head["vector"]))
+            return cls(frame, dim, None, None)
+        return cls(frame, dim, head["query_id"].to_numpy(), matrix(head["vector"]))
 
     @classmethod
     def literal(cls, spark: SparkSession, vectors: Sequence[Sequence[float]]) -> QuerySet:
@@ -98,14 +100,9 @@ def keep_topk(
     keys: Sequence[str] = ("query_id",),
     score: str = "distance",
 ) -> DataFrame:
-    """The first ``k`` of each key by score, ties by id, with their rank.
-
-    ``rank <= k`` lets Spark cut each map task to ``k`` rows per key before
-    the shuffle, so a key that holds most rows does not meet in one task.
-    """
+    """The first ``k`` of each key by score, ties by id, with their rank."""
     best = F.col(score).desc() if descending else F.col(score).asc()
-    order = Window.partitionBy(*keys).orderBy(best, F.col("id").asc())
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return top_per_key(hits, keys, [best, F.col("id").asc()], k)
 
 
 def knn(
@@ -192,7 +189,8 @@ def _partial(
     slim = _slim(collection, id_col, vector_col)
     schema = HITS + ", metric string"
     if not queries.small:
-        return _by_blocks(slim, queries.frame, k, metrics)
+        one = slim.withColumn("cell", F.lit(0)), queries.frame.withColumn("cell", F.lit(0))
+        return block_topk(*one, queries.dim, k, metrics)
     qids, block = queries.ids, queries.block
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,9 +224,10 @@ def cut_blocks(
     """Give both sides block numbers so that equal ``key, lb, rb`` meet once.
 
     The number of blocks of a key follows from its own row count, so a key
-    that holds most rows is spread over many groups of bounded size.
+    that holds most rows is spread over many groups of bounded size. There is
+    one size per key, and a key is a cell: few enough to send to every task.
     """
-    sizes = (
+    sizes = F.broadcast(
         left.groupBy(key)
         .agg(F.ceil(F.count("*") / left_rows).cast("int").alias("nl"))
         .join(right.groupBy(key).agg(F.ceil(F.count("*") / right_rows).cast("int").alias("nr")), key)
@@ -246,16 +245,13 @@ def cut_blocks(
     return lcut, rcut
 
 
-def _by_blocks(slim: DataFrame, queries: DataFrame, k: int, metrics: Sequence[str]) -> DataFrame:
-    left = slim.withColumn("cell", F.lit(0))
-    right = queries.withColumn("cell", F.lit(0))
-    return block_topk(left, right, k, metrics)
-
-
-def block_topk(left: DataFrame, right: DataFrame, k: int, metrics: Sequence[str]) -> DataFrame:
+def block_topk(
+    left: DataFrame, right: DataFrame, dim: int, k: int, metrics: Sequence[str]
+) -> DataFrame:
     """Partial top-k of every pair of blocks that share a cell."""
     keys = ("cell", "lb", "rb")
-    lcut, rcut = cut_blocks(left, right, "cell", BLOCK_ROWS, BLOCK_QUERIES)
+    rows = max(1, BLOCK_BYTES // (8 * max(1, dim)))
+    lcut, rcut = cut_blocks(left, right, "cell", rows, min(BLOCK_QUERIES, rows))
 
     def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
         out = []

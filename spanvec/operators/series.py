@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanvec.operators.filters import apply_filter, in_time
+from spanvec.operators.rows import top_per_key
 
 
 def select_series(
@@ -34,18 +35,13 @@ def latest_per_type(
 
 
 def last_n(df: DataFrame, type_col: str, at: str, tie: str, n: int) -> DataFrame:
-    """The newest ``n`` rows per type with their rank.
-
-    Spark cuts every map task to ``n`` rows per type before the shuffle.
-    """
-    order = Window.partitionBy(type_col).orderBy(F.col(at).desc(), F.col(tie).desc())
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    """The newest ``n`` rows per type with their rank."""
+    return top_per_key(df, [type_col], [F.col(at).desc(), F.col(tie).desc()], n)
 
 
 def newest_snapshots(listing: DataFrame, keep: int, collection: str = "collection") -> DataFrame:
     """The newest ``keep`` names of each collection; a name ends with its stamp."""
-    order = Window.partitionBy(collection).orderBy(F.col("name").desc())
-    return listing.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    return top_per_key(listing, [collection], [F.col("name").desc()], keep)
 
 
 def expired_snapshots(listing: DataFrame, keep: int, collection: str = "collection") -> DataFrame:

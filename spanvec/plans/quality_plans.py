@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from spanvec.functions.vectors import vec_concat
@@ -121,8 +122,6 @@ def check_custom(spark, sf):
 
 @query("check_custom_udf", f"WITH {RECORDS} SELECT id, CASE WHEN length(source) <> 5 THEN 'Custom validation failed for field source' END AS error FROM rec")
 def check_custom_udf(spark, sf):
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def five(values: pd.Series) -> pd.Series:
         return values.str.len() == 5

@@ -371,7 +371,7 @@ def delete_where(spark, sf):
 @query("batch_delete", "SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (o_totalprice < 50000)")
 def batch_delete(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return mutations.batch_delete(orders, "o_totalprice < 50000", "o_orderkey").drop("o_totalprice")
+    return mutations.batch_delete(orders, "o_totalprice < 50000").drop("o_totalprice")
 
 
 @query("batch_update", "SELECT vec_id, CASE WHEN label < 5 THEN 999 ELSE label END AS label FROM embeddings")

@@ -7,8 +7,9 @@ changes its settings.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -28,6 +29,9 @@ def local_session(cpus: int | str = 8, app: str = "spanvec") -> SparkSession:
     )
 
 
+_own_dirs: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -40,4 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="spanvec-")
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.TemporaryDirectory(prefix="spanvec-")
+    return _own_dirs[app].name
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For a result several later steps need: they read it instead of computing
+    it again, and a lost executor takes none of it along.
+    """
+    path = f"{shared_dir(df.sparkSession)}/spanvec-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -57,11 +57,15 @@ class SnapshotTable:
         path = self._path()
         return self.spark.read.schema(schema_of(self._current()[2])).parquet(path)
 
-    def replace(self, state: DataFrame) -> int:
-        """Write a whole new state and make it current."""
+    def replace(self, state: DataFrame, in_place: bool = False) -> int:
+        """Write a whole new state and make it current.
+
+        ``in_place`` says that rows stay in the partition they were read
+        from: the files then need no shuffle to come out one per partition.
+        """
         version = self.version() + 1
         path = f"{self.root}/data/{version}"
-        self._write(state, path, "overwrite")
+        self._write(state, path, "overwrite", in_place)
         # One short row: the switch that makes the new snapshot visible.
         row = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
@@ -72,19 +76,21 @@ class SnapshotTable:
         row.coalesce(1).write.mode("append").json(f"{self.root}/versions")
         return version
 
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
+    def _write(self, df: DataFrame, path: str, mode: str, in_place: bool = False) -> None:
+        writer = df.write.mode(mode)
         if self.partition_by:
             # Spark splits a large partition over tasks and packs small ones.
-            df = df.hint("rebalance", *self.partition_by)
-            df.write.mode(mode).partitionBy(*self.partition_by).parquet(path)
-        else:
-            df.write.mode(mode).parquet(path)
+            spread = df if in_place else df.hint("rebalance", *self.partition_by)
+            writer = spread.write.mode(mode).partitionBy(*self.partition_by)
+        writer.parquet(path)
 
-    def _rewrite(self, state: DataFrame, count: Column, source: DataFrame) -> int:
+    def _rewrite(
+        self, state: DataFrame, count: Column, source: DataFrame, in_place: bool = False
+    ) -> int:
         """Publish ``state`` and return an aggregate over ``source`` rows."""
         counted = int(source.agg(count.alias("n")).first().n)
         if counted:
-            self.replace(state)
+            self.replace(state, in_place)
         return counted
 
     # -- mutations ---------------------------------------------------------
@@ -121,12 +127,13 @@ class SnapshotTable:
     def delete(self, condition: Column | str) -> int:
         df = self.read()
         hit = mutations.matches(condition)
-        return self._rewrite(mutations.delete_where(df, condition), F.count_if(hit), df)
+        return self._rewrite(mutations.delete_where(df, condition), F.count_if(hit), df, True)
 
     def update(self, condition: Column | str, changes: Mapping[str, Any]) -> int:
         df = self.read()
         state = mutations.batch_update(df, condition, changes)
-        return self._rewrite(state, F.count_if(mutations.matches(condition)), df)
+        stays = not set(changes) & set(self.partition_by)
+        return self._rewrite(state, F.count_if(mutations.matches(condition)), df, stays)
 
     def upsert(self, changes: DataFrame) -> int:
         df = self.read()
@@ -135,7 +142,7 @@ class SnapshotTable:
     def drop_partition(self, names: Sequence[object]) -> int:
         df, column = self.read(), self.partition_by[0]
         gone = F.count_if(F.col(column).isin(list(names)))
-        return self._rewrite(drop_partition(df, column, names), gone, df)
+        return self._rewrite(drop_partition(df, column, names), gone, df, True)
 
     def compact(self, deleted: Column | str | None = None, files: int | None = None) -> DataFrame:
         """Rewrite without deleted rows and in fewer files; report both states.

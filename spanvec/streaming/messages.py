@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanvec.operators.mutations import absent_rows
+
 # The message schema, its defaults and the known operations.
 MESSAGE = (
     "vectors array<array<double>>, metadata array<map<string,string>>, "
@@ -85,22 +87,20 @@ def apply_operations(
     Insert and update put the given fields, delete removes the row. Doing it
     twice gives the same state, so a replayed batch does no harm.
     """
-    gone = F.col("p.operation") == "delete"
+    touched = [c for c in state.columns if c in fields]
     s, p = state.alias("s"), operations.alias("p")
-    joined = s.join(p, F.col(f"s.{id_col}") == F.col(f"p.{id_col}"), "full_outer")
-    kept = joined.where(~F.coalesce(gone, F.lit(False)))
+    joined = s.join(p, F.col(f"s.{id_col}") == F.col(f"p.{id_col}"), "left")
+    kept = joined.where(~F.coalesce(F.col("p.operation") == "delete", F.lit(False)))
     given = F.col(f"p.{id_col}").isNotNull()
-    out = [F.coalesce(f"p.{id_col}", f"s.{id_col}").alias(id_col)]
-    for c in state.columns:
-        if c == id_col:
-            continue
-        if c in fields:
-            # An update that does not name a field leaves it alone.
-            new = F.when(
-                F.col("p.operation") == "update", F.coalesce(f"p.{c}", f"s.{c}")
-            ).otherwise(F.col(f"p.{c}"))
-            out.append(F.when(given, new).otherwise(F.col(f"s.{c}")).alias(c))
-        else:
-            out.append(F.col(f"s.{c}").alias(c))
-    return kept.select(*out)
 
+    def value(c: str) -> Column:
+        if c not in touched:
+            return F.col(f"s.{c}").alias(c)
+        # An update that does not name a field leaves it alone.
+        partial = F.coalesce(f"p.{c}", f"s.{c}")
+        new = F.when(F.col("p.operation") == "update", partial).otherwise(F.col(f"p.{c}"))
+        return F.when(given, new).otherwise(F.col(f"s.{c}")).alias(c)
+
+    puts = operations.where(F.col("operation") != "delete").select(id_col, *touched)
+    added = absent_rows(puts, state, id_col)
+    return kept.select([value(c) for c in state.columns]).unionByName(added, allowMissingColumns=True)
