@@ -29,6 +29,15 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def run_once(udf):
+    """A Python function Spark may not repeat in a filter derived from its result.
+
+    A deterministic one is copied into every predicate on its column, which
+    runs it again for each row.
+    """
+    return udf.asNondeterministic()
+
+
 def vec_dim(v: Column | str) -> Column:
     c = _col(v)
     return F.when(c.isNotNull(), F.size(c))

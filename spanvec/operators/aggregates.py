@@ -11,13 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanvec.functions.vectors import as_double
-
 
 def vector_mean_parts(df: DataFrame, keys: Sequence[str], vector_col: str = "vector") -> DataFrame:
     """Element-wise mean per key, one row per (key, position from 1)."""
-    parts = df.select(*keys, F.posexplode(as_double(vector_col)).alias("p", "x"))
-    means = parts.groupBy(*keys, "p").agg(F.avg("x").alias("mean"))
+    parts = df.select(*keys, F.posexplode(vector_col).alias("p", "x"))
+    means = parts.groupBy(*keys, "p").agg(F.avg(F.col("x").cast("double")).alias("mean"))
     return means.select(*keys, (F.col("p") + 1).alias("pos"), "mean")
 
 

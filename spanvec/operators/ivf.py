@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanvec.errors import SearchError
-from spanvec.functions.vectors import as_double, vec_finite, vec_norm
+from spanvec.functions.vectors import as_double, run_once, vec_finite, vec_norm
 from spanvec.operators.search import (
     DEFAULT_TOP_K,
     HITS,
@@ -76,7 +76,6 @@ def assign_cells(
     cids, block = centroids.ids, centroids.block
     check_metric(metric)
 
-    @F.arrow_udf("int")
     def nearest(vectors: pa.Array) -> pa.Array:
         usable = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))
         # Here rows ask and centroids answer: the nearest one per row.
@@ -88,7 +87,8 @@ def assign_cells(
         cell[at], missing[at] = best.id, False
         return pa.array(cell, pa.int32(), mask=missing)
 
-    return collection.withColumn("centroid_id", nearest(F.col(vector_col)))
+    cell_of = run_once(F.arrow_udf(nearest, "int"))
+    return collection.withColumn("centroid_id", cell_of(F.col(vector_col)))
 
 
 def write_index(indexed: DataFrame, path: str) -> None:

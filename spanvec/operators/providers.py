@@ -18,59 +18,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanvec.functions.text import label_score, metadata_lines, tokens
+from spanvec.functions.vectors import run_once
 
-TokenEmbedder = Callable[[Sequence[Sequence[str]]], np.ndarray]
+TextEmbedder = Callable[[Sequence[str]], np.ndarray]
 TextProvider = Callable[[Sequence[str]], Sequence[str]]
 ItemFunction = Callable[[pd.DataFrame], pd.DataFrame]
 
 
-def hashed_tokens(dim: int) -> TokenEmbedder:
-    """Counts of hashed tokens, scaled to norm 1; a text without tokens is NULL.
+def hashed_tokens(lists: pa.Array, dim: int) -> np.ndarray:
+    """Counts of hashed tokens per row, scaled to norm 1; no tokens gives NaN.
 
     The position of a token is the first eight hex digits of its MD5 modulo
-    ``dim``, so every engine gives the same vector.
+    ``dim``, so every engine gives the same vector. Each distinct token of a
+    batch is hashed once.
     """
-    seen: dict[str, int] = {}
-
-    def place(token: str) -> int:
-        at = seen.get(token)
-        if at is None:
-            at = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
-            if len(seen) < 1_000_000:
-                seen[token] = at
-        return at
-
-    def embed(texts: Sequence[Sequence[str]]) -> np.ndarray:
-        out = np.zeros((len(texts), dim))
-        for row, words in enumerate(texts):
-            if len(words):
-                out[row] = np.bincount([place(w) for w in words], minlength=dim)
-        norms = np.sqrt((out * out).sum(1, keepdims=True))
-        return np.divide(out, norms, out=np.full_like(out, np.nan), where=norms > 0)
-
-    return embed
+    words = lists.flatten().dictionary_encode()
+    place = np.array(
+        [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim for w in words.dictionary.to_pylist()],
+        dtype=np.int64,
+    )
+    lengths = lists.value_lengths().fill_null(0).to_numpy()
+    row = np.repeat(np.arange(len(lists)), lengths)
+    cells = row * dim + place[words.indices.to_numpy()]
+    counts = np.bincount(cells, minlength=len(lists) * dim).reshape(len(lists), dim)
+    norms = np.sqrt((counts * counts).sum(1, keepdims=True))
+    return np.divide(counts, norms, out=np.full(counts.shape, np.nan), where=norms > 0)
+
+
+def vectors_to_arrow(block: np.ndarray) -> pa.Array:
+    """A matrix as a list column; a row with a NaN is NULL."""
+    rows, dim = block.shape
+    offsets = np.arange(0, (rows + 1) * dim, dim, dtype=np.int32)
+    missing = pa.array(np.isnan(block).any(axis=1))
+    return pa.ListArray.from_arrays(offsets, pa.array(block.ravel()), mask=missing)
 
 
 def embed_text(
     df: DataFrame,
     text_col: str,
     dim: int,
-    provider: Callable[[], TokenEmbedder] | None = None,
+    provider: Callable[[], TextEmbedder] | None = None,
     out: str = "vector",
 ) -> DataFrame:
-    """The frame with a vector per text. Only the tokens go to the provider."""
-    factory = provider or (lambda: hashed_tokens(dim))
+    """The frame with a vector per text.
 
-    @F.arrow_udf("array<double>")
-    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        call = factory()
+    A provider gets the texts of a batch and returns a (texts, dim) matrix.
+    Without one the vector counts the hashed tokens of the whole text.
+    """
+
+    def hashed(lists: pa.Array) -> pa.Array:
+        return vectors_to_arrow(hashed_tokens(lists, dim))
+
+    def asked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        call = provider()
         for batch in batches:
-            block = call(batch.fill_null([]).to_pylist() if batch.null_count else batch.to_pylist())
-            offsets = np.arange(0, (len(block) + 1) * dim, dim, dtype=np.int32)
-            missing = pa.array(np.isnan(block).any(axis=1))
-            yield pa.ListArray.from_arrays(offsets, pa.array(block.ravel()), mask=missing)
+            block = np.asarray(call(batch.to_pylist()), dtype=np.float64)
+            if block.shape != (len(batch), dim):
+                raise ValueError(f"the provider gave {block.shape}, not {(len(batch), dim)}")
+            yield vectors_to_arrow(block)
 
-    return df.withColumn(out, embed(tokens(text_col)))
+    if provider is None:
+        return df.withColumn(out, run_once(F.arrow_udf(hashed, "array<double>"))(tokens(text_col)))
+    return df.withColumn(out, run_once(F.arrow_udf(asked, "array<double>"))(F.col(text_col)))
 
 
 def call_provider(
@@ -78,13 +87,12 @@ def call_provider(
 ) -> DataFrame:
     """The frame with the provider's text answer to each text."""
 
-    @F.pandas_udf("string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         call = provider()
         for batch in batches:
             yield pd.Series(list(call(batch.tolist())), dtype="object")
 
-    return df.withColumn(out, ask(F.col(text_col)))
+    return df.withColumn(out, run_once(F.pandas_udf(ask, "string"))(F.col(text_col)))
 
 
 def extract_metadata(

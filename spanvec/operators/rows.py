@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -24,7 +25,9 @@ def top_per_key(
     salted parts, whose best ``n`` hold the best ``n`` of the whole.
     """
     if n > int(df.sparkSession.conf.get(GROUP_LIMIT_KEY, "1000")):
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        # Spark does not hash maps and variants.
+        plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)))
         part = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = salted.withColumn("_part", F.row_number().over(part)).where(F.col("_part") <= n)
         df = df.drop("_salt", "_part")

@@ -6,8 +6,10 @@ changes its settings.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,21 @@ def local_session(cpus: int | str = 8, app: str = "spanvec") -> SparkSession:
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, wherever the driver found it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="spanvec-code-")) / "spanvec_code"
+    made = shutil.make_archive(str(archive), "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(made)
+    _shipped.add(app)
+
+
 _own_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
