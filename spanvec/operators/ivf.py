@@ -35,12 +35,14 @@ DEFAULT_NLIST = 1024
 DEFAULT_NPROBE = 10
 INDEX_TYPE = "IVF_FLAT"
 
+# Centroids travel to every task.
 MAX_CELLS = 65_536
+MAX_CELL_BYTES = 128 << 20
 
 
 def centroid_set(centroids: DataFrame, id_col: str = "centroid_id", vector_col: str = "vector") -> QuerySet:
     """Centroids as a block; more than the limit is an error, not a slow plan."""
-    found = QuerySet.of(centroids, id_col, vector_col, max_queries=MAX_CELLS, max_bytes=1 << 29)
+    found = QuerySet.of(centroids, id_col, vector_col, max_queries=MAX_CELLS, max_bytes=MAX_CELL_BYTES)
     if not found.small:
         raise SearchError(f"an index holds at most {MAX_CELLS} cells")
     return found
@@ -53,11 +55,18 @@ def train_centroids(
     iterations: int = 20,
     seed: int = 42,
     vector_col: str = "vector",
+    fraction: float = 1.0,
 ) -> DataFrame:
-    """``centroid_id, vector`` from k-means over every rankable vector."""
+    """``centroid_id, vector`` from k-means over the rankable vectors.
+
+    Training reads its rows once per iteration. On a large table a fraction of
+    them places the centroids as well; every row is still assigned to a cell.
+    """
     usable = collection.where(vec_finite(vector_col))
     if check_metric(metric) == "COSINE":
         usable = usable.where(vec_norm(vector_col) > 0)
+    if fraction < 1.0:
+        usable = usable.sample(fraction, seed)
     points = usable.select(array_to_vector(as_double(vector_col)).alias("features"))
     distance = "cosine" if metric == "COSINE" else "euclidean"
     model = KMeans(k=nlist, maxIter=iterations, seed=seed, distanceMeasure=distance).fit(points)

@@ -84,7 +84,13 @@ class QuerySet:
     def literal(cls, spark: SparkSession, vectors: Sequence[Sequence[float]]) -> QuerySet:
         """Vectors given by the caller; ``query_id`` is their position."""
         rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
-        return cls.of(spark.createDataFrame(rows, "query_id bigint, vector array<double>"))
+        frame = spark.createDataFrame(rows, "query_id bigint, vector array<double>")
+        if len({len(v) for _, v in rows}) != 1:
+            raise SearchError("query vectors must have one dimension")
+        block = np.array([v for _, v in rows])
+        if len(rows) > BLOCK_QUERIES or block.nbytes > BLOCK_BYTES:
+            return cls(frame, block.shape[1], None, None)
+        return cls(frame, block.shape[1], np.arange(len(rows)), block)
 
 
 def _slim(collection: DataFrame, id_col: str, vector_col: str, *extra: Column) -> DataFrame:
@@ -189,8 +195,7 @@ def _partial(
     slim = _slim(collection, id_col, vector_col)
     schema = HITS + ", metric string"
     if not queries.small:
-        one = slim.withColumn("cell", F.lit(0)), queries.frame.withColumn("cell", F.lit(0))
-        return block_topk(*one, queries.dim, k, metrics)
+        return block_topk(slim, queries.frame, queries.dim, k, metrics)
     qids, block = queries.ids, queries.block
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,28 +224,35 @@ def hits_batch(qids: np.ndarray, best: RunningTopK) -> pa.RecordBatch:
 
 
 def cut_blocks(
-    left: DataFrame, right: DataFrame, key: str, left_rows: int, right_rows: int
+    left: DataFrame, right: DataFrame, left_rows: int, right_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Give both sides block numbers so that equal ``key, lb, rb`` meet once.
+    """Give both sides block numbers so that equal ``cell, lb, rb`` meet once.
 
-    The number of blocks of a key follows from its own row count, so a key
-    that holds most rows is spread over many groups of bounded size. There is
-    one size per key, and a key is a cell: few enough to send to every task.
+    The number of blocks of a cell follows from its own row count, so a cell
+    that holds most rows is spread over many groups of bounded size. Frames
+    without cells are one cell as a whole.
     """
-    sizes = F.broadcast(
-        left.groupBy(key)
-        .agg(F.ceil(F.count("*") / left_rows).cast("int").alias("nl"))
-        .join(right.groupBy(key).agg(F.ceil(F.count("*") / right_rows).cast("int").alias("nr")), key)
-    )
-    lcut = left.join(sizes, key).select(
+    if "cell" not in left.columns:
+        nl = F.lit(max(1, -(-left.count() // left_rows)))
+        nr = F.lit(max(1, -(-right.count() // right_rows)))
+        left, right = left.withColumn("cell", F.lit(0)), right.withColumn("cell", F.lit(0))
+        lsized, rsized = left, right
+    else:
+        # One row per cell of an index, of which there are few.
+        lsizes = left.groupBy("cell").agg(F.ceil(F.count("*") / left_rows).alias("nl"))
+        rsizes = right.groupBy("cell").agg(F.ceil(F.count("*") / right_rows).alias("nr"))
+        sizes = F.broadcast(lsizes.join(rsizes, "cell"))
+        lsized, rsized = left.join(sizes, "cell"), right.join(sizes, "cell")
+        nl, nr = F.col("nl"), F.col("nr")
+    lcut = lsized.select(
         *left.columns,
-        F.pmod(F.xxhash64("id"), "nl").cast("int").alias("lb"),
-        F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("rb"),
+        F.pmod(F.xxhash64("id"), nl).cast("int").alias("lb"),
+        F.explode(F.sequence(F.lit(0), nr.cast("int") - 1)).alias("rb"),
     )
-    rcut = right.join(sizes, key).select(
+    rcut = rsized.select(
         *right.columns,
-        F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("lb"),
-        F.pmod(F.xxhash64("query_id"), "nr").cast("int").alias("rb"),
+        F.explode(F.sequence(F.lit(0), nl.cast("int") - 1)).alias("lb"),
+        F.pmod(F.xxhash64("query_id"), nr).cast("int").alias("rb"),
     )
     return lcut, rcut
 
@@ -248,10 +260,10 @@ def cut_blocks(
 def block_topk(
     left: DataFrame, right: DataFrame, dim: int, k: int, metrics: Sequence[str]
 ) -> DataFrame:
-    """Partial top-k of every pair of blocks that share a cell."""
+    """Partial top-k of every pair of blocks that share a cell, if there are cells."""
     keys = ("cell", "lb", "rb")
     rows = max(1, BLOCK_BYTES // (8 * max(1, dim)))
-    lcut, rcut = cut_blocks(left, right, "cell", rows, min(BLOCK_QUERIES, rows))
+    lcut, rcut = cut_blocks(left, right, rows, min(BLOCK_QUERIES, rows))
 
     def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
         out = []

@@ -11,6 +11,7 @@ def _load() -> None:
         metric_plans,
         quality_plans,
         search_plans,
+        storage_plans,
         table_plans,
     )
 

@@ -63,9 +63,11 @@ class SnapshotTable:
         ``in_place`` says that rows stay in the partition they were read
         from: the files then need no shuffle to come out one per partition.
         """
-        version = self.version() + 1
+        return self._publish(state, self.version() + 1, "overwrite", in_place)
+
+    def _publish(self, state: DataFrame, version: int, mode: str, in_place: bool = False) -> int:
         path = f"{self.root}/data/{version}"
-        self._write(state, path, "overwrite", in_place)
+        self._write(state, path, mode, in_place)
         # One short row: the switch that makes the new snapshot visible.
         row = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
@@ -96,7 +98,8 @@ class SnapshotTable:
     # -- mutations ---------------------------------------------------------
 
     def create(self, df: DataFrame) -> int:
-        return self.replace(df)
+        """Write the first version; an existing collection is left alone with an error."""
+        return self._publish(df, 1, "errorifexists")
 
     def insert(self, rows: DataFrame, order_by: str | None = None) -> int:
         """Append rows and return their number.

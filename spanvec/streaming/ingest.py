@@ -92,10 +92,13 @@ def stream_ingest(
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
+        # Read once from the source, used for the rows and for the rejects.
+        batch = batch.persist()
         rows = stream_explode(stream_parse(_ordered(batch)))
         rows.write.mode("overwrite").partitionBy("collection").parquet(f"{root}/rows/batch_id={batch_id}")
         rejects = stream_rejects(batch).select("value", "reason")
         rejects.write.mode("overwrite").parquet(f"{root}/rejects/batch_id={batch_id}")
+        batch.unpersist()
 
     return _each_batch(source, work, checkpoint, available_now)
 
