@@ -57,20 +57,26 @@ def absent_rows(changes: DataFrame, df: DataFrame, id_col: str = "id") -> DataFr
     return changes.join(known, id_col, "left_anti")
 
 
-def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
-    """Replace rows of equal id by ``changes`` and add the new ones.
-
-    ``changes`` holds an id once. Columns it lacks keep their value on
-    existing rows and are NULL on new ones. A full outer join would always
-    shuffle the collection; a left join with the additions appended does not
-    when the changes are few.
-    """
-    extra = [c for c in changes.columns if c not in df.columns]
+def like(rows: DataFrame, df: DataFrame) -> DataFrame:
+    """Rows in the columns and types of a collection; absent columns are NULL."""
+    extra = [c for c in rows.columns if c not in df.columns]
     if extra:
         raise SchemaError(f"unknown field: {', '.join(extra)}")
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    typed = changes.select([F.col(c).cast(kinds[c]).alias(c) for c in changes.columns])
-    old, new = df.alias("o"), typed.withColumn("_new", F.lit(True)).alias("n")
+    return rows.select(
+        [
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+def replace_rows(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows of a collection with the fields of a change of equal id put in.
+
+    ``changes`` holds an id once; columns it lacks keep their value.
+    """
+    old = df.alias("o")
+    new = like(changes, df).withColumn("_new", F.lit(True)).alias("n")
     joined = old.join(new, F.col(f"o.{id_col}") == F.col(f"n.{id_col}"), "left")
 
     def pick(f: str) -> Column:
@@ -78,6 +84,14 @@ def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
             return F.col(f"o.{f}").alias(f)
         return F.when(F.col("n._new"), F.col(f"n.{f}")).otherwise(F.col(f"o.{f}")).alias(f)
 
-    replaced = joined.select([pick(f) for f in df.columns])
-    added = absent_rows(typed, df, id_col)
-    return replaced.unionByName(added, allowMissingColumns=True)
+    return joined.select([pick(f) for f in df.columns])
+
+
+def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
+    """Replace rows of equal id by ``changes`` and add the new ones.
+
+    A full outer join would always shuffle the collection; a left join with
+    the additions appended does not when the changes are few.
+    """
+    added = like(absent_rows(changes, df, id_col), df)
+    return replace_rows(df, changes, id_col).unionByName(added)

@@ -1,29 +1,40 @@
-"""Collections as Parquet snapshots with a published version.
+"""Collections as Parquet folders with published versions.
 
 Plain Parquet has no DELETE or MERGE and cannot be overwritten while it is
-read. A mutation therefore writes the new state to a new snapshot folder and
-publishes it last by appending one row to a small version table; a job that
-fails leaves the old version current. One writer at a time.
+read. A mutation therefore writes new files beside the old ones, under a name
+of its own, and publishes them last by appending one row to a small version
+table. A job that fails leaves the old version current, and its files unseen.
+
+A version says which writes are live and which partitions of each have been
+replaced. On a partitioned table a mutation rewrites only the partitions it
+touches, and a read lists only live folders. One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanvec.errors import CollectionError
 from spanvec.operators import mutations
-from spanvec.operators.collections import compact_report, drop_partition
+from spanvec.operators.collections import compact_report
+from spanvec.operators.joins import semi_select_ids
 from spanvec.operators.rows import assign_ids
+from spanvec.session import materialize
 
-VERSIONS = "version bigint, path string, schema string, at timestamp"
+VERSIONS = "version bigint, path string, schema string, live map<string,array<string>>, at timestamp"
+# The folder level that tells the writes apart.
+WRITE = "_write"
+# Partitions a mutation may list one by one.
+MAX_PARTITIONS = 100_000
 
 
 @dataclass(frozen=True)
@@ -34,118 +45,170 @@ class SnapshotTable:
 
     # -- versions ----------------------------------------------------------
 
-    def version(self) -> int:
-        """The published version, 0 before the first one."""
-        return self._current()[0]
-
-    def _current(self) -> tuple[int, str | None, str | None]:
+    def _current(self) -> Row | None:
         try:
             listed = self.spark.read.schema(VERSIONS).json(f"{self.root}/versions")
         except AnalysisException:
-            return 0, None, None
-        row = listed.agg(F.max(F.struct("version", "path", "schema")).alias("m")).first()
-        return (row.m.version, row.m.path, row.m.schema) if row.m else (0, None, None)
+            return None
+        newest = F.max_by(F.struct("version", "path", "schema", "live"), "version")
+        return listed.agg(newest.alias("m")).first().m
 
-    def _path(self) -> str:
-        path = self._current()[1]
-        if path is None:
+    def _published(self) -> Row:
+        current = self._current()
+        if current is None:
             raise CollectionError(f"no collection at {self.root}")
-        return path
+        return current
 
-    def read(self) -> DataFrame:
-        """The published state, with the types it was written with."""
-        path = self._path()
-        return self.spark.read.schema(schema_of(self._current()[2])).parquet(path)
+    def version(self) -> int:
+        """The published version, 0 before the first one."""
+        current = self._current()
+        return current.version if current else 0
 
-    def replace(self, state: DataFrame, in_place: bool = False) -> int:
-        """Write a whole new state and make it current.
+    def _key(self) -> Column:
+        """Name of the partition a row or folder belongs to."""
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.partition_by]
+        return F.concat_ws("/", *parts) if parts else F.lit("")
 
-        ``in_place`` says that rows stay in the partition they were read
-        from: the files then need no shuffle to come out one per partition.
-        """
-        return self._publish(state, self.version() + 1, "overwrite", in_place)
-
-    def _publish(self, state: DataFrame, version: int, mode: str, in_place: bool = False) -> int:
-        path = f"{self.root}/data/{version}"
-        self._write(state, path, mode, in_place)
-        # One short row: the switch that makes the new snapshot visible.
-        row = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(path).alias("path"),
-            F.lit(saved_schema(state)).alias("schema"),
-            F.current_timestamp().alias("at"),
-        )
-        row.coalesce(1).write.mode("append").json(f"{self.root}/versions")
+    def read(self) -> DataFrame:
+        """The published state. Folders of other writes are not listed."""
+        current = self._published()
+        live = F.lit(False)
+        for write, replaced in current.live.items():
+            kept = ~self._key().isin(replaced) if replaced else F.lit(True)
+            live = live | ((F.col(WRITE) == write) & kept)
+        return self._files(current).where(live).drop(WRITE)
+
+    def _files(self, current: Row) -> DataFrame:
+        fields = schema_of(current.schema).fields
+        named = T.StructType([*fields, T.StructField(WRITE, T.StringType())])
+        rows = self.spark.read.schema(named).parquet(current.path)
+        return rows.select(*[f.name for f in fields], WRITE)
+
+    def _written(self, current: Row, write: str) -> DataFrame:
+        return self._files(current).where(F.col(WRITE) == write)
+
+    def _append(self, df: DataFrame, path: str, in_place: bool, per_file: int | None = None) -> str:
+        """Write rows under a new write name, which nothing refers to yet."""
+        write = uuid.uuid4().hex
+        if self.partition_by and not in_place:
+            # Spark splits a large partition over tasks and packs small ones.
+            df = df.hint("rebalance", *self.partition_by)
+        writer = df.withColumn(WRITE, F.lit(write)).write.mode("append")
+        if per_file is not None:
+            writer = writer.option("maxRecordsPerFile", per_file)
+        writer.partitionBy(*self.partition_by, WRITE).parquet(path)
+        return write
+
+    def _publish(self, version: int, path: str, schema: str, live: Mapping[str, Sequence[str]]) -> int:
+        # One row, written last: the switch that makes a version visible.
+        row = self.spark.createDataFrame([(version, path, schema, dict(live), None)], VERSIONS)
+        stamped = row.withColumn("at", F.current_timestamp())
+        stamped.coalesce(1).write.mode("append").json(f"{self.root}/versions")
         return version
 
-    def _write(self, df: DataFrame, path: str, mode: str, in_place: bool = False) -> None:
-        writer = df.write.mode(mode)
-        if self.partition_by:
-            # Spark splits a large partition over tasks and packs small ones.
-            spread = df if in_place else df.hint("rebalance", *self.partition_by)
-            writer = spread.write.mode(mode).partitionBy(*self.partition_by)
-        writer.parquet(path)
+    def _start(self, state: DataFrame, version: int) -> int:
+        """A version whose rows all lie in a folder of their own."""
+        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        write = self._append(state, path, in_place=False)
+        return self._publish(version, path, saved_schema(state), {write: []})
 
-    def _rewrite(
-        self, state: DataFrame, count: Column, source: DataFrame, in_place: bool = False
-    ) -> int:
-        """Publish ``state`` and return an aggregate over ``source`` rows."""
-        counted = int(source.agg(count.alias("n")).first().n)
-        if counted:
-            self.replace(state, in_place)
-        return counted
+    def _change(self, added: DataFrame | None, replaced: Sequence[str], in_place: bool = False) -> int:
+        """Hide partitions of all former writes and add rows, in one version."""
+        old = self._published()
+        live = {w: sorted({*gone, *replaced}) for w, gone in old.live.items()}
+        if not self.partition_by and replaced:
+            live = {}
+        if added is not None:
+            live[self._append(added, old.path, in_place)] = []
+        return self._publish(old.version + 1, old.path, old.schema, live)
 
-    # -- mutations ---------------------------------------------------------
+    # -- whole states --------------------------------------------------------
 
     def create(self, df: DataFrame) -> int:
-        """Write the first version; an existing collection is left alone with an error."""
-        return self._publish(df, 1, "errorifexists")
+        """Write the first version; an existing collection is an error."""
+        if self._current() is not None:
+            raise CollectionError(f"a collection exists at {self.root}")
+        return self._start(df, 1)
+
+    def replace(self, state: DataFrame) -> int:
+        """Write a whole new state and make it current."""
+        return self._start(state, self.version() + 1)
 
-    def insert(self, rows: DataFrame, order_by: str | None = None) -> int:
+    # -- mutations ---------------------------------------------------------
+
+    def insert(
+        self, rows: DataFrame, order_by: str | None = None, per_file: int | None = None
+    ) -> int:
         """Append rows and return their number.
 
-        With ``order_by`` the rows get the ids after the highest one in use, in
-        that order; without it they bring their own ids.
+        Rows without an id get the ones after the highest in use: in the order
+        of a unique numeric column if one is named, else as they come.
         """
-        path = self._path()
-        if order_by is not None:
-            highest = self.read().agg(F.max("id").alias("m")).first().m
-            rows = assign_ids(rows, order_by, highest)
-        seen = Observation()
-        counted = rows.select(*self.read().columns).observe(seen, F.count(F.lit(1)).alias("n"))
-        self._write(counted, path, "append")
-        return int(seen.get["n"])
+        old = self._published()
+        state = self.read()
+        if order_by is not None or "id" not in rows.columns:
+            highest = state.agg(F.max("id").alias("m")).first().m
+            if order_by is not None:
+                rows = assign_ids(rows, order_by, highest)
+            else:
+                # Written first, so that a task run again numbers the same rows.
+                first = 0 if highest is None else highest + 1
+                rows = materialize(rows).withColumn("id", F.monotonically_increasing_id() + first)
+        write = self._append(rows.select(*state.columns), old.path, False, per_file)
+        self._publish(old.version + 1, old.path, old.schema, {**old.live, write: []})
+        # Counted from the files: a counter would count a task run again twice.
+        return self._written(old, write).count()
 
     def batch_insert(self, rows: DataFrame, batch_size: int) -> int:
         """Append in files of at most ``batch_size`` rows; Spark retries a chunk."""
-        path = self._path()
-        seen = Observation()
-        counted = rows.select(*self.read().columns).observe(seen, F.count(F.lit(1)).alias("n"))
-        writer = counted.write.mode("append").option("maxRecordsPerFile", batch_size)
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(path)
-        return int(seen.get["n"])
+        return self.insert(rows, per_file=batch_size)
+
+    def _touched(self, rows: DataFrame) -> tuple[int, list[str]]:
+        """How many rows there are, and the partitions they lie in."""
+        counts = rows.groupBy(self._key().alias("key")).agg(F.count("*").alias("n"))
+        found = counts.limit(MAX_PARTITIONS + 1).collect()
+        if len(found) > MAX_PARTITIONS:
+            raise CollectionError(f"more than {MAX_PARTITIONS} partitions to rewrite")
+        return sum(r.n for r in found), [r.key for r in found]
 
     def delete(self, condition: Column | str) -> int:
-        df = self.read()
-        hit = mutations.matches(condition)
-        return self._rewrite(mutations.delete_where(df, condition), F.count_if(hit), df, True)
+        state = self.read()
+        count, keys = self._touched(state.where(mutations.matches(condition)))
+        if count:
+            part = state.where(self._key().isin(keys))
+            self._change(mutations.delete_where(part, condition), keys, in_place=True)
+        return count
 
     def update(self, condition: Column | str, changes: Mapping[str, Any]) -> int:
-        df = self.read()
-        state = mutations.batch_update(df, condition, changes)
-        stays = not set(changes) & set(self.partition_by)
-        return self._rewrite(state, F.count_if(mutations.matches(condition)), df, stays)
+        state = self.read()
+        # Built first: an unknown field is found before anything is written.
+        mutations.batch_update(state, condition, changes)
+        count, keys = self._touched(state.where(mutations.matches(condition)))
+        if count:
+            part = state.where(self._key().isin(keys))
+            stays = not set(changes) & set(self.partition_by)
+            self._change(mutations.batch_update(part, condition, changes), keys, stays)
+        return count
 
     def upsert(self, changes: DataFrame) -> int:
-        df = self.read()
-        return self._rewrite(mutations.upsert(df, changes), F.count("*"), changes)
+        """Replace and add rows by id; only partitions that hold an id are rewritten."""
+        state = self.read()
+        _, keys = self._touched(semi_select_ids(state, changes))
+        added = mutations.absent_rows(changes, state)
+        part = state.where(self._key().isin(keys))
+        replaced = mutations.replace_rows(part, changes)
+        self._change(replaced.unionByName(mutations.like(added, state)), keys)
+        return changes.count()
 
     def drop_partition(self, names: Sequence[object]) -> int:
-        df, column = self.read(), self.partition_by[0]
-        gone = F.count_if(F.col(column).isin(list(names)))
-        return self._rewrite(drop_partition(df, column, names), gone, df, True)
+        """Drop partitions with their rows; no file is rewritten."""
+        if len(self.partition_by) != 1:
+            raise CollectionError("the collection is not partitioned by one column")
+        gone = self.read().where(F.col(self.partition_by[0]).isin(list(names)))
+        count, keys = self._touched(gone)
+        if count:
+            self._change(None, keys)
+        return count
 
     def compact(self, deleted: Column | str | None = None, files: int | None = None) -> DataFrame:
         """Rewrite without deleted rows and in fewer files; report both states.
@@ -154,10 +217,9 @@ class SnapshotTable:
         """
         before = self.read()
         kept = before if deleted is None else mutations.delete_where(before, deleted)
-        if self.partition_by:
-            self.replace(kept)
-        else:
-            self.replace(kept.hint("rebalance") if files is None else kept.repartition(files))
+        if not self.partition_by:
+            kept = kept.hint("rebalance") if files is None else kept.repartition(files)
+        self.replace(kept)
         return compact_report(before, self.read())
 
 

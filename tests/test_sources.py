@@ -255,11 +255,69 @@ def test_partitioned_table(spark, collection, tmp_path):
     left = t.read()
     assert left.count() == 133 and dict(left.dtypes)["category"] == "string"
     plan = left.where("category = 'B'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(category" in plan
+    # All of it is decided from folder names: no filter is left for the rows.
+    assert "PartitionFilters: [" in plan and "Filter (" not in plan
     t.insert(collection.where("category = 'A'"))
     assert t.read().count() == 200
 
 
+def files_of(table):
+    return set(table.read().select(F.input_file_name().alias("f")).distinct().toPandas()["f"])
+
+
+def test_mutations_rewrite_only_the_partitions_they_touch(spark, collection, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "p"), partition_by=["category"])
+    t.create(collection)
+    before = files_of(t)
+    assert t.delete("id = 3") == 1  # category A
+    after = files_of(t)
+    assert {f for f in before if "category=A" not in f} <= after
+    assert not {f for f in before if "category=A" in f} & after
+    # Dropping a partition writes no data file at all.
+    assert t.drop_partition(["B"]) == 67 and files_of(t) < after
+    assert t.read().count() == 200 - 1 - 67
+    assert t.update("id = 2", {"category": "A"}) == 1  # moves from C to A
+    assert t.read().where("id = 2").first().category == "A" and t.read().count() == 132
+    assert t.update("label >= 0", {"label": 9}) == 132
+    assert t.read().where("label <> 9").count() == 0 and t.read().count() == 132
+
+
+def test_upsert_on_a_partitioned_table(spark, collection, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "p"), partition_by=["category"])
+    t.create(collection)
+    b = {f for f in files_of(t) if "category=B" in f}
+    changes = spark.createDataFrame([(0, "C", 7), (900, "A", 8)], "id bigint, category string, label int")
+    assert t.upsert(changes) == 2
+    rows = {r.id: r for r in t.read().where("id in (0, 3, 900)").collect()}
+    assert (rows[0].category, rows[0].label) == ("C", 7) and rows[0].vector is not None
+    assert (rows[900].category, rows[900].vector) == ("A", None) and rows[3].category == "A"
+    assert t.read().count() == 201 and b <= files_of(t)
+
+
+def test_a_failed_insert_is_not_seen(spark, table):
+    bad = table.read().withColumn("value", F.when(F.col("id") == 999, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(1))
+    with pytest.raises(Exception, match="lost"):
+        table.insert(bad)
+    assert table.read().count() == 1000 and table.version() == 1
+
+
+def test_insert_without_ids_or_order(spark, table):
+    new = spark.range(30).select(F.array(F.lit(1.0).cast("float")).alias("vector"), F.lit(5).cast("bigint").alias("value"))
+    assert table.insert(new.repartition(3)) == 30
+    ids = [r.id for r in table.read().select("id").collect()]
+    assert len(ids) == len(set(ids)) == 1030 and sum(i >= 1000 for i in ids) == 30
+
+
+def test_an_existing_collection_is_not_created_again(table):
+    with pytest.raises(CollectionError):
+        table.create(table.read())
+
+
+def test_everything_deleted(table):
+    assert table.delete("value >= 0") == 1000
+    assert table.read().count() == 0 and table.delete("value >= 0") == 0
+
+
 def test_reading_before_creation(spark, tmp_path):
     t = SnapshotTable(spark, str(tmp_path / "none"))
     assert t.version() == 0
