@@ -38,6 +38,8 @@ def top_per_key(
 def global_row_number(df: DataFrame, key: str, out: str = "pos") -> DataFrame:
     """1-based position of each row in the order of a unique numeric key.
 
+    A row without a key is an error.
+
     Quantiles of the key cut the rows into ranges. The range of a row depends
     on its key alone, so a task that is run again numbers its rows the same.
     Counting the ranges gives each one its offset; only that table, one row
@@ -47,12 +49,14 @@ def global_row_number(df: DataFrame, key: str, out: str = "pos") -> DataFrame:
     # Several ranges per task even out how they fall on the tasks.
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / ranges for i in range(1, ranges)]
-    keyed = df.select(F.col(key).cast("double").alias("_key"))
+    nameless = F.raise_error(F.lit(f"row without a {key}")).cast("double")
+    number = F.coalesce(F.col(key).cast("double"), nameless)
+    keyed = df.select(number.alias("_key"))
     cuts = sorted(set(keyed.approxQuantile("_key", steps, 1.0 / (4 * ranges))))
     split = Bucketizer(
         splits=[-float("inf"), *(cuts or [0.0]), float("inf")], inputCol="_key", outputCol="_range"
     )
-    ranged = split.transform(df.withColumn("_key", F.col(key).cast("double")))
+    ranged = split.transform(df.withColumn("_key", number))
     counts = split.transform(keyed).groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

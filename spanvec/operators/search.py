@@ -93,6 +93,11 @@ class QuerySet:
         return cls(frame, block.shape[1], np.arange(len(rows)), block)
 
 
+def most_hits(queries: QuerySet, k: int) -> int | None:
+    """The most hits a search can give, if its query set is a small one."""
+    return len(queries.ids) * k if queries.small else None
+
+
 def _slim(collection: DataFrame, id_col: str, vector_col: str, *extra: Column) -> DataFrame:
     return collection.where(F.col(vector_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"), *extra
@@ -162,7 +167,7 @@ def attach_fields(
 ) -> DataFrame:
     """Hits with fields of the entity they point at.
 
-    ``hit_bound`` is the most hits there can be, ``queries * k``. Under the
+    ``hit_bound`` is the most hits there can be, see ``most_hits``. Under the
     limit the hits are sent to the entities, which then need no shuffle.
     """
     wanted = entities.select(F.col(id_col).cast("bigint").alias("id"), *fields)

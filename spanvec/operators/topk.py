@@ -76,35 +76,43 @@ class RunningTopK:
         if len(ids) == 0:
             return
         rows = np.arange(len(self.queries)) if rows is None else rows
+        squares = (x * x).sum(1)
         step = max(1, MATRIX_CELLS // len(ids))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for lo in range(0, len(rows), step):
-            self._add_block(rows[lo : lo + step], ids, x)
-
-    def _add_block(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+            found.append(self._candidates(rows[lo : lo + step], ids, x, squares))
+            if sum(len(f[0]) for f in found) > MATRIX_CELLS:
+                self._keep(found)
+                found = []
+        self._keep(found)
+
+    def _candidates(
+        self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, squares: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs that may be among the best, with their exact key."""
         q = self.queries[rows]
         proxy = proxies(self.metric, q, x)
         proxy[~np.isfinite(proxy)] = np.inf
         worst = self.worst[rows]
         limit = worst * np.abs(worst) if self.metric == "L2" else worst
-        if len(ids) > self.k:
+        if len(ids) > self.k and not np.isfinite(limit).all():
             limit = np.minimum(limit, np.partition(proxy, self.k - 1, axis=1)[:, self.k - 1])
         # Wider than the rounding of the product, so no true neighbour is lost.
         scale = 1.0
         if self.metric == "L2":
-            scale = float((q * q).sum(1).max() + np.nanmax((x * x).sum(1), initial=0.0))
+            scale = float((q * q).sum(1).max() + np.nanmax(squares, initial=0.0))
         elif self.metric == "IP":
-            scale = float(np.nanmax(np.abs(np.where(np.isfinite(proxy), proxy, 0.0)), initial=0.0)) + 1.0
-        picked = np.isfinite(proxy) & (proxy <= (limit + 1e-9 * scale)[:, None])
+            scale = float(np.max(np.abs(proxy), where=np.isfinite(proxy), initial=0.0)) + 1.0
+        picked = (proxy <= (limit + 1e-9 * scale)[:, None]) & (proxy < np.inf)
         at, pos = np.nonzero(picked)
-        if len(at) == 0:
-            return
-        key = exact(self.metric, q[at], x[pos])
-        self._keep(rows[at], ids[pos], key)
+        return rows[at], ids[pos], exact(self.metric, q[at], x[pos])
 
-    def _keep(self, row: np.ndarray, ids: np.ndarray, key: np.ndarray) -> None:
-        row = np.concatenate([self.row, row])
-        ids = np.concatenate([self.id, ids])
-        key = np.concatenate([self.key, key])
+    def _keep(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        if not any(len(f[0]) for f in found):
+            return
+        row = np.concatenate([self.row, *(f[0] for f in found)])
+        ids = np.concatenate([self.id, *(f[1] for f in found)])
+        key = np.concatenate([self.key, *(f[2] for f in found)])
         order = np.lexsort((ids, key, row))
         row, ids, key = row[order], ids[order], key[order]
         first = np.searchsorted(row, row, side="left")

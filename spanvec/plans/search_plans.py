@@ -138,7 +138,7 @@ def knn_filtered(spark, sf):
     rows = with_documents(spark, sf).where("lang = 'en' and n_chars > 500")
     found = hits(knn(rows, queries, 5, "L2"))
     docs = table(spark, sf, "documents")
-    bound = 5 * len(queries.ids) if queries.small else None
+    bound = search.most_hits(queries, 5)
     return search.attach_fields(found, docs, ["lang", "n_chars"], bound, "doc_id", "inner")
 
 
@@ -210,7 +210,7 @@ def probe_latency(spark, sf):
 def project_output_fields(spark, sf):
     rows, queries = collection(spark, sf), label_queries(spark, sf)
     found = hits(knn(rows, queries, 10, "L2"))
-    bound = 10 * len(queries.ids) if queries.small else None
+    bound = search.most_hits(queries, 10)
     joined = search.attach_fields(found, rows, ["label"], bound, how="inner")
     return joined.select("query_id", "id", "distance", "label")
 
@@ -224,7 +224,7 @@ def project_output_fields(spark, sf):
 def join_search_metadata(spark, sf):
     queries = label_queries(spark, sf)
     found = hits(knn(collection(spark, sf), queries, 10, "COSINE"))
-    bound = 10 * len(queries.ids) if queries.small else None
+    bound = search.most_hits(queries, 10)
     return search.attach_fields(
         found, table(spark, sf, "documents"), ["lang", "source"], bound, "doc_id", "left"
     )
@@ -298,6 +298,16 @@ def ivf_train(spark, sf):
     return ivf.describe_index(ivf.assign_cells(rows, ivf.centroid_set(centroids)), nlist=16)
 
 
+@query("ivf_trained_all_cells", hit_sql("COSINE", 5, SOURCE_Q))
+def ivf_trained_all_cells(spark, sf):
+    """Wherever training puts the centroids, all cells together are the exact search."""
+    rows = collection(spark, sf)
+    centroids = ivf.centroid_set(ivf.train_centroids(rows, nlist=8, metric="COSINE", iterations=3))
+    indexed = ivf.assign_cells(rows, centroids, "COSINE")
+    queries = source_queries(spark, sf)
+    return hits(ivf.ivf_search(indexed, centroids, queries, nprobe=8, k=5, metric="COSINE"))
+
+
 # --- text and hybrid ------------------------------------------------------------
 
 TERMS = TEXT_QUERY.split()

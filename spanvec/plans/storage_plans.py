@@ -6,9 +6,12 @@ operator on what it wrote, and returns what the operator gives back.
 
 from __future__ import annotations
 
+import io
 import uuid
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,14 @@ from spanvec.plans.metric_plans import MESSAGE_ROWS, message_texts
 from spanvec.plans.search_plans import source_queries
 from spanvec.session import shared_dir
 from spanvec.sources import object_store, snapshots
-from spanvec.sources.files import SourceConfig, scan_by_config, scan_csv, split_rejects
+from spanvec.sources.files import (
+    SourceConfig,
+    read_contents,
+    read_npz,
+    scan_by_config,
+    scan_csv,
+    split_rejects,
+)
 from spanvec.sources.tables import SnapshotTable
 from spanvec.streaming import ingest, messages
 
@@ -97,6 +107,30 @@ def scan_yaml(spark, sf):
     return _scanned(spark, sf, "yaml", False)
 
 
+@query("scan_npz", ROWS_SQL)
+def scan_npz(spark, sf):
+    """Archives of 64 rows each. Spark has no sink for them, so they lie in a column."""
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
+    chunks = rows.gather_batches(e, 64, "vec_id", "vector", "vec_id", "label")
+
+    def pack(batches):
+        for batch in batches:
+            for items in batch["items"]:
+                body = io.BytesIO()
+                np.savez(
+                    body,
+                    vector=np.array([list(i["vector"]) for i in items]),
+                    vec_id=np.array([i["vec_id"] for i in items]),
+                    label=np.array([i["label"] for i in items]),
+                )
+                yield pd.DataFrame({"content": [body.getvalue()]})
+
+    path = scratch(spark, "npz")
+    chunks.select("items").mapInPandas(pack, "content binary").write.parquet(path)
+    config = SourceConfig("npz", path, "vector", FIELDS, TYPES)
+    return with_total(read_contents(spark.read.parquet(path), config, read_npz))
+
+
 @query("scan_by_config", ROWS_SQL)
 def scan_by_type(spark, sf):
     path = scratch(spark, "parquet")
@@ -136,6 +170,26 @@ def list_stored_collections(spark, sf):
     return object_store.list_stored_collections(spark, _stored(spark, sf))
 
 
+@query(
+    "upload_collection",
+    """SELECT 'vectors' AS part, count(*) AS n FROM embeddings WHERE label >= 5
+    UNION ALL SELECT 'metadata', count(*) FROM embeddings WHERE label >= 5""",
+)
+def upload_collection(spark, sf):
+    root = _stored(spark, sf)
+    parts = [
+        spark.read.parquet(f"{root}/high/{part}").agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "n")
+        for part in ("vectors", "metadata")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("download_collection", ROWS_SQL + " WHERE label >= 5")
+def download_collection(spark, sf):
+    df = object_store.download_collection(spark, _stored(spark, sf), "high")
+    return with_total(df.withColumnRenamed("id", "vec_id"))
+
+
 @query("upload_download_collection", "SELECT vec_id AS id, label, CAST(len(embedding) AS INT) AS dim FROM embeddings")
 def upload_download_collection(spark, sf):
     df = object_store.download_collection(spark, _stored(spark, sf), "low")
@@ -226,6 +280,25 @@ def import_records(spark, sf):
     return t.read()
 
 
+@query(
+    "validate_import",
+    """SELECT 'bad' AS kind, count(*) AS n FROM documents WHERE lang = 'fr'
+    UNION ALL SELECT 'record', count(*) FROM documents WHERE lang <> 'fr'""",
+)
+def validate_import(spark, sf):
+    """Lines of which some are cut off; those are reported, not imported."""
+    path = scratch(spark, "lines")
+    docs = table(spark, sf, "documents")
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang"))
+    cut = F.when(F.col("lang") == "fr", F.expr("substring(line, 1, length(line) - 3)")).otherwise(F.col("line"))
+    docs.select("lang", line.alias("line")).select(cut.alias("value")).write.text(path)
+    good, bad = snapshots.split_corrupt(snapshots.read_records(spark, path, "id bigint, lang string"))
+    count = F.count("*").alias("n")
+    return bad.agg(count).select(F.lit("bad").alias("kind"), "n").unionByName(
+        good.agg(count).select(F.lit("record").alias("kind"), "n")
+    )
+
+
 def _backup(spark, sf, form: str) -> DataFrame:
     root = scratch(spark, "backup")
     name = snapshots.backup(collection(spark, sf), root, "my_vectors", datetime(2024, 1, 31), form)
@@ -301,6 +374,20 @@ def stream_produce(spark, sf):
     return read.select(F.size("vectors").alias("vectors"), "operation", "collection")
 
 
+@query("stream_source", f"WITH {MESSAGE_ROWS} SELECT DISTINCT batch, 'vectors' AS collection FROM m")
+def stream_source(spark, sf):
+    """The texts of a topic as a stream, two files at a time, kept as they come."""
+    source, out = _messages_on_disk(spark, sf), scratch(spark, "raw")
+    stream = ingest.file_source(spark, source, max_files=2)
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
+    writer.option("path", f"{out}/rows").trigger(availableNow=True).start().awaitTermination()
+    read = messages.stream_parse(spark.read.parquet(f"{out}/rows"))
+    # The first metadata entry of a message tells its place.
+    first = F.col("metadata")[0]["id"].cast("bigint")
+    placed = rows.batch_assign(table(spark, sf, "embeddings").select("vec_id"), "vec_id", 16)
+    return read.join(placed, first == placed["vec_id"]).select("batch", "collection")
+
+
 def _ingested(spark, sf) -> str:
     root = scratch(spark, "stream")
     source = ingest.file_source(spark, _messages_on_disk(spark, sf), max_files=2)

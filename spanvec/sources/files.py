@@ -109,12 +109,12 @@ def _columns_to_rows(columns: Mapping[str, Any], wanted: Sequence[str]) -> pd.Da
     return pd.DataFrame(out)
 
 
-def _read_npz(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
+def read_npz(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
     with np.load(io.BytesIO(content), allow_pickle=False) as archive:
         return _columns_to_rows({k: archive[k] for k in archive.files}, wanted)
 
 
-def _read_yaml(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
+def read_yaml(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
     data = yaml.safe_load(content)
     if isinstance(data, list):
         # As with JSON records, a record may lack a field.
@@ -122,12 +122,15 @@ def _read_yaml(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
     return _columns_to_rows(data, wanted)
 
 
-def _scan_binary(
-    spark: SparkSession,
+def read_contents(
+    files: DataFrame,
     config: SourceConfig,
     read: Callable[[bytes, Sequence[str]], pd.DataFrame],
 ) -> DataFrame:
-    """A file is read by one task; many files spread over many tasks."""
+    """Rows of whole files given as a ``content`` column.
+
+    A file is read by one task; many files spread over many tasks.
+    """
     declared = T.StructType.fromDDL(config.schema) if config.schema else T.StructType()
     kinds = {f.name: f.dataType for f in declared.fields}
     wanted = [config.vector_field, *(config.metadata_fields or [])]
@@ -141,16 +144,19 @@ def _scan_binary(
             for content in batch["content"]:
                 yield read(content, wanted)
 
-    files = spark.read.format("binaryFile").options(**config.options).load(config.path)
     return files.select("content").mapInPandas(run, schema)
 
 
+def _whole_files(spark: SparkSession, config: SourceConfig) -> DataFrame:
+    return spark.read.format("binaryFile").options(**config.options).load(config.path)
+
+
 def scan_npz(spark: SparkSession, config: SourceConfig, missing: str = "error") -> DataFrame:
-    return _scan_binary(spark, config, _read_npz)
+    return read_contents(_whole_files(spark, config), config, read_npz)
 
 
 def scan_yaml(spark: SparkSession, config: SourceConfig, missing: str = "error") -> DataFrame:
-    return _scan_binary(spark, config, _read_yaml)
+    return read_contents(_whole_files(spark, config), config, read_yaml)
 
 
 READERS = {

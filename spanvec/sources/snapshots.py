@@ -54,6 +54,18 @@ def _is_lines(spark: SparkSession, path: str) -> bool:
     return first is not None and not first[0].startswith("[")
 
 
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records, and the texts that are none.
+
+    Spark refuses to read the corrupt column of raw files alone, so the test
+    also looks at a field, without regard to its value.
+    """
+    field = next(c for c in rows.columns if c != "_corrupt_record")
+    looked = F.coalesce(F.length(F.col(field).cast("string")) >= 0, F.lit(True))
+    broken = F.col("_corrupt_record").isNotNull() & looked
+    return rows.where(~broken).drop("_corrupt_record"), rows.where(broken).select("_corrupt_record")
+
+
 def import_records(
     table: SnapshotTable,
     path: str,
@@ -61,10 +73,7 @@ def import_records(
     rules: Rules | None = None,
 ) -> tuple[int, DataFrame]:
     """Read records, keep the valid ones, append them; return count and rejects."""
-    rows = read_records(table.spark, path, schema)
-    # Spark wants the corrupt column read together with the others.
-    broken = F.col("_corrupt_record").isNotNull()
-    good = rows.where(~broken).drop("_corrupt_record")
+    good, _ = split_corrupt(read_records(table.spark, path, schema))
     if rules is None:
         valid, errors = good, good.limit(0).select("id", F.lit("").alias("error"))
     else:

@@ -72,10 +72,14 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         """The published state. Folders of other writes are not listed."""
         current = self._published()
-        live = F.lit(False)
+        # Writes that lost the same partitions share one test.
+        alike: dict[tuple[str, ...], list[str]] = {}
         for write, replaced in current.live.items():
-            kept = ~self._key().isin(replaced) if replaced else F.lit(True)
-            live = live | ((F.col(WRITE) == write) & kept)
+            alike.setdefault(tuple(replaced), []).append(write)
+        live = F.lit(False)
+        for replaced, writes in alike.items():
+            held = F.col(WRITE).isin(writes)
+            live = live | (held & ~self._key().isin(list(replaced)) if replaced else held)
         return self._files(current).where(live).drop(WRITE)
 
     def _files(self, current: Row) -> DataFrame:
@@ -193,6 +197,8 @@ class SnapshotTable:
     def upsert(self, changes: DataFrame) -> int:
         """Replace and add rows by id; only partitions that hold an id are rewritten."""
         state = self.read()
+        # Used several times; from files Spark also knows how few they are.
+        changes = materialize(changes)
         _, keys = self._touched(semi_select_ids(state, changes))
         added = mutations.absent_rows(changes, state)
         part = state.where(self._key().isin(keys))
