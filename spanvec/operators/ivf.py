@@ -189,9 +189,11 @@ def _scan_cells(
             cells = batch.column("cell").to_numpy()
             ids = batch.column("id").to_numpy()
             x = matrix(batch.column("vector"), block.shape[1])
-            for cell in np.unique(cells):
-                at = cells == cell
-                best.add(ids[at], x[at], asking[int(cell)])
+            order = np.argsort(cells, kind="stable")
+            found, starts = np.unique(cells[order], return_index=True)
+            for cell, at in zip(found, np.split(order, starts[1:])):
+                best.offer(ids[at], x[at], asking[int(cell)])
+            best.settle()
         yield hits_batch(qids, best)
 
     return rows.where(F.col("cell").isin(list(asking))).mapInArrow(scan, HITS + ", metric string")

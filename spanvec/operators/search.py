@@ -29,6 +29,7 @@ DEFAULT_TOP_K = 10
 # A query block travels to every task while it is at most this large.
 BLOCK_QUERIES = 4096
 BLOCK_BYTES = 64 << 20
+MIN_BLOCK_ROWS = 4096
 # Hits joined back to their collection are broadcast up to this many rows.
 BROADCAST_HITS = 1_000_000
 
@@ -238,8 +239,12 @@ def cut_blocks(
     without cells are one cell as a whole.
     """
     if "cell" not in left.columns:
-        nl = F.lit(max(1, -(-left.count() // left_rows)))
-        nr = F.lit(max(1, -(-right.count() // right_rows)))
+        rows, asked = left.count(), right.count()
+        blocks = max(1, -(-asked // right_rows))
+        # Enough pairs of blocks to keep the cluster busy, but none tiny.
+        wanted = -(-2 * left.sparkSession.sparkContext.defaultParallelism // blocks)
+        fill = max(MIN_BLOCK_ROWS, -(-rows // wanted))
+        nl, nr = F.lit(max(1, -(-rows // min(left_rows, fill)))), F.lit(blocks)
         left, right = left.withColumn("cell", F.lit(0)), right.withColumn("cell", F.lit(0))
         lsized, rsized = left, right
     else:
@@ -278,7 +283,9 @@ def block_topk(
             ids, qids = rows["id"].to_numpy(), asked["query_id"].to_numpy()
             for m in metrics:
                 best = RunningTopK(m, block, k)
-                best.add(ids, x)
+                # Piece by piece: the best so far spare the work on the rest.
+                for lo in range(0, len(ids), MIN_BLOCK_ROWS):
+                    best.add(ids[lo : lo + MIN_BLOCK_ROWS], x[lo : lo + MIN_BLOCK_ROWS])
                 out.append(hits_batch(qids, best))
         else:
             out.append(hits_batch(np.empty(0, np.int64), RunningTopK(metrics[0], np.empty((0, 0)), k)))

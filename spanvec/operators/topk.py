@@ -30,20 +30,24 @@ def matrix(column: pa.Array, dim: int | None = None) -> np.ndarray:
     return flat.reshape(rows, width)
 
 
-def proxies(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Quick smaller-is-better scores of every query row against every row.
+def augmented(metric: str, v: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose plain products order the pairs, and which rows are usable.
 
-    They carry the rounding of a matrix product, so they only select
-    candidates; ``exact`` gives the value that is ranked and returned.
+    For L2 the product is ``q.x - |x|^2 / 2``, which grows as the distance
+    shrinks; for COSINE rows are scaled to norm 1. Products carry rounding, so
+    they only select candidates; ``exact`` gives the value that is ranked.
     """
-    dots = q @ x.T
-    if metric == "L2":
-        return (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2.0 * dots
+    squares = (v * v).sum(1)
+    usable = np.isfinite(squares)
+    if metric == "COSINE":
+        usable &= squares > 0
+        norm = np.sqrt(np.where(usable, squares, 1.0))
+        return np.where(usable[:, None], v / norm[:, None], 0.0), usable
+    plain = v if usable.all() else np.where(usable[:, None], v, 0.0)
     if metric == "IP":
-        return -dots
-    norms = np.sqrt((q * q).sum(1))[:, None] * np.sqrt((x * x).sum(1))[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return -dots / norms
+        return plain, usable
+    last = np.ones(len(v)) if query else np.where(usable, squares, 0.0) / -2.0
+    return np.hstack([plain, last[:, None]]), usable
 
 
 def exact(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -66,50 +70,60 @@ class RunningTopK:
 
     def __init__(self, metric: str, queries: np.ndarray, k: int):
         self.metric, self.queries, self.k = metric, queries, k
+        self.asked, self.usable = augmented(metric, queries, query=True)
+        self.squares = np.where(self.usable, (queries * queries).sum(1), 0.0)
         self.worst = np.full(len(queries), np.inf)
         self.row = np.empty(0, np.int64)
         self.id = np.empty(0, np.int64)
         self.key = np.empty(0)
-
-    def add(self, ids: np.ndarray, x: np.ndarray, rows: np.ndarray | None = None) -> None:
-        """Offer a batch to all queries, or to those at positions ``rows``."""
-        if len(ids) == 0:
+        self.pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pending_pairs = 0
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        """Offer a batch to all queries."""
+        self.offer(ids, x, np.arange(len(self.queries)))
+        self.settle()
+
+    def offer(self, ids: np.ndarray, x: np.ndarray, rows: np.ndarray) -> None:
+        """Offer rows to the queries at some positions; ``settle`` ranks them."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            held, usable = augmented(self.metric, x, query=False)
+        if not usable.all():
+            ids, x, held = ids[usable], x[usable], held[usable]
+        rows = rows[self.usable[rows]]
+        if len(ids) == 0 or len(rows) == 0:
             return
-        rows = np.arange(len(self.queries)) if rows is None else rows
-        squares = (x * x).sum(1)
+        largest = float((x * x).sum(1).max())
         step = max(1, MATRIX_CELLS // len(ids))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for lo in range(0, len(rows), step):
-            found.append(self._candidates(rows[lo : lo + step], ids, x, squares))
-            if sum(len(f[0]) for f in found) > MATRIX_CELLS:
-                self._keep(found)
-                found = []
-        self._keep(found)
+            found = self._candidates(rows[lo : lo + step], ids, x, held, largest)
+            self.pending.append(found)
+            self.pending_pairs += len(found[0])
+            if self.pending_pairs > MATRIX_CELLS:
+                self.settle()
 
     def _candidates(
-        self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, squares: np.ndarray
+        self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, held: np.ndarray, largest: float
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs that may be among the best, with their exact key."""
-        q = self.queries[rows]
-        proxy = proxies(self.metric, q, x)
-        proxy[~np.isfinite(proxy)] = np.inf
-        worst = self.worst[rows]
-        limit = worst * np.abs(worst) if self.metric == "L2" else worst
-        if len(ids) > self.k and not np.isfinite(limit).all():
-            limit = np.minimum(limit, np.partition(proxy, self.k - 1, axis=1)[:, self.k - 1])
+        product = self.asked[rows] @ held.T
+        # What a product must reach to beat the worst row kept so far.
+        worst, squares = self.worst[rows], self.squares[rows]
+        need = (squares - worst * np.abs(worst)) / 2.0 if self.metric == "L2" else -worst
+        if len(ids) > self.k and not np.isfinite(need).all():
+            kth = np.partition(product, len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+            need = np.maximum(need, kth)
         # Wider than the rounding of the product, so no true neighbour is lost.
-        scale = 1.0
-        if self.metric == "L2":
-            scale = float((q * q).sum(1).max() + np.nanmax(squares, initial=0.0))
-        elif self.metric == "IP":
-            scale = float(np.max(np.abs(proxy), where=np.isfinite(proxy), initial=0.0)) + 1.0
-        picked = (proxy <= (limit + 1e-9 * scale)[:, None]) & (proxy < np.inf)
-        at, pos = np.nonzero(picked)
-        return rows[at], ids[pos], exact(self.metric, q[at], x[pos])
-
-    def _keep(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
-        if not any(len(f[0]) for f in found):
+        slack = 1e-9 * (1.0 if self.metric == "COSINE" else squares.max() + largest)
+        at, pos = np.nonzero(product >= (need - slack)[:, None])
+        return rows[at], ids[pos], exact(self.metric, self.queries[rows[at]], x[pos])
+
+    def settle(self) -> None:
+        """Rank what was offered and keep the best of it."""
+        found, self.pending = self.pending, []
+        if not self.pending_pairs:
             return
+        self.pending_pairs = 0
         row = np.concatenate([self.row, *(f[0] for f in found)])
         ids = np.concatenate([self.id, *(f[1] for f in found)])
         key = np.concatenate([self.key, *(f[2] for f in found)])

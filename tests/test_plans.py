@@ -113,7 +113,8 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.set(key, before)
     files = t.read().select("label", F.input_file_name().alias("f")).groupBy("label").agg(F.countDistinct("f").alias("n"))
     per_label = {r.label: r.n for r in files.collect()}
-    assert per_label[0] >= 3 and max(n for k, n in per_label.items() if k != 0) <= 2
+    # Split where it is large, yet far from one file per task and partition.
+    assert per_label[0] >= 3 and sum(per_label.values()) < 40
     assert t.read().count() == 60_000
 
 
