@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spanvec.functions.vectors import _col
+from spanvec.functions.vectors import as_column
 
 # Separator pattern of tokens, and the snapshot name stamp.
 TOKEN_GAP = r"[^\p{L}\p{N}]+"
@@ -17,7 +17,7 @@ STAMP_PATTERN = r"^(.*)_(\d{8}_\d{6})$"
 
 def tokens(text: Column | str) -> Column:
     """Lower-cased runs of letters and digits, over the whole text."""
-    return F.array_remove(F.split(F.lower(_col(text)), TOKEN_GAP), "")
+    return F.array_remove(F.split(F.lower(as_column(text)), TOKEN_GAP), "")
 
 
 def split_terms(query: str) -> list[str]:
@@ -31,7 +31,7 @@ def metadata_lines(text: Column | str) -> Column:
     Lines without a colon are skipped, the split is at the first colon, keys
     are trimmed and lower-cased, and the last of several equal keys wins.
     """
-    lines = F.filter(F.split(F.trim(_col(text)), "\n"), lambda s: s.contains(":"))
+    lines = F.filter(F.split(F.trim(as_column(text)), "\n"), lambda s: s.contains(":"))
     keys = F.transform(lines, lambda s: F.lower(F.trim(F.substring_index(s, ":", 1))))
     pairs = F.transform(
         lines,
@@ -55,7 +55,7 @@ def label_score(payload: Column | str) -> Column:
     are accepted.
     """
     parsed = F.from_json(
-        _col(payload), "label string, score double, prediction string, confidence double"
+        as_column(payload), "label string, score double, prediction string, confidence double"
     )
     return F.struct(
         F.coalesce(parsed["label"], parsed["prediction"]).alias("category"),
@@ -64,15 +64,15 @@ def label_score(payload: Column | str) -> Column:
 
 
 def json_parse(text: Column | str, schema: str) -> Column:
-    return F.from_json(_col(text), schema)
+    return F.from_json(as_column(text), schema)
 
 
 def json_render(*columns: Column | str) -> Column:
-    return F.to_json(F.struct(*[_col(c) for c in columns]))
+    return F.to_json(F.struct(*[as_column(c) for c in columns]))
 
 
 def map_lookup(metadata: Column | str, key: str) -> Column:
-    return F.try_element_at(_col(metadata), F.lit(key))
+    return F.try_element_at(as_column(metadata), F.lit(key))
 
 
 def request_key(operation: str, **parameters: Column) -> Column:
@@ -82,12 +82,12 @@ def request_key(operation: str, **parameters: Column) -> Column:
 
 
 def backup_name(collection: Column | str, at: Column | str) -> Column:
-    return F.concat_ws("_", _col(collection), F.date_format(_col(at), STAMP_FORMAT))
+    return F.concat_ws("_", as_column(collection), F.date_format(as_column(at), STAMP_FORMAT))
 
 
 def parse_backup_name(name: Column | str) -> Column:
     """``struct(collection, stamp)``; the collection may itself hold ``_``."""
-    n = _col(name)
+    n = as_column(name)
     fits = n.rlike(STAMP_PATTERN)
     return F.struct(
         F.when(fits, F.regexp_extract(n, STAMP_PATTERN, 1)).alias("collection"),
@@ -96,13 +96,13 @@ def parse_backup_name(name: Column | str) -> Column:
 
 
 def iso_timestamp(at: Column | str) -> Column:
-    return F.date_format(_col(at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.date_format(as_column(at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
 def column_encrypt(value: Column | str, key: Column) -> Column:
     """Base64 text of the AES-GCM form; the key has 16, 24 or 32 bytes."""
-    return F.base64(F.aes_encrypt(_col(value).cast("binary"), key, F.lit("GCM")))
+    return F.base64(F.aes_encrypt(as_column(value).cast("binary"), key, F.lit("GCM")))
 
 
 def column_decrypt(value: Column | str, key: Column) -> Column:
-    return F.aes_decrypt(F.unbase64(_col(value)), key, F.lit("GCM")).cast("string")
+    return F.aes_decrypt(F.unbase64(as_column(value)), key, F.lit("GCM")).cast("string")

@@ -12,12 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c: Column | str) -> Column:
+def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def as_double(v: Column | str) -> Column:
-    return _col(v).cast("array<double>")
+    return as_column(v).cast("array<double>")
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,7 +39,7 @@ def run_once(udf):
 
 
 def vec_dim(v: Column | str) -> Column:
-    c = _col(v)
+    c = as_column(v)
     return F.when(c.isNotNull(), F.size(c))
 
 
@@ -76,7 +76,7 @@ def vec_concat(*vectors: Column | str) -> Column:
 
 def vec_one_hot(position: Column | str, dim: int) -> Column:
     """A vector of length ``dim`` holding 1.0 at a 0-based position."""
-    p = _col(position)
+    p = as_column(position)
     hot = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (i == p).cast("double"))
     return F.when(p.isNotNull(), hot)
 
@@ -92,10 +92,10 @@ def vec_finite(v: Column | str) -> Column:
 
 def vec_parse(text: Column | str) -> Column:
     """``"[0.1, 0.2]"`` to a vector; an unreadable literal gives NULL."""
-    return F.from_json(_col(text), "array<double>")
+    return F.from_json(as_column(text), "array<double>")
 
 
 def similarity(distance: Column | str, metric: str) -> Column:
     """Bigger-is-better score of a distance column."""
-    d = _col(distance)
+    d = as_column(distance)
     return 1.0 / (1.0 + d) if metric == "L2" else d

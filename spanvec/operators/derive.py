@@ -7,14 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spanvec.functions.vectors import _col
+from spanvec.functions.vectors import as_column
 
 
 def category_by_substring(
     text: Column | str, categories: Mapping[str, str], default: str = "other"
 ) -> Column:
     """The category of the first listed substring found in the lower-cased text."""
-    lowered = F.lower(_col(text))
+    lowered = F.lower(as_column(text))
     out = None
     for part, category in categories.items():
         found = lowered.contains(part)
@@ -23,4 +23,4 @@ def category_by_substring(
 
 
 def text_length(text: Column | str) -> Column:
-    return F.length(_col(text)).cast("bigint")
+    return F.length(as_column(text)).cast("bigint")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanvec.errors import SearchError
-from spanvec.functions.vectors import _col
+from spanvec.functions.vectors import as_column
 
 # Comparison operators of a condition.
 COMPARISONS = {
@@ -107,7 +107,7 @@ def in_time(
 
 def metadata_matches(metadata: Column | str, wanted: Mapping[str, Any]) -> Column | None:
     """Map entries equal to a value, or to one of a list; all keys must match."""
-    held = _col(metadata)
+    held = as_column(metadata)
     tests = []
     for key, value in wanted.items():
         entry = held[key]
@@ -120,7 +120,7 @@ def json_matches(text: Column | str, wanted: Mapping[str, Any]) -> Column | None
     """``metadata_matches`` on a JSON text column."""
     tests = []
     for key, value in wanted.items():
-        entry = F.get_json_object(_col(text), f"$.{key}")
+        entry = F.get_json_object(as_column(text), f"$.{key}")
         many = isinstance(value, (list, tuple))
         tests.append(entry.isin([str(v) for v in value]) if many else entry == F.lit(str(value)))
     return combine(tests)

@@ -79,14 +79,14 @@ def diff_results(
     a = actual.select(id_col, *[f.name for f in fields]).alias("a")
     key = F.coalesce(F.col(f"e.{id_col}"), F.col(f"a.{id_col}"))
     missing, extra = F.col(f"a.{id_col}").isNull(), F.col(f"e.{id_col}").isNull()
-    found = [
-        F.when(missing, F.lit("missing").alias("x")).when(extra, F.lit("unexpected")),
-    ]
-    reports = [F.when(missing | extra, F.struct(F.lit(id_col).alias("field"), found[0].alias("message")))]
+
+    def report(field: str, message: str) -> Column:
+        return F.struct(F.lit(field).alias("field"), F.lit(message).alias("message"))
+
+    reports = [F.when(missing, report(id_col, "missing")).when(extra, report(id_col, "unexpected"))]
     for f in fields:
         wrong = ~missing & ~extra & _differs(f.name, f.dataType, tolerance)
-        entry = F.struct(F.lit(f.name).alias("field"), F.lit("mismatch").alias("message"))
-        reports.append(F.when(wrong, entry))
+        reports.append(F.when(wrong, report(f.name, "mismatch")))
     joined = e.join(a, F.col(f"e.{id_col}") == F.col(f"a.{id_col}"), "full_outer")
     listed = joined.select(key.alias(id_col), F.array_compact(F.array(*reports)).alias("r"))
     return listed.select(id_col, F.inline("r"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanvec.errors import SchemaError
-from spanvec.functions.vectors import _col
+from spanvec.functions.vectors import as_column
 
 
 def _predicate(condition: Column | str) -> Column:
@@ -43,7 +43,7 @@ def batch_update(df: DataFrame, condition: Column | str, changes: Mapping[str, A
     value = {c: v if isinstance(v, Column) else F.lit(v) for c, v in changes.items()}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns(
-        {c: F.when(hit, v.cast(kinds[c])).otherwise(_col(c)) for c, v in value.items()}
+        {c: F.when(hit, v.cast(kinds[c])).otherwise(as_column(c)) for c, v in value.items()}
     )
 
 

@@ -50,8 +50,9 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def _is_lines(spark: SparkSession, path: str) -> bool:
-    first = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(F.trim("value")).first()
-    return first is not None and not first[0].startswith("[")
+    # Cut at braces, the text before the first record is short in any file.
+    first = spark.read.option("lineSep", "{").text(path).first()
+    return first is None or not first[0].lstrip().startswith("[")
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -53,12 +53,29 @@ def file_source(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.text(path)
 
 
-def produce_messages(messages: DataFrame, target: str, options: Mapping[str, str] | None = None) -> None:
-    """Write message texts to a topic, or to files when ``target`` is a path."""
-    if options and "kafka.bootstrap.servers" in options:
-        messages.write.format("kafka").option("topic", target).options(**options).save()
+def produce_messages(
+    messages: DataFrame,
+    target: str,
+    options: Mapping[str, str] | None = None,
+    checkpoint: str | None = None,
+) -> StreamingQuery | None:
+    """Write message texts to a topic, or to files when ``target`` is a path.
+
+    A streaming frame is written as it grows and gives its query; it needs a
+    checkpoint folder.
+    """
+    to_topic = "kafka.bootstrap.servers" in (options or {})
+    texts = messages.select("value")
+    if messages.isStreaming:
+        writer = texts.writeStream.option("checkpointLocation", checkpoint)
+        if to_topic:
+            return writer.format("kafka").option("topic", target).options(**options).start()
+        return writer.format("text").option("path", target).trigger(availableNow=True).start()
+    if to_topic:
+        texts.write.format("kafka").option("topic", target).options(**options).save()
     else:
-        messages.select("value").write.mode("append").text(target)
+        texts.write.mode("append").text(target)
+    return None
 
 
 def _each_batch(

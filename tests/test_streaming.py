@@ -54,6 +54,19 @@ def test_render_and_parse_are_inverse(spark):
     assert (back.operation, back.collection) == ("update", "c")
 
 
+def test_a_stream_of_messages_is_forwarded(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "topic")
+    ingest.produce_messages(frame(spark, TEXTS).coalesce(1), source)
+    query = ingest.produce_messages(ingest.file_source(spark, source), target, checkpoint=str(tmp_path / "c"))
+    query.awaitTermination()
+    assert sorted(r.value for r in spark.read.text(target).collect()) == sorted(TEXTS)
+
+
+def test_topic_source_needs_the_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        ingest.kafka_source(spark, "localhost:9", "t", 100, {"failOnDataLoss": "false"})
+
+
 def test_ingest_survives_a_restart_and_equals_the_batch(spark, tmp_path):
     source, root, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     ingest.produce_messages(frame(spark, TEXTS[:3]).coalesce(1), source)
