@@ -416,6 +416,36 @@ def stream_ingest_rejects(spark, sf):
     return rejects.groupBy("reason").agg(F.count("*").alias("n"))
 
 
+@query(
+    "stream_fold",
+    """SELECT vec_id, CASE WHEN label = 5 THEN 105 ELSE label END AS label,
+    round(CASE WHEN label = 5 THEN 2.0 ELSE 1.0 END * list_sum(CAST(embedding AS DOUBLE[])), 6) + 0.0 AS total
+    FROM embeddings WHERE label <> 3
+    UNION ALL SELECT vec_id + 1000000, label, round(list_sum(CAST(embedding AS DOUBLE[])), 6) + 0.0
+    FROM embeddings WHERE label = 8""",
+)
+def stream_fold(spark, sf):
+    """Updates, deletes and inserts through a stream, folded into the collection."""
+    e = doubles(spark, sf)
+    topic = scratch(spark, "topic")
+
+    def send(rows_, operation, vector, **entries):
+        pairs = [x for k, v in entries.items() for x in (F.lit(k), v.cast("string"))]
+        one = rows_.select(F.array(vector).alias("vectors"), F.array(F.create_map(*pairs)).alias("metadata"))
+        ingest.produce_messages(messages.render_messages(one, operation, "vectors"), topic)
+
+    doubled = F.transform("vector", lambda x: x * 2)
+    send(e.where("label = 5"), "update", doubled, id=F.col("vec_id"), label=F.lit(105))
+    send(e.where("label = 3"), "delete", F.col("vector"), id=F.col("vec_id"))
+    send(e.where("label = 8"), "insert", F.col("vector"), id=F.col("vec_id") + 1_000_000, label=F.col("label"))
+    root = scratch(spark, "stream")
+    source = ingest.file_source(spark, topic, max_files=2)
+    ingest.stream_ingest(source, root, f"{root}/checkpoint", available_now=True).awaitTermination()
+    base = e.withColumnRenamed("vec_id", "id")
+    state = ingest.current_state(base, ingest.read_ingested(spark, root, "vectors"))
+    return with_total(state.withColumnRenamed("id", "vec_id"))
+
+
 @query("stream_metric_windows", ORACLES["metric_stream"])
 def stream_metric_windows(spark, sf):
     """The metric windows as a streaming query over the events, read back as a table."""

@@ -13,14 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from spanvec.session import materialize
+from spanvec.sources.tables import SnapshotTable
 from spanvec.streaming.messages import (
     apply_operations,
+    fold_batches,
     latest_operations,
     stream_explode,
     stream_parse,
     stream_rejects,
 )
 
+# An operation comes after another by these columns.
+ORDER = ("batch_id", "seq", "part", "pos")
 # Fixed value: a batch is taken at least this often.
 TRIGGER = "1 second"
 
@@ -132,20 +137,34 @@ def read_ingested(spark: SparkSession, root: str, collection: str) -> DataFrame:
 
 
 def current_state(base: DataFrame, operations: DataFrame, id_key: str = "id") -> DataFrame:
-    """``id, vector`` of a collection after the ingested operations.
-
-    A micro-batch only appends its operations; the table is folded when it is
-    read, or rewritten from this state by a compaction. The id of an operation
-    is the entry ``id_key`` of its metadata.
+    """A collection after the ingested operations.
+
+    A micro-batch only appends its operations; the collection is folded when
+    it is read, or rewritten from this state by ``fold_operations``. The id of
+    an operation is the entry ``id_key`` of its metadata, and entries named
+    like a column of the collection are its values. An insert puts every
+    column, an update those it names, a delete removes the row. Inside a batch
+    the last operation of an id counts; batches follow one another.
     """
+    kinds = {f.name: f.dataType for f in base.schema.fields}
+    fields = [c for c in base.columns if c not in ("id", "vector")]
+    entry = {c: F.try_element_at("metadata", F.lit(c)).try_cast(kinds[c]).alias(c) for c in fields}
     keyed = operations.select(
         F.col("metadata")[id_key].cast("bigint").alias("id"),
         "operation",
-        "vector",
-        "batch_id",
-        "seq",
-        "part",
-        "pos",
+        F.col("vector").cast(kinds["vector"]).alias("vector"),
+        *entry.values(),
+        *[F.col(c).alias(f"_{c}") for c in ORDER],
     ).where(F.col("id").isNotNull())
-    last = latest_operations(keyed, "id", "batch_id", "seq", "part", "pos")
-    return apply_operations(base.select("id", "vector"), last, "id", ["vector"])
+    per_batch = latest_operations(keyed, ["id", "_batch_id"], *[f"_{c}" for c in ORDER[1:]])
+    named = ["vector", *fields]
+    return apply_operations(base, fold_batches(per_batch, "id", "_batch_id", named), "id", named)
+
+
+def fold_operations(table: SnapshotTable, operations: DataFrame) -> int:
+    """Make the table hold its state after the operations.
+
+    Folding the same operations again changes nothing, as long as no other
+    change came in between.
+    """
+    return table.replace(current_state(table.read(), materialize(operations)))

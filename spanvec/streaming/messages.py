@@ -68,15 +68,40 @@ def render_messages(batches: DataFrame, operation: str, collection: str) -> Data
     return batches.select(F.to_json(body).alias("value"))
 
 
-def latest_operations(rows: DataFrame, id_col: str, *order: str) -> DataFrame:
-    """The last operation of each id by ``order``.
+def latest_operations(rows: DataFrame, keys: str | list[str], *order: str) -> DataFrame:
+    """The last operation of each key by ``order``.
 
     An aggregate rather than a window: copies of one id are combined before
     they move.
     """
-    others = [c for c in rows.columns if c != id_col]
+    keys = [keys] if isinstance(keys, str) else keys
+    others = [c for c in rows.columns if c not in keys]
     last = F.max_by(F.struct(*others), F.struct(*order))
-    return rows.groupBy(id_col).agg(last.alias("l")).select(id_col, "l.*")
+    return rows.groupBy(*keys).agg(last.alias("l")).select(*keys, "l.*")
+
+
+def fold_batches(rows: DataFrame, id_col: str, batch_col: str, fields: list[str]) -> DataFrame:
+    """One operation per id that does what its operations of all batches do.
+
+    ``rows`` holds an id once per batch. The last insert or delete of an id
+    makes what came before it void; of the updates after it each field keeps
+    its newest value.
+    """
+    op, at = F.col("operation"), F.col(batch_col)
+    resets = rows.where(op.isin("insert", "delete")).groupBy(id_col).agg(F.max(at).alias("_reset"))
+    valid = rows.join(resets, id_col, "left").where(F.col("_reset").isNull() | (at >= F.col("_reset")))
+    # Where the order is NULL a row does not count.
+    newest = [
+        F.max_by(c, F.when(F.col(c).isNotNull() & (op != "delete"), at)).alias(c) for c in fields
+    ]
+    ends = [F.min_by(op, at).alias("_first"), F.max_by(op, at).alias("_last")]
+    folded = valid.groupBy(id_col).agg(*newest, *ends)
+    whole = (
+        F.when(F.col("_last") == "delete", "delete")
+        .when(F.col("_first") == "update", "update")
+        .otherwise("insert")
+    )
+    return folded.withColumn("operation", whole).drop("_first", "_last")
 
 
 def apply_operations(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanvec.operators import providers
+from spanvec.sources.tables import SnapshotTable
 from spanvec.operators.series import alert_rules, last_n, latest_per_type, metric_retention
 from spanvec.streaming import ingest, messages
 from spanvec.streaming.metrics import metric_stream
@@ -100,18 +101,38 @@ def test_a_replayed_batch_adds_nothing(spark, tmp_path):
 
 def test_operations_fold_into_the_collection(spark, tmp_path):
     source, root, check = (str(tmp_path / n) for n in ("in", "out", "check"))
-    base = spark.createDataFrame([(i, [float(i)] * 2) for i in range(5)], "id bigint, vector array<double>")
+    base = spark.createDataFrame([(i, [float(i)] * 2, i) for i in range(5)], "id bigint, vector array<double>, n int")
     steps = [
-        [message([[9, 9]], [{"id": 0}], "update", "c"), message([[1, 1]], [{"id": 7}], "insert", "c")],
+        [message([[9, 9]], [{"id": 0, "n": 50}], "update", "c"), message([[1, 1]], [{"id": 7}], "insert", "c")],
         [message([[0, 0]], [{"id": 1}], "delete", "c"), message([[8, 8]], [{"id": 0}], "update", "c")],
-        [message([[5, 5]], [{"id": 1}], "insert", "c"), message([[0, 0]], [{"id": 7}], "delete", "c")],
+        [message([[5, 5]], [{"id": 1, "n": 60}], "insert", "c"), message([[0, 0]], [{"id": 7}], "delete", "c")],
     ]
     for texts in steps:
         ingest.produce_messages(frame(spark, texts).coalesce(1), source)
         query = ingest.stream_ingest(ingest.file_source(spark, source), root, check, True)
         query.awaitTermination()
-    state = ingest.current_state(base, ingest.read_ingested(spark, root, "c"))
-    assert {r.id: r.vector[0] for r in state.collect()} == {0: 8.0, 1: 5.0, 2: 2.0, 3: 3.0, 4: 4.0}
+    operations = ingest.read_ingested(spark, root, "c")
+    # The last operation of id 0 names no ``n``: the one of the batch before stays.
+    expected = {0: (8.0, 50), 1: (5.0, 60), 2: (2.0, 2), 3: (3.0, 3), 4: (4.0, 4)}
+    state = ingest.current_state(base, operations)
+    assert {r.id: (r.vector[0], r.n) for r in state.collect()} == expected
+    t = SnapshotTable(spark, str(tmp_path / "table"))
+    t.create(base)
+    for _ in range(2):
+        ingest.fold_operations(t, operations)
+        assert {r.id: (r.vector[0], r.n) for r in t.read().collect()} == expected
+
+
+def test_batches_follow_one_another(spark):
+    rows = [
+        (1, 0, "update", "a", None), (1, 1, "update", None, 1), (1, 2, "update", "b", None),
+        (2, 0, "update", "a", 9), (2, 1, "delete", "x", None), (2, 2, "update", None, 4),
+        (3, 0, "insert", "a", 9), (3, 1, "insert", "c", None), (3, 2, "update", None, 5),
+        (4, 0, "insert", "a", 9), (4, 1, "delete", None, None),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, b int, operation string, s string, n int")
+    out = {r.id: (r.operation, r.s, r.n) for r in messages.fold_batches(df, "id", "b", ["s", "n"]).collect()}
+    assert out == {1: ("update", "b", 1), 2: ("insert", None, 4), 3: ("insert", "c", 5), 4: ("delete", None, None)}
 
 
 def test_metric_windows_on_a_stream_equal_the_batch(spark, tmp_path):
