@@ -55,7 +55,7 @@ def test_only_needed_columns_are_read(spark, name, columns):
 def test_groups_are_cut_before_the_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     cut = plan.index("Partial", plan.index("Exchange hashpartitioning"))
-    assert cut > 0 and plan.count("WindowGroupLimit") == 2
+    assert cut > 0 and plan.count("WindowGroupLimit") >= 2
 
 
 @pytest.mark.parametrize("name", ["metric_summary", "dedup_records", "latest_per_type", "validation_summary", "error_rate"])

@@ -91,6 +91,19 @@ def test_pickled_npz_content_is_refused(spark, tmp_path):
         scan_by_config(spark, config("npz", tmp_path)).collect()
 
 
+def test_hdf5_is_gated(spark, tmp_path):
+    try:
+        import h5py
+    except ImportError:
+        with pytest.raises(SourceError):
+            scan_by_config(spark, config("hdf5", tmp_path))
+        return
+    path = tmp_path / "s.h5"
+    with h5py.File(path, "w") as f:
+        f["vector"], f["category"], f["score"] = np.array(VECTORS), CATEGORY, SCORE
+    assert values(scan_by_config(spark, config("hdf5", path))) == SAMPLE
+
+
 def test_inferred_csv(spark, tmp_path):
     path = write_sample("csv", tmp_path)
     assert values(scan_by_config(spark, config("csv", path, schema=None))) == SAMPLE
