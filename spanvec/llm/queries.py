@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spanvec.llm import byte_bpe, source_mix
+from spanvec.llm import byte_bpe, jaccard_join, language_crf, pairwise_quality, source_mix
 from spanvec.plans.base import Plan, table
 
 QUERIES: dict[str, Plan] = {}
@@ -22,11 +22,28 @@ def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> dict[bytes, int]:
         return byte_bpe.read_ranks(lines.read())
 
 
+@query
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), public_tokenizers.PATTERN)
 
 
+@query
+def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_crf.predict(docs, language_crf.learn(docs))
+
+
+@query
+def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pairwise_quality.score(docs, pairwise_quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents"))

@@ -153,3 +153,17 @@ def mix(docs: DataFrame, *, weights=(5.0, 2.0, 1.0), most: float = 3.0, block_wo
     out = placed.withColumn("_at", F.when(F.col("size") > 0, F.col("start")))
     out = out.join(taken.select(F.col("sid").alias("_sid"), F.col("start").alias("_start"), "taken"), (F.col("sid") == F.col("_sid")) & (F.col("_at") == F.col("_start")), "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents, all their columns, as often as the mix takes them, to the nearest whole number.
+
+    Rows that share id and source share what is taken of them.
+    """
+    by_row = mix(docs, **options).groupBy("doc_id", "source").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    by_row = by_row.where("_taken > 0").select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.round(F.col("_taken") / F.col("_size")).cast("int").alias("_copies")
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))
+    often = docs.join(by_row, same).where("_copies > 0")
+    return often.withColumn("_copies", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
