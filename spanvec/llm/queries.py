@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spanvec.llm import byte_bpe, jaccard_join, language_crf, pairwise_quality, source_mix
+from spanvec.llm import byte_bpe, jaccard_join, language_crf, pairwise_quality, source_mix, warc
 from spanvec.plans.base import Plan, table
 
 QUERIES: dict[str, Plan] = {}
@@ -38,6 +38,25 @@ def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.predict(docs, language_crf.learn(docs))
 
 
+#: Base32 of a SHA-1: eight characters for each ten hexadecimal digits.
+ORACLES["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+ array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(h, 1 + 10 * (j // 8), 10) AS BIGINT)
+ >> (35 - 5 * (j % 8))) & 31) AS INTEGER), 1) FOR j IN range(32)], '') AS payload_digest,
+ CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+ CASE WHEN page_id > first THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM p JOIN f USING (h)
+"""
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
 @query
 def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
