@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spanvec.llm import byte_bpe, jaccard_join, language_crf, pairwise_quality, source_mix, warc
+from spanvec.llm import byte_bpe, jaccard_join, language_crf, nn_descent, pairwise_quality, source_mix, warc
 from spanvec.plans.base import Plan, table
 
 QUERIES: dict[str, Plan] = {}
@@ -38,6 +38,11 @@ def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.predict(docs, language_crf.learn(docs))
 
 
+@query
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 #: Base32 of a SHA-1: eight characters for each ten hexadecimal digits.
 ORACLES["op5_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
