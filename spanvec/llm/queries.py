@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanvec.llm import byte_bpe, jaccard_join, language_crf, nn_descent, pairwise_quality, source_mix, warc
+from spanvec.llm import byte_bpe, jaccard_join, language_crf, nn_descent, pairwise_quality, permutation_index, source_mix, warc
 from spanvec.plans.base import Plan, table
 
 QUERIES: dict[str, Plan] = {}
@@ -72,3 +73,8 @@ def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query
+def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
