@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanvec.llm import byte_bpe, jaccard_join, language_crf, nn_descent, pairwise_quality, permutation_index, source_mix, warc
+from spanvec.llm import (
+    byte_bpe,
+    conversation_tools,
+    jaccard_join,
+    language_crf,
+    license_scan,
+    nn_descent,
+    pairwise_quality,
+    permutation_index,
+    source_mix,
+    tool_calls,
+    warc,
+)
 from spanvec.plans.base import Plan, table
 
 QUERIES: dict[str, Plan] = {}
@@ -75,6 +87,20 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+ORACLES["op10_tool_calls"] = conversation_tools.ORACLE
+
+
+@query
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_tools.calls_and_results(table(spark, sf_dir, "conversations"))
+    return tool_calls.format_calls(calls, results, conversation_tools.SCHEMAS)
