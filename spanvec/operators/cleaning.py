@@ -29,19 +29,25 @@ def _statistics(df: DataFrame, fields: Sequence[str]) -> dict[str, Any]:
             F.max(value).alias(f"max_{f}"),
             F.avg(value).alias(f"avg_{f}"),
             F.stddev_samp(value).alias(f"dev_{f}"),
+            F.count_if(value.isNull()).alias(f"nulls_{f}"),
         ]
     return df.agg(*wanted).first().asDict()
 
 
 def fill_missing(df: DataFrame, values: Mapping[str, Any] | None = None) -> DataFrame:
-    """NULLs to a given value, else the mean of a numeric field or an empty text."""
+    """NULLs to a given value, else the mean of a numeric field or an empty text.
+
+    A field with NULLs that is filled with its mean becomes DOUBLE.
+    """
     given = dict(values or {})
     open_fields = [f for f in df.schema.fields if f.name not in given]
     numeric = [f.name for f in open_fields if isinstance(f.dataType, T.NumericType)]
     means = _statistics(df, numeric)
+    numeric = [f for f in numeric if means[f"nulls_{f}"]]
     for f in open_fields:
         if f.name in numeric and means[f"avg_{f.name}"] is not None:
             given[f.name] = means[f"avg_{f.name}"]
+            df = df.withColumn(f.name, F.col(f.name).cast("double"))
         elif isinstance(f.dataType, T.StringType):
             given[f.name] = ""
         elif isinstance(f.dataType, T.BooleanType):

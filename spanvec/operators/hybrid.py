@@ -116,15 +116,21 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def rank_weighted(df: DataFrame, rankings: Sequence[Ranking]) -> DataFrame:
-    """Weighted sum of fields, ordered as the first ranking says."""
+    """Weighted sum of fields.
+
+    The sum has one order, that of the first ranking. Each ranking's ``min_score`` is a
+    bound on the sum, so the largest holds, and the smallest ``max_results`` counts.
+    """
     first = rankings[0]
+    least = max((r.min_score for r in rankings if r.min_score is not None), default=None)
+    most = min((r.max_results for r in rankings if r.max_results is not None), default=None)
     total = reduce(lambda a, b: a + b, [_number(df, r.field_name) * r.weight for r in rankings])
     ranked = df.withColumn("ranking_score", total)
-    if first.min_score is not None:
-        ranked = ranked.where(F.col("ranking_score") >= first.min_score)
+    if least is not None:
+        ranked = ranked.where(F.col("ranking_score") >= least)
     score = F.col("ranking_score")
     ranked = ranked.orderBy(score.desc() if first.sort_order == "desc" else score.asc(), F.col("id"))
-    return ranked if first.max_results is None else ranked.limit(first.max_results)
+    return ranked if most is None else ranked.limit(most)
 
 
 def hybrid_search(

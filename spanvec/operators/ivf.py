@@ -55,18 +55,11 @@ def train_centroids(
     iterations: int = 20,
     seed: int = 42,
     vector_col: str = "vector",
-    fraction: float = 1.0,
 ) -> DataFrame:
-    """``centroid_id, vector`` from k-means over the rankable vectors.
-
-    Training reads its rows once per iteration. On a large table a fraction of
-    them places the centroids as well; every row is still assigned to a cell.
-    """
+    """``centroid_id, vector`` from k-means over the rankable vectors, read once per iteration."""
     usable = collection.where(vec_finite(vector_col))
     if check_metric(metric) == "COSINE":
         usable = usable.where(vec_norm(vector_col) > 0)
-    if fraction < 1.0:
-        usable = usable.sample(fraction, seed)
     points = usable.select(array_to_vector(as_double(vector_col)).alias("features"))
     distance = "cosine" if metric == "COSINE" else "euclidean"
     model = KMeans(k=nlist, maxIter=iterations, seed=seed, distanceMeasure=distance).fit(points)

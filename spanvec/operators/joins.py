@@ -72,8 +72,10 @@ def diff_results(
     """One row per difference: ``id, field, message``, paired by id.
 
     A row on one side only is reported under the id field, and every other
-    shared field is compared with the tolerance its type calls for.
+    shared field is compared with the tolerance its type calls for. A field that
+    the actual side lacks is reported for each row of both sides.
     """
+    absent = [f.name for f in expected.schema.fields if f.name not in actual.columns]
     fields = [f for f in expected.schema.fields if f.name != id_col and f.name in actual.columns]
     e = expected.select(id_col, *[f.name for f in fields]).alias("e")
     a = actual.select(id_col, *[f.name for f in fields]).alias("a")
@@ -87,13 +89,19 @@ def diff_results(
     for f in fields:
         wrong = ~missing & ~extra & _differs(f.name, f.dataType, tolerance)
         reports.append(F.when(wrong, report(f.name, "mismatch")))
+    reports += [F.when(~missing & ~extra, report(name, "absent")) for name in absent]
     joined = e.join(a, F.col(f"e.{id_col}") == F.col(f"a.{id_col}"), "full_outer")
     listed = joined.select(key.alias(id_col), F.array_compact(F.array(*reports)).alias("r"))
     return listed.select(id_col, F.inline("r"))
 
 
+def same_results(differences: DataFrame) -> bool:
+    """The verdict: whether no difference was found."""
+    return differences.isEmpty()
+
+
 def diff_summary(expected: DataFrame, actual: DataFrame, differences: DataFrame) -> DataFrame:
-    """Row counts of both sides, differences per field, in one small table."""
+    """Row counts of both sides, differences per field, and the verdict, ``n`` = 1 if all is the same."""
     counts = differences.groupBy("field", "message").agg(F.count("*").alias("n"))
     sizes = [
         side.agg(F.count("*").alias("n")).select(
@@ -101,4 +109,7 @@ def diff_summary(expected: DataFrame, actual: DataFrame, differences: DataFrame)
         )
         for name, side in (("expected", expected), ("actual", actual))
     ]
-    return reduce(DataFrame.unionByName, [counts, *sizes])
+    verdict = differences.agg((F.count("*") == 0).cast("bigint").alias("n")).select(
+        F.lit("verdict").alias("field"), F.lit("same").alias("message"), "n"
+    )
+    return reduce(DataFrame.unionByName, [counts, *sizes, verdict])

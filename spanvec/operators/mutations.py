@@ -70,6 +70,26 @@ def like(rows: DataFrame, df: DataFrame) -> DataFrame:
     )
 
 
+def last_changes(changes: DataFrame, id_col: str = "id", order_by: str | None = None) -> DataFrame:
+    """One change of each id: the last by ``order_by``, which is then dropped.
+
+    Without an order an id that occurs twice with different fields fails the query;
+    equal copies are one change. A change without an id adds a row of its own.
+    """
+    others = [c for c in changes.columns if c not in (id_col, order_by)]
+    keyed, free = changes.where(F.col(id_col).isNotNull()), changes.where(F.col(id_col).isNull())
+    fields = F.struct(*others) if others else F.struct(F.lit(1).alias("_one"))
+    if order_by is not None:
+        one = keyed.groupBy(id_col).agg(F.max_by(fields, F.col(order_by)).alias("c"))
+    else:
+        # Hashed, as some types cannot be compared.
+        kind = F.xxhash64(F.to_json(fields, {"ignoreNullFields": "false"}))
+        one = keyed.groupBy(id_col).agg(F.first(fields).alias("c"), F.min(kind).alias("a"), F.max(kind).alias("b"))
+        twice = F.raise_error(F.concat(F.lit("two changes of id "), F.col(id_col).cast("string"))).cast("boolean")
+        one = one.where(F.when(F.col("a") == F.col("b"), F.lit(True)).otherwise(twice))
+    return one.select(id_col, *[F.col("c")[c].alias(c) for c in others]).unionByName(free.select(id_col, *others))
+
+
 def replace_rows(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
     """Rows of a collection with the fields of a change of equal id put in.
 
@@ -87,11 +107,12 @@ def replace_rows(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataF
     return joined.select([pick(f) for f in df.columns])
 
 
-def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id") -> DataFrame:
-    """Replace rows of equal id by ``changes`` and add the new ones.
+def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id", order_by: str | None = None) -> DataFrame:
+    """Replace rows of equal id by ``changes`` and add the new ones; the last change of an id counts.
 
     A full outer join would always shuffle the collection; a left join with
     the additions appended does not when the changes are few.
     """
+    changes = last_changes(changes, id_col, order_by)
     added = like(absent_rows(changes, df, id_col), df)
     return replace_rows(df, changes, id_col).unionByName(added)

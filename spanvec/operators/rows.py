@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanvec.session import materialize
+
 
 GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 256
@@ -75,6 +77,22 @@ def assign_ids(new_rows: DataFrame, order_by: str, highest: int | None, id_col:
     return numbered.withColumn(id_col, F.col("_pos") - 1 + F.lit(first)).drop("_pos")
 
 
+def number_rows(rows: DataFrame, first: int, id_col: str = "id") -> DataFrame:
+    """Rows as they come with consecutive ids from ``first`` on.
+
+    The rows are written with the number of their task and their place in it, so a task
+    that runs again numbers the same rows; the counts of the tasks give each its first id.
+    """
+    placed = materialize(rows.withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_task", F.shiftright("_place", 33))
+    counts = placed.groupBy("_task").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    at = F.col("_offset") + F.col("_place") - F.shiftleft("_task", 33) + F.lit(first)
+    # One row per task of the write: the number of tasks bounds this side.
+    return placed.join(F.broadcast(offsets), "_task").withColumn(id_col, at).drop("_place", "_task", "_offset")
+
+
 def batch_assign(df: DataFrame, key: str, batch_size: int) -> DataFrame:
     """Chunk number and position inside the chunk: chunk *i* holds rows ``i*b`` on."""
     at = F.col("_pos") - 1

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from spanvec.errors import SearchError
 from spanvec.functions.vectors import as_double, similarity
 from spanvec.operators.rows import top_per_key
-from spanvec.operators.topk import RunningTopK, exact, matrix
+from spanvec.operators.topk import RunningTopK, matrix
 
 # The metric names, and the default result size.
 METRICS = ("L2", "IP", "COSINE")
@@ -298,6 +298,16 @@ def block_topk(
     )
 
 
+def _products(metric: str, x: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """All products of the rows of two blocks; under COSINE a zero norm gives NaN."""
+    value = x @ block.T
+    if metric == "COSINE":
+        norms = np.sqrt((x * x).sum(1))[:, None] * np.sqrt((block * block).sum(1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            value = np.where(norms > 0, value / norms, np.nan)
+    return value
+
+
 def pair_matrix(
     first: DataFrame,
     second: QuerySet,
@@ -323,9 +333,7 @@ def pair_matrix(
             step = max(1, 200_000 // max(1, len(block)))
             for lo in range(0, len(ids), step):
                 rows = len(ids[lo : lo + step])
-                left = np.repeat(x[lo : lo + step], len(block), axis=0)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    value = 0.0 - exact(metric, np.tile(block, (rows, 1)), left)
+                value = _products(metric, x[lo : lo + step], block).reshape(-1)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "i": pa.array(np.repeat(ids[lo : lo + step], len(block)), pa.int64()),

@@ -50,11 +50,14 @@ def augmented(metric: str, v: np.ndarray, query: bool) -> tuple[np.ndarray, np.n
     return np.hstack([plain, last[:, None]]), usable
 
 
-def exact(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Smaller-is-better key of row-aligned pairs, in short runs of rows."""
-    out = np.empty(len(q))
-    for lo in range(0, len(q), PAIR_ROWS):
-        a, b = q[lo : lo + PAIR_ROWS], x[lo : lo + PAIR_ROWS]
+def exact(metric: str, q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smaller-is-better key of the pairs of rows ``i`` of ``q`` and ``j`` of ``x``.
+
+    Rows are gathered in short runs: many ties make many pairs.
+    """
+    out = np.empty(len(i))
+    for lo in range(0, len(i), PAIR_ROWS):
+        a, b = q[i[lo : lo + PAIR_ROWS]], x[j[lo : lo + PAIR_ROWS]]
         if metric == "L2":
             out[lo : lo + PAIR_ROWS] = np.sqrt(((a - b) ** 2).sum(1))
             continue
@@ -116,7 +119,7 @@ class RunningTopK:
         # Wider than the rounding of the product, so no true neighbour is lost.
         slack = 1e-9 * (1.0 if self.metric == "COSINE" else squares.max() + largest)
         at, pos = np.nonzero(product >= (need - slack)[:, None])
-        return rows[at], ids[pos], exact(self.metric, self.queries[rows[at]], x[pos])
+        return rows[at], ids[pos], exact(self.metric, self.queries, x, rows[at], pos)
 
     def settle(self) -> None:
         """Rank what was offered and keep the best of it."""

@@ -226,7 +226,7 @@ def clean_fill_missing(spark, sf):
     labels = table(spark, sf, "labels")
     docs = table(spark, sf, "documents").select("doc_id", F.when(F.col("lang") != "es", F.col("lang")).alias("lang"))
     joined = docs.join(labels, "doc_id", "left").select(
-        "doc_id", "lang", F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic")
+        "doc_id", "lang", "quality", F.col("toxic").cast("double").alias("toxic")
     )
     return cleaning.fill_missing(joined, {"toxic": -1.0}).withColumn("quality", r6("quality"))
 

@@ -367,10 +367,10 @@ def fuse_results(spark, sf):
 
 @query(
     "sort_by_score",
-    f"WITH {FUSED} SELECT {FUSED_COLUMNS} FROM fused ORDER BY combined_score DESC, id LIMIT 25",
+    f"WITH {FUSED} SELECT {FUSED_COLUMNS} FROM fused ORDER BY combined_score DESC, id",
 )
 def sort_by_score(spark, sf):
-    return _rounded(hybrid.sort_by_score(_fused(spark, sf)).limit(25))
+    return _rounded(hybrid.sort_by_score(_fused(spark, sf)))
 
 
 @query(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import uuid
 from datetime import datetime
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -221,7 +222,10 @@ def table_mutations(spark, sf):
     t.create(collection(spark, sf))
     t.delete("label == 3")
     t.update("label == 5", {"label": 500})
-    t.upsert(table(spark, sf, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") + 700).alias("label")))
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "quality")
+    # Each id has an earlier change that does not count.
+    changes = [labels.select("id", (F.col("quality") + n).alias("label"), F.lit(at).alias("at")) for n, at in ((300, 1), (700, 2))]
+    t.upsert(reduce(DataFrame.unionByName, changes), order_by="at")
     new = table(spark, sf, "documents").select(
         "doc_id", F.col("n_chars").cast("int").alias("label"), F.lit(None).cast("array<float>").alias("vector")
     )
@@ -268,16 +272,42 @@ def export_json(spark, sf):
     return back.select("id", "lang", "n_chars", F.md5("text").alias("body"))
 
 
-@query("import_records", "SELECT doc_id AS id, lang, n_chars FROM documents WHERE n_chars BETWEEN 50 AND 5000")
+@query(
+    "import_records",
+    """WITH p AS (SELECT doc_id AS id, lang, n_chars, doc_id % 4 AS k FROM documents)
+    SELECT 'accepted' AS kind, id, lang, n_chars, CAST(NULL AS VARCHAR) AS error FROM p WHERE k IN (0, 1) AND n_chars BETWEEN 50 AND 5000
+    UNION ALL SELECT 'rejected', id, NULL, NULL, 'Record ' || id || ': Value for field n_chars ' || CASE WHEN n_chars < 50 THEN 'below minimum: 50' ELSE 'above maximum: 5000' END
+      FROM p WHERE k IN (0, 1) AND n_chars NOT BETWEEN 50 AND 5000
+    UNION ALL SELECT 'rejected', NULL, NULL, NULL, CASE k WHEN 2 THEN 'not a record' ELSE 'not a list' END FROM p WHERE k IN (2, 3)
+    UNION ALL SELECT 'rejected', NULL, NULL, NULL, 'empty list' FROM p WHERE id = 0""",
+)
 def import_records(spark, sf):
+    """A folder of lines, lists, cut-off lines, files that are no list, and an empty list."""
     path = scratch(spark, "export")
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars")
-    snapshots.export_collection(docs, path)
+    record = F.to_json(F.struct("id", "lang", "n_chars")).alias("value")
+    of = lambda k: docs.where(F.pmod("id", F.lit(4)) == k)
+    # Arrays, with a line break in them, of the second quarter; the others are one text per line.
+    lists = of(1).groupBy((F.col("id") / 4000).cast("bigint").alias("g")).agg(F.array_sort(F.collect_list(record)).alias("r"))
+    lists = lists.select(F.concat(F.lit("[\n"), F.array_join("r", ",\n"), F.lit("\n]")).alias("value"))
+    of(0).select(record).write.text(f"{path}/lines")
+    of(2).select(record).select(F.substring("value", 1, 5).alias("value")).write.text(f"{path}/cut")
+    lists.write.option("maxRecordsPerFile", 1).text(f"{path}/lists")
+    of(3).select(record).write.option("maxRecordsPerFile", 1).text(f"{path}/objects")
+    docs.where("id = 0").select(F.lit(" [ ] ").alias("value")).write.text(f"{path}/none")
+    rules = Rules(required_fields=["id", "lang"], value_ranges={"n_chars": (50, 5000)})
     t = SnapshotTable(spark, scratch(spark, "table"))
     t.create(docs.limit(0))
-    rules = Rules(required_fields=["id", "lang"], value_ranges={"n_chars": (50, 5000)})
-    snapshots.import_records(t, path, docs.schema, rules)
-    return t.read()
+    rejected = []
+    for folder, layout in (("lines", "lines"), ("cut", "lines"), ("lists", "array"), ("objects", "array"), ("none", "array")):
+        _, rejects = snapshots.import_records(t, f"{path}/{folder}", docs.schema, rules, {"*.txt": layout})
+        rejected.append(rejects)
+    none = F.lit(None)
+    accepted = t.read().select(F.lit("accepted").alias("kind"), "id", "lang", "n_chars", none.cast("string").alias("error"))
+    others = reduce(DataFrame.unionByName, rejected).select(
+        F.lit("rejected").alias("kind"), "id", none.cast("string").alias("lang"), none.cast("bigint").alias("n_chars"), "error"
+    )
+    return accepted.unionByName(others)
 
 
 @query(
@@ -446,6 +476,38 @@ def stream_fold(spark, sf):
     return with_total(state.withColumnRenamed("id", "vec_id"))
 
 
+@query(
+    "stream_fold_messages",
+    f"""WITH {MESSAGE_ROWS}, l AS (SELECT batch, max(pos) AS last FROM m GROUP BY batch)
+    SELECT 'row' AS kind, CASE WHEN pos < last THEN vec_id END AS id, CASE WHEN pos < last THEN label END AS label,
+    round(list_sum(CAST(embedding AS DOUBLE[])), 6) + 0.0 AS total FROM m JOIN l USING (batch)
+    UNION ALL SELECT 'no id', NULL, NULL, round(list_sum(CAST(embedding AS DOUBLE[])), 6) + 0.0 FROM embeddings WHERE label = 3
+    UNION ALL SELECT 'id is not a number', NULL, NULL, round(list_sum(CAST(embedding AS DOUBLE[])), 6) + 0.0 FROM embeddings WHERE label = 4""",
+)
+def stream_fold_messages(spark, sf):
+    """Messages of 16 vectors whose last has no metadata, and operations that do not fit, into an empty collection."""
+    topic, root = scratch(spark, "topic"), scratch(spark, "stream")
+    e = doubles(spark, sf)
+    ingest.produce_messages(messages.render_messages(message_texts(spark, sf), "insert", "vectors"), topic)
+
+    def send(rows_, operation, key, value):
+        one = rows_.select(F.array("vector").alias("vectors"), F.array(F.create_map(F.lit(key), value)).alias("metadata"))
+        ingest.produce_messages(messages.render_messages(one, operation, "vectors"), topic)
+
+    send(e.where("label = 3"), "update", "label", F.lit("1"))
+    send(e.where("label = 4"), "insert", "id", F.concat(F.lit("v"), F.col("vec_id").cast("string")))
+    source = ingest.file_source(spark, topic, max_files=2)
+    ingest.stream_ingest(source, root, f"{root}/checkpoint", available_now=True).awaitTermination()
+    operations = ingest.read_ingested(spark, root, "vectors")
+    base = e.withColumnRenamed("vec_id", "id").limit(0)
+    total = r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)).alias("total")
+    given = F.when(F.col("id") < ingest.OWN_IDS, F.col("id")).alias("id")
+    state = ingest.current_state(base, operations).select(F.lit("row").alias("kind"), given, "label", total)
+    rejects = ingest.split_operations(base, operations)[1]
+    none = F.lit(None)
+    return state.unionByName(rejects.select(F.col("reason").alias("kind"), none.cast("bigint").alias("id"), none.cast("int").alias("label"), total))
+
+
 @query("stream_metric_windows", ORACLES["metric_stream"])
 def stream_metric_windows(spark, sf):
     """The metric windows as a streaming query over the events, read back as a table."""

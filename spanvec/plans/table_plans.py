@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanvec.functions.text import backup_name
@@ -272,7 +274,8 @@ def diff_results(spark, sf):
     "diff_summary",
     f"""WITH {DIFF} SELECT field, message, count(*) AS n FROM d GROUP BY field, message
     UNION ALL SELECT 'length', 'expected', count(*) FROM expected
-    UNION ALL SELECT 'length', 'actual', count(*) FROM actual""",
+    UNION ALL SELECT 'length', 'actual', count(*) FROM actual
+    UNION ALL SELECT 'verdict', 'same', CAST(count(*) = 0 AS BIGINT) FROM d""",
 )
 def diff_summary(spark, sf):
     expected, actual = _two_versions(spark, sf)
@@ -389,14 +392,17 @@ def batch_update(spark, sf):
     FROM embeddings o FULL OUTER JOIN labels n ON o.vec_id = n.doc_id""",
 )
 def upsert(spark, sf):
-    changes = table(spark, sf, "labels").select(
-        F.col("doc_id").alias("vec_id"), (F.col("quality") + 100).alias("label")
+    """Every id has a change that a later one makes void."""
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"), "quality")
+    changes = reduce(
+        DataFrame.unionByName,
+        [labels.select("vec_id", (F.col("quality") + n).alias("label"), F.lit(at).alias("at")) for n, at in ((900, 1), (100, 2))],
     )
     # Only whether a row has a vector is asked, so the vector itself stays behind.
     rows_ = table(spark, sf, "embeddings").select(
         "vec_id", "label", F.col("embedding").isNotNull().alias("held")
     )
-    state = mutations.upsert(rows_, changes, "vec_id")
+    state = mutations.upsert(rows_, changes, "vec_id", order_by="at")
     return state.select("vec_id", "label", F.coalesce("held", F.lit(False)).alias("has_vector"))
 
 

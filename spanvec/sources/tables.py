@@ -27,7 +27,7 @@ from spanvec.errors import CollectionError
 from spanvec.operators import mutations
 from spanvec.operators.collections import compact_report
 from spanvec.operators.joins import semi_select_ids
-from spanvec.operators.rows import assign_ids
+from spanvec.operators.rows import assign_ids, number_rows
 from spanvec.session import materialize
 
 VERSIONS = "version bigint, path string, schema string, live map<string,array<string>>, at timestamp"
@@ -155,9 +155,7 @@ class SnapshotTable:
             if order_by is not None:
                 rows = assign_ids(rows, order_by, highest)
             else:
-                # Written first, so that a task run again numbers the same rows.
-                first = 0 if highest is None else highest + 1
-                rows = materialize(rows).withColumn("id", F.monotonically_increasing_id() + first)
+                rows = number_rows(rows, 0 if highest is None else highest + 1)
         write = self._append(rows.select(*state.columns), old.path, False, per_file)
         self._publish(old.version + 1, old.path, old.schema, {**old.live, write: []})
         # Counted from the files: a counter would count a task run again twice.
@@ -194,11 +192,11 @@ class SnapshotTable:
             self._change(mutations.batch_update(part, condition, changes), keys, stays)
         return count
 
-    def upsert(self, changes: DataFrame) -> int:
-        """Replace and add rows by id; only partitions that hold an id are rewritten."""
+    def upsert(self, changes: DataFrame, order_by: str | None = None) -> int:
+        """Replace and add rows by id, the last change of each; only partitions that hold an id are rewritten."""
         state = self.read()
         # Used several times; from files Spark also knows how few they are.
-        changes = materialize(changes)
+        changes = materialize(mutations.last_changes(changes, "id", order_by))
         _, keys = self._touched(semi_select_ids(state, changes))
         added = mutations.absent_rows(changes, state)
         part = state.where(self._key().isin(keys))

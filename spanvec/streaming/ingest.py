@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spanvec.session import materialize
@@ -28,6 +29,8 @@ from spanvec.streaming.messages import (
 ORDER = ("batch_id", "seq", "part", "pos")
 # Fixed value: a batch is taken at least this often.
 TRIGGER = "1 second"
+# Ids that the stream gives to inserts without one.
+OWN_IDS = 1 << 62
 
 
 def kafka_source(
@@ -136,28 +139,51 @@ def read_ingested(spark: SparkSession, root: str, collection: str) -> DataFrame:
     return rows.where(F.col("collection") == collection).drop("collection")
 
 
-def current_state(base: DataFrame, operations: DataFrame, id_key: str = "id") -> DataFrame:
-    """A collection after the ingested operations.
+def split_operations(base: DataFrame, operations: DataFrame, id_key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Operations in the types of a collection, and those that do not fit it with the reason.
 
-    A micro-batch only appends its operations; the collection is folded when
-    it is read, or rewritten from this state by ``fold_operations``. The id of
-    an operation is the entry ``id_key`` of its metadata, and entries named
-    like a column of the collection are its values. An insert puts every
-    column, an update those it names, a delete removes the row. Inside a batch
-    the last operation of an id counts; batches follow one another.
+    The id of an operation is the entry ``id_key`` of its metadata, and entries named
+    like a column of the collection are its values. An insert without an id gets one:
+    its place in the stream, hashed, so it stays the same as the stream goes on;
+    such ids lie from ``OWN_IDS`` on.
     """
     kinds = {f.name: f.dataType for f in base.schema.fields}
     fields = [c for c in base.columns if c not in ("id", "vector")]
-    entry = {c: F.try_element_at("metadata", F.lit(c)).try_cast(kinds[c]).alias(c) for c in fields}
-    keyed = operations.select(
-        F.col("metadata")[id_key].cast("bigint").alias("id"),
+    raw = lambda c: F.try_element_at("metadata", F.lit(c))
+    value = {c: raw(c).try_cast(kinds[c]) for c in fields}
+    named, place = raw(id_key), [F.col(c).alias(f"_{c}") for c in ORDER]
+    own = F.xxhash64(*ORDER).bitwiseAND(F.lit(OWN_IDS - 1)).bitwiseOR(F.lit(OWN_IDS))
+    reason = (
+        F.when(named.isNotNull() & named.try_cast("bigint").isNull(), F.lit(f"{id_key} is not a number"))
+        .when(named.isNull() & (F.col("operation") != "insert"), F.lit(f"no {id_key}"))
+    )
+    for c in fields:
+        reason = reason.when(raw(c).isNotNull() & value[c].isNull(), F.lit(f"{c} is not of type {kinds[c].simpleString()}"))
+    checked = operations.withColumn("_reason", reason)
+    good = checked.where(F.col("_reason").isNull()).select(
+        F.coalesce(named.try_cast("bigint"), own).alias("id"),
         "operation",
-        F.col("vector").cast(kinds["vector"]).alias("vector"),
-        *entry.values(),
-        *[F.col(c).alias(f"_{c}") for c in ORDER],
-    ).where(F.col("id").isNotNull())
+        # The element type only: an array type may also forbid NULL elements.
+        F.col("vector").cast(T.ArrayType(kinds["vector"].elementType)).alias("vector"),
+        *[v.alias(c) for c, v in value.items()],
+        *place,
+    )
+    rejects = checked.where(F.col("_reason").isNotNull())
+    return good, rejects.select("operation", "vector", "metadata", F.col("_reason").alias("reason"), *place)
+
+
+def current_state(base: DataFrame, operations: DataFrame, id_key: str = "id") -> DataFrame:
+    """A collection after the ingested operations that fit it; ``split_operations`` has the others.
+
+    A micro-batch only appends its operations; the collection is folded when
+    it is read, or rewritten from this state by ``fold_operations``. An insert
+    puts every column, an update those it names of a row that is there, a
+    delete removes the row. Inside a batch the last operation of an id counts;
+    batches follow one another.
+    """
+    keyed, _ = split_operations(base, operations, id_key)
     per_batch = latest_operations(keyed, ["id", "_batch_id"], *[f"_{c}" for c in ORDER[1:]])
-    named = ["vector", *fields]
+    named = [c for c in base.columns if c != "id"]
     return apply_operations(base, fold_batches(per_batch, "id", "_batch_id", named), "id", named)
 
 

@@ -109,8 +109,9 @@ def apply_operations(
 ) -> DataFrame:
     """The collection after the last operation of each id.
 
-    Insert and update put the given fields, delete removes the row. Doing it
-    twice gives the same state, so a replayed batch does no harm.
+    Insert puts the given fields, update changes those of a row that is there,
+    delete removes the row. Doing it twice gives the same state, so a replayed
+    batch does no harm.
     """
     touched = [c for c in state.columns if c in fields]
     s, p = state.alias("s"), operations.alias("p")
@@ -126,6 +127,6 @@ def apply_operations(
         new = F.when(F.col("p.operation") == "update", partial).otherwise(F.col(f"p.{c}"))
         return F.when(given, new).otherwise(F.col(f"s.{c}")).alias(c)
 
-    puts = operations.where(F.col("operation") != "delete").select(id_col, *touched)
+    puts = operations.where(F.col("operation") == "insert").select(id_col, *touched)
     added = absent_rows(puts, state, id_col)
     return kept.select([value(c) for c in state.columns]).unionByName(added, allowMissingColumns=True)

@@ -45,6 +45,8 @@ def test_ranking(spark):
     assert [r.id for r in up.collect()] == [4, 3]
     mixed = hybrid.rank_weighted(df, [Ranking("flag", 10.0), Ranking("score"), Ranking("name", 100.0)])
     assert [r.id for r in mixed.collect()] == [0, 2, 4, 1, 3]
+    both = hybrid.rank_weighted(df, [Ranking("score", 1.0), Ranking("absent", 1.0, min_score=0.65, max_results=1)])
+    assert both.count() == 1 and both.first().score >= 0.65
     some = hybrid.rank_weighted(df, [Ranking("score", min_score=0.65)])
     assert [r.id for r in some.collect()] == [0, 1, 2]
 

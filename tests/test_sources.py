@@ -318,7 +318,17 @@ def test_insert_without_ids_or_order(spark, table):
     new = spark.range(30).select(F.array(F.lit(1.0).cast("float")).alias("vector"), F.lit(5).cast("bigint").alias("value"))
     assert table.insert(new.repartition(3)) == 30
     ids = [r.id for r in table.read().select("id").collect()]
-    assert len(ids) == len(set(ids)) == 1030 and sum(i >= 1000 for i in ids) == 30
+    assert sorted(ids) == list(range(1030))
+
+
+def test_the_last_change_of_an_id_counts(spark, table):
+    changes = spark.createDataFrame([(1, -1, 2), (1, -9, 1), (2000, 5, 1), (2000, 6, 2)], "id bigint, value bigint, at int")
+    assert table.upsert(changes, order_by="at") == 2
+    rows = {r.id: r.value for r in table.read().where("id in (1, 2000)").collect()}
+    assert rows == {1: -1, 2000: 6} and table.read().count() == 1001
+    with pytest.raises(Exception, match="two changes of id 1"):
+        table.upsert(changes.select("id", "value").where("id = 1"))
+    assert table.upsert(changes.selectExpr("id", "7 as value")) == 2 and table.read().count() == 1001
 
 
 def test_an_existing_collection_is_not_created_again(table):
@@ -352,7 +362,7 @@ def sample_records(spark):
 def test_export_import_round_trip(spark, tmp_path, compressed):
     df = sample_records(spark)
     snapshots.export_collection(df, str(tmp_path / "out"), "json", compressed)
-    back = snapshots.read_records(spark, str(tmp_path / "out"), RECORDS).drop("_corrupt_record")
+    back = snapshots.read_records(spark, str(tmp_path / "out"), RECORDS).drop("_corrupt_record", "_reason")
     assert back.exceptAll(df).count() == 0 and back.count() == 2
 
 
@@ -376,7 +386,7 @@ def test_import_of_an_array_with_rejects(spark, tmp_path):
     t = SnapshotTable(spark, str(tmp_path / "t"))
     t.create(sample_records(spark).limit(0))
     rules = Rules(required_fields=["id", "text"], value_ranges={"score": (0, 1)})
-    count, errors = snapshots.import_records(t, str(path), RECORDS, rules)
+    count, errors = snapshots.import_records(t, str(path), RECORDS, rules, {"*.json": "array"})
     assert count == 1 and [r.error for r in errors.collect()] == ["Record 2: Missing required field: text"]
     assert t.read().count() == 1
 
@@ -386,7 +396,33 @@ def test_empty_import(spark, tmp_path):
     path.write_text("[]")
     t = SnapshotTable(spark, str(tmp_path / "t"))
     t.create(sample_records(spark).limit(0))
-    assert snapshots.import_records(t, str(path), RECORDS)[0] == 0
+    count, rejects = snapshots.import_records(t, str(path), RECORDS, layouts={None: "array"})
+    assert count == 0 and [(r.error, r.text) for r in rejects.collect()] == [("empty list", "[]")]
+
+
+def test_import_reports_every_text_it_does_not_take(spark, tmp_path):
+    """Lines and lists in one folder, each under its own layout."""
+    (tmp_path / "a.jsonl").write_text('{"id": 1}\n{"id": 2\n{"id": 3}\n')
+    (tmp_path / "b.json").write_text('[{"id": 4},\n 5, null, {"id": 6}]')
+    (tmp_path / "c.json").write_text('{"id": 7}\n{"id": 8}\n')
+    (tmp_path / "d.json").write_text('[{"id": 9}, {"id": "x"}]')
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    t.create(spark.createDataFrame([], "id bigint"))
+    count, rejects = snapshots.import_records(t, str(tmp_path), "id bigint", layouts={"*.jsonl": "lines", "*.json": "array"})
+    assert count == 5 and sorted(r.id for r in t.read().collect()) == [1, 3, 4, 6, 9]
+    assert sorted((r.error, r.text.strip()) for r in rejects.collect()) == [
+        ("not a list", '{"id": 7}\n{"id": 8}'), ("not a record", '{"id": 2'), ("not a record", '{"id":"x"}'),
+        ("not a record: 1", "5"), ("not a record: 2", "null"),
+    ]
+
+
+def test_backup_keeps_the_newest(spark, collection, tmp_path):
+    from datetime import datetime
+
+    for day in (1, 2, 3, 4):
+        snapshots.backup(collection.limit(5), str(tmp_path), "c", datetime(2024, 1, day), keep=2)
+    snapshots.backup(collection.limit(5), str(tmp_path), "c_d", datetime(2023, 1, 1), keep=2)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["c_20240103_000000", "c_20240104_000000", "c_d_20230101_000000"]
 
 
 @pytest.mark.parametrize("form", ["parquet", "json"])

@@ -123,6 +123,25 @@ def test_operations_fold_into_the_collection(spark, tmp_path):
         assert {r.id: (r.vector[0], r.n) for r in t.read().collect()} == expected
 
 
+def test_operations_that_do_not_fit_are_reported(spark):
+    base = spark.createDataFrame([(1, [1.0], 1)], "id bigint, vector array<float>, n int")
+    rows = [
+        (0, "insert", {"n": "5"}), (1, "insert", None), (2, "insert", {"id": "abc"}), (3, "insert", {"id": "7", "n": "x"}), (4, "update", {"n": "1"}),
+        (5, "delete", {}), (6, "update", {"id": "99", "n": "1"}), (7, "update", {"id": "1", "n": "8"}), (8, "insert", {"id": "2", "n": "3"}),
+    ]
+    operations = spark.createDataFrame(
+        [(seq, 0, op, 0, [2.0], m, 0) for seq, op, m in rows], "seq bigint, part int, operation string, pos int, vector array<double>, metadata map<string,string>, batch_id bigint"
+    )
+    state = ingest.current_state(base, operations).collect()
+    given = {r.id: r.n for r in state if r.id < ingest.OWN_IDS}
+    assert given == {1: 8, 2: 3} and sorted(str(r.n) for r in state if r.id >= ingest.OWN_IDS) == ["5", "None"]
+    rejects = {r._seq: r.reason for r in ingest.split_operations(base, operations)[1].collect()}
+    assert rejects == {2: "id is not a number", 3: "n is not of type int", 4: "no id", 5: "no id"}
+    # A later batch leaves the ids of the stream as they are.
+    more = operations.unionByName(operations.where("seq = 8").withColumn("batch_id", F.lit(1).cast("bigint")))
+    assert {r.id for r in ingest.current_state(base, more).collect()} == {r.id for r in state}
+
+
 def test_batches_follow_one_another(spark):
     rows = [
         (1, 0, "update", "a", None), (1, 1, "update", None, 1), (1, 2, "update", "b", None),
