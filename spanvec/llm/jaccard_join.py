@@ -272,8 +272,10 @@ def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     alone = rows.where(~F.col("linked")).select("p").distinct()
     rows = rows.join(alone, "p", "left_semi")
     own = rows.select("p", "x", "nx", "apart", "linked", F.explode("d").alias("e"))
-    often = own.groupBy("p", "e").agg(F.count("*").alias("often")).where("often > 1")
-    # The rarest elements come first; those of one set only are known by their number.
+    # Only elements of several sets, one of them not linked with the pivot, make candidates.
+    alone = F.sum((~F.col("linked")).cast("int"))
+    often = own.groupBy("p", "e").agg(F.count("*").alias("often"), alone.alias("alone")).where("often > 1 and alone > 0").drop("alone")
+    # The rarest elements come first; the others are known by their number.
     shared = own.join(often, ["p", "e"])
     of_set = Window.partitionBy("p", "x")
     in_order = F.row_number().over(of_set.orderBy("often", "e"))
@@ -303,7 +305,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> D
     entries = materialize(entries)
     several = entries.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("key")
     entries = entries.join(several, "key", "left_semi")
-    home = entries.groupBy("fp").agg(F.avg("often").alias("home"))
+    home = entries.groupBy("fp").agg(F.sum("often").alias("home"))
     entries = materialize(entries.join(home, "fp").select("key", "fp", "home"))
     pivots = entries.groupBy("key").agg(F.max(F.struct("home", "fp")).alias("best")).select("key", F.col("best.fp").alias("p"))
     pairs = materialize(entries.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
