@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanvec.errors import SearchError
@@ -68,13 +68,20 @@ def train_centroids(
 
 
 def assign_cells(
-    collection: DataFrame, centroids: QuerySet, metric: str = "L2", vector_col: str = "vector"
+    collection: DataFrame,
+    centroids: QuerySet,
+    metric: str = "L2",
+    vector_col: str = "vector",
+    where: Column | str | None = None,
 ) -> DataFrame:
-    """The collection with the cell of each row; a tie takes the smaller id.
+    """The rows that ``where`` selects with the cell of each; a tie takes the smaller id.
+
+    A later filter does not reach the scan: name the rows here, or store the result first.
 
     Rows that cannot be ranked (NULL vector, zero norm under COSINE) get a
     NULL cell and stay in the table.
     """
+    collection = collection if where is None else collection.where(where)
     cids, block = centroids.ids, centroids.block
     check_metric(metric)
 
@@ -117,6 +124,7 @@ def probe_cells(
     queries: DataFrame, centroids: QuerySet, nprobe: int = DEFAULT_NPROBE, metric: str = "L2"
 ) -> DataFrame:
     """``query_id, vector, cell``: the ``nprobe`` nearest cells of each query."""
+    collection = collection if where is None else collection.where(where)
     cids, block = centroids.ids, centroids.block
     check_metric(metric)
 

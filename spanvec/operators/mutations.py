@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spanvec.errors import SchemaError
 from spanvec.functions.vectors import as_column
+from spanvec.session import materialize
 
 
 def _predicate(condition: Column | str) -> Column:
@@ -113,6 +114,7 @@ def upsert(df: DataFrame, changes: DataFrame, id_col: str = "id", order_by: str
     A full outer join would always shuffle the collection; a left join with
     the additions appended does not when the changes are few.
     """
-    changes = last_changes(changes, id_col, order_by)
+    # Used twice; from files Spark also knows how few they are.
+    changes = materialize(last_changes(changes, id_col, order_by))
     added = like(absent_rows(changes, df, id_col), df)
     return replace_rows(df, changes, id_col).unionByName(added)

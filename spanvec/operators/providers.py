@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,13 +59,18 @@ def embed_text(
     dim: int,
     provider: Callable[[], TextEmbedder] | None = None,
     out: str = "vector",
+    where: Column | str | None = None,
 ) -> DataFrame:
-    """The frame with a vector per text.
+    """The frame with a vector per text, of the rows that ``where`` selects.
+
+    A later filter does not reach the scan: name the rows here, or store the result first.
 
     A provider gets the texts of a batch and returns a (texts, dim) matrix.
     Without one the vector counts the hashed tokens of the whole text.
     """
 
+    df = df if where is None else df.where(where)
+
     def hashed(lists: pa.Array) -> pa.Array:
         return vectors_to_arrow(hashed_tokens(lists, dim))
 

@@ -242,10 +242,13 @@ def string_trim_lower_prefix(spark, sf):
 SAMPLE_KEY = "0123456789abcdef"
 
 
-@query("column_encrypt", "SELECT doc_id, true AS hidden FROM documents")
+@query("column_encrypt", "SELECT doc_id, CAST(strlen(text) AS INT) AS size, true AS hidden FROM documents")
 def column_encrypt(spark, sf):
-    hidden = tx.column_encrypt("text", F.lit(SAMPLE_KEY)) != F.col("text")
-    return table(spark, sf, "documents").select("doc_id", hidden.alias("hidden"))
+    """The form is a nonce of 12 bytes, as many bytes as the text has, and a tag of 16."""
+    docs = table(spark, sf, "documents").withColumn("secret", tx.column_encrypt("text", F.lit(SAMPLE_KEY)))
+    held = F.unbase64("secret")
+    hidden = ~F.substring(held, 13, 16).eqNullSafe(F.substring(F.col("text").cast("binary"), 1, 16)) | (F.octet_length("text") == 0)
+    return docs.select("doc_id", (F.octet_length(held) - 28).alias("size"), hidden.alias("hidden"))
 
 
 @query("column_decrypt", "SELECT doc_id, md5(text) AS plain, lang FROM documents")

@@ -23,39 +23,35 @@ def collection_stats(spark, sf):
     return aggregates.collection_stats(table(spark, sf, "embeddings"), "label")
 
 
-CATALOG = """cat AS (SELECT DISTINCT source AS name, 'texts of ' || source AS description FROM documents
-    UNION ALL SELECT 'empty', 'no texts')"""
-COUNTS = "cnt AS (SELECT source, count(*) AS n FROM documents WHERE lang = 'de' GROUP BY source)"
+CATALOG = """cat AS (SELECT source AS name, 'texts of ' || source AS description, string_agg(DISTINCT lang, ',' ORDER BY lang) AS tags
+    FROM documents GROUP BY source UNION ALL SELECT 'empty', 'no texts', '')"""
+COUNTS = "cnt AS (SELECT source, count(*) AS n FROM documents GROUP BY source)"
 
 
 def _catalog(spark, sf):
-    named = table(spark, sf, "documents").select(F.col("source").alias("name")).distinct()
-    described = named.withColumn("description", F.concat(F.lit("texts of "), "name"))
-    return described.unionByName(
-        spark.range(1).select(F.lit("empty").alias("name"), F.lit("no texts").alias("description"))
-    )
-
-
-def _german(spark, sf):
-    return table(spark, sf, "documents").where("lang = 'de'")
+    langs = F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("tags")
+    named = table(spark, sf, "documents").groupBy(F.col("source").alias("name")).agg(langs)
+    described = named.select("name", F.concat(F.lit("texts of "), "name").alias("description"), "tags")
+    none = spark.range(1).select(F.lit("empty").alias("name"), F.lit("no texts").alias("description"), F.lit("").alias("tags"))
+    return described.unionByName(none)
 
 
 @query(
     "list_partitions",
-    f"""WITH {CATALOG}, {COUNTS} SELECT name, description, coalesce(n, 0) AS num_entities
+    f"""WITH {CATALOG}, {COUNTS} SELECT name, description, tags, coalesce(n, 0) AS num_entities
     FROM cat LEFT JOIN cnt ON cat.name = cnt.source""",
 )
 def list_partitions(spark, sf):
-    return aggregates.list_partitions(_catalog(spark, sf), _german(spark, sf), "source")
+    return aggregates.list_partitions(_catalog(spark, sf), table(spark, sf, "documents"), "source")
 
 
 @query(
     "partition_stats",
-    f"""WITH {CATALOG}, {COUNTS} SELECT name, description, coalesce(n, 0) AS num_entities, false AS is_loaded
+    f"""WITH {CATALOG}, {COUNTS} SELECT name, description, tags, coalesce(n, 0) AS num_entities, false AS is_loaded
     FROM cat LEFT JOIN cnt ON cat.name = cnt.source WHERE name = 'src3'""",
 )
 def partition_stats(spark, sf):
-    return aggregates.partition_stats(_catalog(spark, sf), _german(spark, sf), "source", "src3")
+    return aggregates.partition_stats(_catalog(spark, sf), table(spark, sf, "documents"), "source", "src3")
 
 
 MEASURES = """count(*) AS query_count, count(*) FILTER (WHERE event_type = 'error') AS error_count,

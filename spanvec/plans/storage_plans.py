@@ -145,20 +145,20 @@ def scan_by_type(spark, sf):
 def _stored(spark, sf) -> str:
     root = scratch(spark, "store")
     rows_ = collection(spark, sf)
-    object_store.upload_collection(rows_, root, "low")
-    object_store.upload_collection(rows_.where("label >= 5"), root, "high")
+    object_store.upload_collection(rows_, root, "all")
+    object_store.upload_collection(rows_.where("label >= 5"), root, "all_high")
     return root
 
 
-@query("scan_object_store", "SELECT vec_id AS id, CAST(len(embedding) AS INT) AS dim FROM embeddings WHERE label >= 5")
+@query("scan_object_store", "SELECT vec_id AS id, CAST(len(embedding) AS INT) AS dim FROM embeddings")
 def scan_object_store(spark, sf):
-    df = object_store.scan_object_store(spark, "FILE", _stored(spark, sf), "high/vectors")
+    df = object_store.scan_object_store(spark, "FILE", _stored(spark, sf), "all/vectors")
     return df.select("id", F.size("vector").alias("dim"))
 
 
 @query("list_objects", "SELECT 'metadata' AS part, true AS held, true AS sized UNION ALL SELECT 'vectors', true, true")
 def list_objects(spark, sf):
-    listed = object_store.list_objects(spark, _stored(spark, sf), "high/")
+    listed = object_store.list_objects(spark, _stored(spark, sf), "all/")
     part = F.split("key", "/")[1]
     data = listed.where(F.col("key").endswith(".parquet"))
     return data.groupBy(part.alias("part")).agg(
@@ -166,42 +166,41 @@ def list_objects(spark, sf):
     )
 
 
-@query("list_stored_collections", "SELECT 'low' AS collection UNION ALL SELECT 'high'")
+@query("list_stored_collections", "SELECT 'all' AS collection UNION ALL SELECT 'all_high'")
 def list_stored_collections(spark, sf):
     return object_store.list_stored_collections(spark, _stored(spark, sf))
 
 
 @query(
     "upload_collection",
-    """SELECT 'vectors' AS part, count(*) AS n FROM embeddings WHERE label >= 5
-    UNION ALL SELECT 'metadata', count(*) FROM embeddings WHERE label >= 5""",
+    """SELECT 'vectors' AS part, count(*) AS n FROM embeddings UNION ALL SELECT 'metadata', count(*) FROM embeddings""",
 )
 def upload_collection(spark, sf):
     root = _stored(spark, sf)
     parts = [
-        spark.read.parquet(f"{root}/high/{part}").agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "n")
+        spark.read.parquet(f"{root}/all/{part}").agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "n")
         for part in ("vectors", "metadata")
     ]
     return parts[0].unionByName(parts[1])
 
 
-@query("download_collection", ROWS_SQL + " WHERE label >= 5")
+@query("download_collection", ROWS_SQL)
 def download_collection(spark, sf):
-    df = object_store.download_collection(spark, _stored(spark, sf), "high")
+    df = object_store.download_collection(spark, _stored(spark, sf), "all")
     return with_total(df.withColumnRenamed("id", "vec_id"))
 
 
 @query("upload_download_collection", "SELECT vec_id AS id, label, CAST(len(embedding) AS INT) AS dim FROM embeddings")
 def upload_download_collection(spark, sf):
-    df = object_store.download_collection(spark, _stored(spark, sf), "low")
+    df = object_store.download_collection(spark, _stored(spark, sf), "all")
     return df.select("id", "label", F.size("vector").alias("dim"))
 
 
 @query("sync_collections", "SELECT vec_id AS id, label FROM embeddings WHERE label < 5")
 def sync_collections(spark, sf):
     root = _stored(spark, sf)
-    stored = object_store.download_collection(spark, root, "low")
-    return object_store.missing_rows(stored, object_store.download_collection(spark, root, "high")).select("id", "label")
+    stored = object_store.download_collection(spark, root, "all")
+    return object_store.missing_rows(stored, object_store.download_collection(spark, root, "all_high")).select("id", "label")
 
 
 # --- tables: the state after a run of mutations ------------------------------------------

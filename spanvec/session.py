@@ -67,6 +67,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app].name
 
 
+def has_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, in whatever store it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder that the library wrote, in whatever store it lies."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import io
 import json
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
@@ -115,16 +114,6 @@ def read_npz(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
         return _columns_to_rows({k: archive[k] for k in archive.files}, wanted)
 
 
-def read_hdf5(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
-    import h5py
-
-    with h5py.File(io.BytesIO(content), "r") as archive:
-        columns = {k: archive[k][()] for k in wanted if k in archive}
-    # Text comes as bytes.
-    text = {k: [x.decode() for x in v] for k, v in columns.items() if v.dtype.kind in "OS"}
-    return _columns_to_rows({**columns, **text}, wanted)
-
-
 def read_yaml(content: bytes, wanted: Sequence[str]) -> pd.DataFrame:
     data = yaml.safe_load(content)
     if isinstance(data, list):
@@ -166,12 +155,6 @@ def scan_npz(spark: SparkSession, config: SourceConfig, missing: str = "error")
     return read_contents(_whole_files(spark, config), config, read_npz)
 
 
-def scan_hdf5(spark: SparkSession, config: SourceConfig, missing: str = "error") -> DataFrame:
-    if importlib.util.find_spec("h5py") is None:
-        raise SourceError("HDF5 files need the h5py package on driver and workers")
-    return read_contents(_whole_files(spark, config), config, read_hdf5)
-
-
 def scan_yaml(spark: SparkSession, config: SourceConfig, missing: str = "error") -> DataFrame:
     return read_contents(_whole_files(spark, config), config, read_yaml)
 
@@ -183,7 +166,6 @@ READERS = {
     "json_columnar": scan_json_columnar,
     "numpy": scan_npz,
     "npz": scan_npz,
-    "hdf5": scan_hdf5,
     "yaml": scan_yaml,
 }
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spanvec.errors import SourceError
 from spanvec.operators.joins import anti_delete
+from spanvec.session import has_folder
 
 # The URI scheme of each provider.
 SCHEMES = {"aws": "s3a", "gcp": "gs", "azure": "abfss", "file": "file"}
@@ -34,11 +35,15 @@ def scan_object_store(
 def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """``path, length, modificationTime`` of the objects whose key has a prefix.
 
-    The listing is a scan without the content column.
+    The listing is a scan without the content column, of the folder that the
+    prefix names only.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ).select("path", "length", "modificationTime")
+    folder = f"{root}/{prefix.rpartition('/')[0]}".rstrip("/")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if has_folder(spark, folder):
+        listed = reader.load(folder).select("path", "length", "modificationTime")
+    else:
+        listed = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
     base = root.split("://", 1)[-1].rstrip("/")
     key = F.regexp_replace(F.substring_index(F.col("path"), base, -1), "^/", "")
     return listed.withColumn("key", key).where(F.col("key").startswith(prefix))

@@ -5,16 +5,17 @@ read. A mutation therefore writes new files beside the old ones, under a name
 of its own, and publishes them last by appending one row to a small version
 table. A job that fails leaves the old version current, and its files unseen.
 
-A version says which writes are live and which partitions of each have been
-replaced. On a partitioned table a mutation rewrites only the partitions it
-touches, and a read lists only live folders. One writer at a time.
+A version says which writes are live and which of the partitions of each have
+been replaced. The folder of a write is the outermost one, and a read names the
+live ones, so it lists no others. On a partitioned table a mutation rewrites
+only the partitions it touches. One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -28,13 +29,13 @@ from spanvec.operators import mutations
 from spanvec.operators.collections import compact_report
 from spanvec.operators.joins import semi_select_ids
 from spanvec.operators.rows import assign_ids, number_rows
-from spanvec.session import materialize
+from spanvec.session import has_folder, materialize
 
 VERSIONS = "version bigint, path string, schema string, live map<string,array<string>>, at timestamp"
 # The folder level that tells the writes apart.
 WRITE = "_write"
-# Partitions a mutation may list one by one.
-MAX_PARTITIONS = 100_000
+# A mutation that touches more partitions rewrites the whole state.
+LISTED_PARTITIONS = 100_000
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,12 @@ class SnapshotTable:
 
     def read(self) -> DataFrame:
         """The published state. Folders of other writes are not listed."""
-        current = self._published()
+        return self._state(self._published()).drop(WRITE)
+
+    def _state(self, current: Row) -> DataFrame:
+        """The rows of a version with the write that each lies in."""
+        if not current.live:
+            return self.spark.createDataFrame([], T.StructType([*schema_of(current.schema).fields, T.StructField(WRITE, T.StringType())]))
         # Writes that lost the same partitions share one test.
         alike: dict[tuple[str, ...], list[str]] = {}
         for write, replaced in current.live.items():
@@ -80,19 +86,18 @@ class SnapshotTable:
         for replaced, writes in alike.items():
             held = F.col(WRITE).isin(writes)
             live = live | (held & ~self._key().isin(list(replaced)) if replaced else held)
-        return self._files(current).where(live).drop(WRITE)
+        return self._files(current, list(current.live)).where(live)
 
-    def _files(self, current: Row) -> DataFrame:
+    def _files(self, current: Row, writes: Sequence[str]) -> DataFrame:
+        """The rows of some writes; only their folders are listed."""
         fields = schema_of(current.schema).fields
         named = T.StructType([*fields, T.StructField(WRITE, T.StringType())])
-        rows = self.spark.read.schema(named).parquet(current.path)
+        folders = [f"{current.path}/{WRITE}={write}" for write in sorted(writes)]
+        rows = self.spark.read.schema(named).option("basePath", current.path).parquet(*folders)
         return rows.select(*[f.name for f in fields], WRITE)
 
-    def _written(self, current: Row, write: str) -> DataFrame:
-        return self._files(current).where(F.col(WRITE) == write)
-
-    def _append(self, df: DataFrame, path: str, in_place: bool, per_file: int | None = None) -> str:
-        """Write rows under a new write name, which nothing refers to yet."""
+    def _append(self, df: DataFrame, path: str, in_place: bool, per_file: int | None = None) -> str | None:
+        """Write rows under a new write name, which nothing refers to yet; without rows there is none."""
         write = uuid.uuid4().hex
         if self.partition_by and not in_place:
             # Spark splits a large partition over tasks and packs small ones.
@@ -100,8 +105,8 @@ class SnapshotTable:
         writer = df.withColumn(WRITE, F.lit(write)).write.mode("append")
         if per_file is not None:
             writer = writer.option("maxRecordsPerFile", per_file)
-        writer.partitionBy(*self.partition_by, WRITE).parquet(path)
-        return write
+        writer.partitionBy(WRITE, *self.partition_by).parquet(path)
+        return write if has_folder(self.spark, f"{path}/{WRITE}={write}") else None
 
     def _publish(self, version: int, path: str, schema: str, live: Mapping[str, Sequence[str]]) -> int:
         # One row, written last: the switch that makes a version visible.
@@ -114,17 +119,16 @@ class SnapshotTable:
         """A version whose rows all lie in a folder of their own."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         write = self._append(state, path, in_place=False)
-        return self._publish(version, path, saved_schema(state), {write: []})
+        return self._publish(version, path, saved_schema(state), {write: []} if write else {})
 
-    def _change(self, added: DataFrame | None, replaced: Sequence[str], in_place: bool = False) -> int:
-        """Hide partitions of all former writes and add rows, in one version."""
+    def _change(self, added: DataFrame | None, replaced: Mapping[str, Sequence[str]], in_place: bool = False) -> int:
+        """Hide the partitions that writes hold and add rows, in one version."""
         old = self._published()
-        live = {w: sorted({*gone, *replaced}) for w, gone in old.live.items()}
+        live = {w: sorted({*gone, *replaced.get(w, ())}) for w, gone in old.live.items()}
         if not self.partition_by and replaced:
             live = {}
-        if added is not None:
-            live[self._append(added, old.path, in_place)] = []
-        return self._publish(old.version + 1, old.path, old.schema, live)
+        write = None if added is None else self._append(added, old.path, in_place)
+        return self._publish(old.version + 1, old.path, old.schema, {**live, write: []} if write else live)
 
     # -- whole states --------------------------------------------------------
 
@@ -157,60 +161,85 @@ class SnapshotTable:
             else:
                 rows = number_rows(rows, 0 if highest is None else highest + 1)
         write = self._append(rows.select(*state.columns), old.path, False, per_file)
+        if write is None:
+            return 0
         self._publish(old.version + 1, old.path, old.schema, {**old.live, write: []})
         # Counted from the files: a counter would count a task run again twice.
-        return self._written(old, write).count()
+        return self._files(old, [write]).count()
 
     def batch_insert(self, rows: DataFrame, batch_size: int) -> int:
         """Append in files of at most ``batch_size`` rows; Spark retries a chunk."""
         return self.insert(rows, per_file=batch_size)
 
-    def _touched(self, rows: DataFrame) -> tuple[int, list[str]]:
-        """How many rows there are, and the partitions they lie in."""
-        counts = rows.groupBy(self._key().alias("key")).agg(F.count("*").alias("n"))
-        found = counts.limit(MAX_PARTITIONS + 1).collect()
-        if len(found) > MAX_PARTITIONS:
-            raise CollectionError(f"more than {MAX_PARTITIONS} partitions to rewrite")
-        return sum(r.n for r in found), [r.key for r in found]
+    def _touched(self, rows: DataFrame) -> tuple[int, dict[str, list[str]] | None]:
+        """How many rows there are, and the partitions of each write that they lie in.
 
-    def delete(self, condition: Column | str) -> int:
-        state = self.read()
-        count, keys = self._touched(state.where(mutations.matches(condition)))
-        if count:
-            part = state.where(self._key().isin(keys))
-            self._change(mutations.delete_where(part, condition), keys, in_place=True)
+        None if there are too many to list.
+        """
+        counts = rows.groupBy(WRITE, self._key().alias("key")).agg(F.count("*").alias("n"))
+        found = counts.limit(LISTED_PARTITIONS + 1).collect()
+        if len(found) > LISTED_PARTITIONS:
+            return rows.count(), None
+        held: dict[str, list[str]] = {}
+        for r in found:
+            held.setdefault(r[WRITE], []).append(r.key)
+        return sum(r.n for r in found), held
+
+    def _replaced(self, state: DataFrame, keys: Mapping[str, Sequence[str]]) -> tuple[DataFrame, dict[str, list[str]]]:
+        """The rows of the partitions, and which of them each write holds."""
+        part = state.where(self._key().isin(sorted({k for ks in keys.values() for k in ks})))
+        return part.drop(WRITE), self._touched(part)[1] or {}
+
+    def _rewrite(self, rows: DataFrame, state: DataFrame, work: Callable[[DataFrame], DataFrame], in_place: bool) -> int:
+        """Work on the partitions that hold some rows, or on the whole state if these are too many."""
+        count, keys = self._touched(rows)
+        if keys is None:
+            self.replace(work(state.drop(WRITE)))
+        elif count:
+            part, held = self._replaced(state, keys)
+            self._change(work(part), held, in_place)
         return count
 
+    def delete(self, condition: Column | str) -> int:
+        state = self._state(self._published())
+        return self._rewrite(
+            state.where(mutations.matches(condition)), state, lambda part: mutations.delete_where(part, condition), True
+        )
+
     def update(self, condition: Column | str, changes: Mapping[str, Any]) -> int:
-        state = self.read()
+        state = self._state(self._published())
         # Built first: an unknown field is found before anything is written.
         mutations.batch_update(state, condition, changes)
-        count, keys = self._touched(state.where(mutations.matches(condition)))
-        if count:
-            part = state.where(self._key().isin(keys))
-            stays = not set(changes) & set(self.partition_by)
-            self._change(mutations.batch_update(part, condition, changes), keys, stays)
-        return count
+        stays = not set(changes) & set(self.partition_by)
+        return self._rewrite(
+            state.where(mutations.matches(condition)), state, lambda part: mutations.batch_update(part, condition, changes), stays
+        )
 
     def upsert(self, changes: DataFrame, order_by: str | None = None) -> int:
         """Replace and add rows by id, the last change of each; only partitions that hold an id are rewritten."""
-        state = self.read()
+        state = self._state(self._published())
         # Used several times; from files Spark also knows how few they are.
         changes = materialize(mutations.last_changes(changes, "id", order_by))
+        plain = state.drop(WRITE)
+        added = mutations.like(mutations.absent_rows(changes, plain), plain)
         _, keys = self._touched(semi_select_ids(state, changes))
-        added = mutations.absent_rows(changes, state)
-        part = state.where(self._key().isin(keys))
-        replaced = mutations.replace_rows(part, changes)
-        self._change(replaced.unionByName(mutations.like(added, state)), keys)
+        if keys is None:
+            self.replace(mutations.replace_rows(plain, changes).unionByName(added))
+        else:
+            part, held = self._replaced(state, keys)
+            self._change(mutations.replace_rows(part, changes).unionByName(added), held)
         return changes.count()
 
     def drop_partition(self, names: Sequence[object]) -> int:
         """Drop partitions with their rows; no file is rewritten."""
         if len(self.partition_by) != 1:
             raise CollectionError("the collection is not partitioned by one column")
-        gone = self.read().where(F.col(self.partition_by[0]).isin(list(names)))
+        state = self._state(self._published())
+        gone = state.where(F.col(self.partition_by[0]).isin(list(names)))
         count, keys = self._touched(gone)
-        if count:
+        if keys is None:
+            self.replace(mutations.delete_where(state, F.col(self.partition_by[0]).isin(list(names))).drop(WRITE))
+        elif count:
             self._change(None, keys)
         return count
 

@@ -144,3 +144,15 @@ def test_windows_close_behind_the_watermark(spark, tmp_path):
 def test_package_reaches_workers_from_any_folder(spark, collection, monkeypatch, tmp_path):
     monkeypatch.chdir(tmp_path)
     assert knn(collection, QuerySet.literal(spark, [[0.0] * 8]), 1).count() == 1
+
+
+def test_a_filter_given_to_a_provider_reaches_the_scan(spark):
+    from spanvec.operators import providers
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang", "text")
+    plan = plan_of(providers.embed_text(docs, "text", 8, where="lang = 'de'"))
+    assert "EqualTo(lang,de)" in plan
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    centroids = ivf.centroid_set(vector_mean(rows.withColumnRenamed("embedding", "vector"), ["label"]), "label")
+    plan = plan_of(ivf.assign_cells(rows.withColumnRenamed("embedding", "vector"), centroids, where="label = 3"))
+    assert "EqualTo(label,3)" in plan

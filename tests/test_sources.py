@@ -91,19 +91,6 @@ def test_pickled_npz_content_is_refused(spark, tmp_path):
         scan_by_config(spark, config("npz", tmp_path)).collect()
 
 
-def test_hdf5_is_gated(spark, tmp_path):
-    try:
-        import h5py
-    except ImportError:
-        with pytest.raises(SourceError):
-            scan_by_config(spark, config("hdf5", tmp_path))
-        return
-    path = tmp_path / "s.h5"
-    with h5py.File(path, "w") as f:
-        f["vector"], f["category"], f["score"] = np.array(VECTORS), CATEGORY, SCORE
-    assert values(scan_by_config(spark, config("hdf5", path))) == SAMPLE
-
-
 def test_inferred_csv(spark, tmp_path):
     path = write_sample("csv", tmp_path)
     assert values(scan_by_config(spark, config("csv", path, schema=None))) == SAMPLE
@@ -321,6 +308,34 @@ def test_insert_without_ids_or_order(spark, table):
     assert sorted(ids) == list(range(1030))
 
 
+def test_reads_and_versions_do_not_grow_with_history(spark, collection, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "p"), partition_by=["category"])
+    t.create(collection.repartition(1))
+    for n in range(6):
+        t.update("id = 0", {"label": 100 + n})
+    live = t._current().live
+    # Only the write that holds a replaced partition remembers it.
+    assert all(len(gone) <= 1 for gone in live.values())
+    plan = t.read().where("category = 'B'")
+    assert len(plan.inputFiles()) <= len(live) + 2 and t.read().where("id = 0").first().label == 105
+    assert t.delete("label >= 0 or true") == 200 and t.read().count() == 0
+    assert t.insert(collection) == 200 and t.read().count() == 200
+
+
+def test_more_partitions_than_can_be_listed(spark, collection, tmp_path, monkeypatch):
+    from spanvec.sources import tables
+
+    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 1)
+    t = SnapshotTable(spark, str(tmp_path / "p"), partition_by=["category"])
+    t.create(collection)
+    assert t.update("label = 1", {"label": 9}) == 50 and t.delete("label = 2") == 50
+    changes = spark.createDataFrame([(0, -1), (1, -2), (900, -3)], "id bigint, label int")
+    assert t.upsert(changes) == 3 and t.drop_partition(["A", "C"]) > 0
+    rows = {r.id: r.label for r in t.read().collect()}
+    kept = {r.id: r for r in collection.collect() if r.category == "B" and r.label != 2}
+    assert rows == {i: -2 if i == 1 else 9 if r.label == 1 else r.label for i, r in kept.items()} | {900: -3}
+
+
 def test_the_last_change_of_an_id_counts(spark, table):
     changes = spark.createDataFrame([(1, -1, 2), (1, -9, 1), (2000, 5, 1), (2000, 6, 2)], "id bigint, value bigint, at int")
     assert table.upsert(changes, order_by="at") == 2
