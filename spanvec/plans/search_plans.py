@@ -106,9 +106,10 @@ def knn_cosine(spark, sf):
     f" FROM {topk('IP', 20)}",
 )
 def topk_per_query(spark, sf):
-    # The best 20 of the best 50: candidates of a search ranked once more.
-    wide = knn(collection(spark, sf), label_queries(spark, sf), 50, "IP").drop("rank")
-    return hits(search.keep_topk(wide, 20, descending=True))
+    # All products with the label means, ranked per mean.
+    products = search.pair_matrix(collection(spark, sf), label_queries(spark, sf), "IP")
+    pairs = products.select(F.col("j").alias("query_id"), F.col("i").alias("id"), F.col("value").alias("distance"))
+    return hits(search.keep_topk(pairs, 20, descending=True))
 
 
 BATCH_KEY = f"label * 1000 + {SOURCE_KEY}"
