@@ -24,7 +24,9 @@ not share. For X, Y of one list, what X and Y do not share is what ``D(X)`` and
 they can only link if the differences overlap, by a number that follows from the
 sizes: the differences, rarest element first, are joined on their leading elements
 (prefix and position filter), and the survivors compared exactly. So a group of
-near copies costs its size, not its square, and no link is lost.
+near copies costs its size, not its square, and no link is lost. Sets far from
+their pivot, which share little but a common passage with it, meet again under keys
+of the pivot and of another cut.
 
 Defined results for odd input: a NULL, empty or blank text has the empty set, is
 linked with nothing and its component is its own id; a row without an id links
@@ -39,7 +41,7 @@ import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +89,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     words = mix(np.add.reduceat(letters, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
     upto = np.searchsorted(starts, text_ends)
     grams = np.zeros(len(words), np.uint64)
-    for i in range(size):
+    for i in range(min(size, len(words))):
         grams[: len(words) - i] += words[i:] * np.uint64(pow(GOLDEN, i + 1, 2**64))
     grams = mix(grams, size)
     found = []
@@ -96,8 +98,8 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
         if n >= size:
             found.append(np.unique(grams[begin : end - size + 1]))
         elif n:
-            short = sum((words[begin + i] * np.uint64(pow(GOLDEN, i + 1, 2**64)) for i in range(n)), np.uint64(0))
-            found.append(mix(np.array([short], np.uint64), int(n)))
+            places = np.array([pow(GOLDEN, i + 1, 2**64) for i in range(n)], np.uint64)
+            found.append(mix(np.add.reduce(words[begin:end] * places, keepdims=True), int(n)))
         else:
             found.append(np.zeros(0, np.uint64))
     return found
@@ -182,51 +184,63 @@ def light_keys(h: np.ndarray, rule: Jaccard) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def heavy_keys(h: np.ndarray, rule: Jaccard) -> np.ndarray:
-    """A key for each part of the set, for each class of sizes it may meet."""
+def heavy_keys(h: np.ndarray, rule: Jaccard, cut: int = 0) -> np.ndarray:
+    """A key for each part of the set, for each class of sizes it may meet, under the first or another cut."""
     out = []
     for first, _, parts, spare in _classes_of(rule, len(h)):
         edges = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
-        for level in range(LEVELS):
+        for level in range(cut * LEVELS, (cut + 1) * LEVELS):
             g = h if level == 0 else np.sort(mix(h, 200 + level))
             at = np.concatenate([[0], np.searchsorted(g, edges), [len(g)]])
             sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(g, 99))])
             count = np.diff(at)
             key = mix(sums[at[1:]] - sums[at[:-1]] + mix(count.astype(np.uint64), 3) + mix(np.arange(parts, dtype=np.uint64), first), 2000 + level)
             # Empty parts only count where every cut has had too many of them.
-            all_count = level == LEVELS - 1
+            all_count = level % LEVELS == LEVELS - 1
             out.append(key if all_count else key[count > 0])
             if (count == 0).sum() <= spare:
                 break
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def keys(h: np.ndarray, rule: Jaccard) -> np.ndarray:
+def keys(h: np.ndarray, rule: Jaccard, cut: int = 0) -> np.ndarray:
     n = len(h)
     if not n:
         return np.zeros(0, np.uint64)
     light = light_keys(h, rule) if n < heavy_from(rule) else np.zeros(0, np.uint64)
-    return np.unique(np.concatenate([light, heavy_keys(h, rule)]))
+    return np.unique(np.concatenate([light, heavy_keys(h, rule, cut)]))
 
 
-def read_sets(docs: DataFrame, size: int, rule: Jaccard) -> DataFrame:
-    """``doc_id, n, fp, keys`` of every document: size, fingerprint and keys of its set."""
+def _lists(lists: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
+
+
+def read_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id, n, fp`` of every document: size and fingerprint of its set."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in texts_of(batches, 1):
             sets = shingle_sets(texts, size)
-            lists = [keys(h, rule).view(np.int64) for h in sets]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": part.column(0),
-                "n": pa.array([len(h) for h in sets], pa.int64()),
-                "fp": pa.array([fingerprint(h) for h in sets], pa.int64()),
-                "keys": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
-            })
+            sizes, prints = pa.array([len(h) for h in sets], pa.int64()), pa.array([fingerprint(h) for h in sets], pa.int64())
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "n": sizes, "fp": prints})
+
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, n bigint, fp bigint")
+
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, n bigint, fp bigint, keys array<bigint>")
+def read_entries(docs: DataFrame, size: int, rule: Jaccard) -> DataFrame:
+    """``key, fp``: the subsets and parts of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in texts_of(batches, 0):
+            sets = shingle_sets(texts, size)
+            prints = pa.array([fingerprint(h) for h in sets], pa.int64())
+            yield pa.RecordBatch.from_pydict({"fp": prints, "keys": _lists([keys(h, rule) for h in sets])})
+
+    texts = docs.where("doc_id is not null").select(F.col("text").cast("string"))
+    return texts.mapInArrow(run, "fp bigint, keys array<bigint>").select(F.explode("keys").alias("key"), "fp")
 
 
 def elements(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -238,39 +252,56 @@ def elements(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in texts_of(batches, 0):
             sets = [h for h in shingle_sets(texts, size) if len(h)]
-            ends = np.concatenate([[0], np.cumsum([len(h) for h in sets])])
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_pydict({
-                "fp": pa.array([fingerprint(h) for h in sets], pa.int64()),
-                "h": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64())),
-            })
+            yield pa.RecordBatch.from_pydict({"fp": pa.array([fingerprint(h) for h in sets], pa.int64()), "h": _lists(sets)})
 
     return texts.mapInArrow(run, "fp bigint, h array<bigint>")
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``x, p, nx, np, d``: what a set and its pivot do not share."""
-    for batch in batches:
-        x, p, hx, hp = (batch.column(i) for i in range(4))
-        apart = [np.setxor1d(a.values.to_numpy(), b.values.to_numpy(), assume_unique=True) for a, b in zip(hx, hp, strict=True)]
-        yield pa.RecordBatch.from_pydict({
-            "x": x, "p": p,
-            "nx": pa.array([len(a.values) for a in hx], pa.int64()),
-            "np": pa.array([len(b.values) for b in hp], pa.int64()),
-            "d": pa.array(apart, pa.list_(pa.int64())),
-        })
+_COMPARED = "x bigint, p bigint, nx bigint, np bigint, apart bigint, d array<bigint>, keys array<bigint>"
+
+
+def _compare(rule: Jaccard, last: bool):
+    """What a set and its pivot do not share, if that is little, and new keys, if it is much.
+
+    Let the pivot have n elements. A set within ``near`` of it and one beyond ``far``
+    differ too much to link, as differences add up; sets between the two count as both.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, p, hx, hp = (batch.column(i) for i in range(4))
+            rows: list[tuple] = []
+            for pivot, a, b in zip(p.to_pylist(), hx, hp, strict=True):
+                own, other = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)
+                apart = np.setxor1d(own, other, assume_unique=True)
+                near = 2 * len(other) * (rule.den - rule.num) // rule.num
+                far = near + (len(other) + near) * (rule.den - rule.num) // rule.num + 1
+                again = None
+                if len(apart) > near and not last:
+                    of_pivot = mix(np.array([pivot], np.int64).view(np.uint64), 7)
+                    again = mix(keys(own, rule, 1) ^ of_pivot, 8).view(np.int64)
+                rows.append((len(own), len(other), len(apart), apart.view(np.int64) if last or len(apart) <= far else None, again))
+            nx, n_p, apart, d, again = zip(*rows, strict=True) if rows else [()] * 5
+            kind = pa.list_(pa.int64())
+            counts = [pa.array(c, pa.int64()) for c in (nx, n_p, apart)]
+            yield pa.RecordBatch.from_arrays([x, p, *counts, pa.array(d, kind), pa.array(again, kind)], ["x", "p", "nx", "np", "apart", "d", "keys"])
+
+    return run
 
 
 def _most_apart(sizes: Column, rule: Jaccard) -> Column:
     return F.floor(sizes * (rule.den - rule.num) / F.lit(float(rule.den + rule.num)) + F.lit(1e-9))
 
 
+def _linked(rule: Jaccard) -> Column:
+    return F.col("apart") <= _most_apart(F.col("nx") + F.col("np"), rule)
+
+
 def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     """``x, y``: links between sets of one pivot that are not both linked with it."""
-    rows = compared.withColumn("apart", F.size("d").cast("bigint"))
-    rows = rows.withColumn("linked", F.col("apart") <= _most_apart(F.col("nx") + F.col("np"), rule))
-    alone = rows.where(~F.col("linked")).select("p").distinct()
-    rows = rows.join(alone, "p", "left_semi")
+    rows = compared.where("d is not null").select("x", "p", "nx", "apart", "d", _linked(rule).alias("linked"))
+    several = rows.groupBy("p").agg(F.count("*").alias("n"), F.bool_and("linked").alias("all")).where("n > 1 and not all")
+    rows = rows.join(several.select("p"), "p", "left_semi")
     own = rows.select("p", "x", "nx", "apart", "linked", F.explode("d").alias("e"))
     # Only elements of several sets, one of them not linked with the pivot, make candidates.
     alone = F.sum((~F.col("linked")).cast("int"))
@@ -297,36 +328,51 @@ def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     return both.where(between <= _most_apart(F.col("nx") + F.col("ny"), rule)).select("x", "y")
 
 
-def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> DataFrame:
-    """``id, component`` of the fingerprints that have links."""
-    entries = sets.where("doc_id is not null").select("fp", F.explode("keys").alias("key"))
-    met = entries.groupBy("key").agg(F.count("*").alias("often")).where("often > 1")
-    entries = entries.join(met, "key").groupBy("key", "fp").agg(F.first("often").alias("often"))
-    entries = materialize(entries)
-    several = entries.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("key")
-    entries = entries.join(several, "key", "left_semi")
-    home = entries.groupBy("fp").agg(F.sum("often").alias("home"))
-    entries = materialize(entries.join(home, "fp").select("key", "fp", "home"))
-    pivots = entries.groupBy("key").agg(F.max(F.struct("home", "fp")).alias("best")).select("key", F.col("best.fp").alias("p"))
-    pairs = materialize(entries.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
+def pivot_pairs(entries: DataFrame) -> DataFrame:
+    """``x, p``: each set and the pivot of each list that it shares with another set.
+
+    The entries are dealt out once, for the count of each list and for its entries. A
+    document has many entries and a list at most one of them, so even a list that a third
+    of all documents share is a small part of the rows; it is streamed, never held.
+    """
+    dealt = entries.repartition(F.col("key"))
+    met = dealt.groupBy("key").agg(F.count("*").alias("often"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    met = met.where("a < b").select("key", "often")
+    shared = materialize(dealt.join(met, "key").groupBy("key", "fp").agg(F.first("often").alias("often")))
+    home = shared.groupBy("fp").agg(F.sum("often").alias("home"))
+    shared = materialize(shared.join(home, "fp").select("key", "fp", "home"))
+    best = shared.groupBy("key").agg(F.max(F.struct("home", "fp")).alias("best"))
+    pivots = best.select("key", F.col("best.fp").alias("p"))
+    return materialize(shared.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
+
+
+def compare_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int, rule: Jaccard, last: bool) -> DataFrame:
     ends = pairs.select(F.col("x").alias("fp")).unionByName(pairs.select(F.col("p").alias("fp"))).distinct()
-    ids = materialize(sets.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp", "left_semi"))
-    found = elements(docs, ids.select("doc_id").distinct(), size)
+    ids = sets.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp", "left_semi")
+    found = elements(docs, materialize(ids.select("doc_id").distinct()), size)
     found = found.groupBy("fp").agg(F.first("h").alias("h"))
     by_pivot = pairs.join(found.select(F.col("fp").alias("p"), F.col("h").alias("hp")), "p")
     both = by_pivot.join(found.select(F.col("fp").alias("x"), F.col("h").alias("hx")), "x").select("x", "p", "hx", "hp")
-    compared = materialize(both.mapInArrow(_compare, "x bigint, p bigint, nx bigint, np bigint, d array<bigint>"))
-    direct = compared.where(F.size("d") <= _most_apart(F.col("nx") + F.col("np"), rule)).select("x", F.col("p").alias("y"))
-    return components(direct.unionByName(links_by_difference(compared, rule)))
+    return materialize(both.mapInArrow(_compare(rule, last), _COMPARED))
+
+
+def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> DataFrame:
+    """``id, component`` of the fingerprints that have links."""
+    entries, links = read_entries(docs, size, rule), []
+    for last in (False, True):
+        compared = compare_pairs(docs, sets, pivot_pairs(entries), size, rule, last)
+        links += [compared.where(_linked(rule)).select("x", F.col("p").alias("y")), links_by_difference(compared, rule)]
+        # Sets that are far from their pivot meet again at a pivot and a part under another cut.
+        entries = compared.where("keys is not null").select(F.explode("keys").alias("key"), F.col("x").alias("fp"))
+    return components(reduce(DataFrame.unionByName, links))
 
 
 def jaccard_components(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id``: set size and smallest id that links reach, itself included."""
     rule = Jaccard(num, den)
-    sets = materialize(read_sets(docs, size, rule))
+    sets = materialize(read_sets(docs, size))
     linked = materialize(linked_sets(docs, sets, size, rule))
-    rows = sets.select("doc_id", "n", "fp")
-    named = rows.join(linked.select(F.col("id").alias("fp"), "component"), "fp", "left")
+    named = sets.join(linked.select(F.col("id").alias("fp"), "component"), "fp", "left")
     named = named.withColumn("component", F.coalesce("component", "fp"))
     first = named.where("n > 0 and doc_id is not null").groupBy("component").agg(F.min("doc_id").alias("first"))
     out = named.join(first, "component", "left")

@@ -97,3 +97,33 @@ def test_odd_rows(odd_docs, clashing_docs, no_docs):
     assert J.jaccard_components(no_docs).count() == 0
     kept = J.one_of_each(odd_docs, size=3, num=90, den=100).collect()
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2, 3, 4, 6, 7, 8, 9]
+
+
+def test_sets_far_from_their_pivot_meet_again(spark, monkeypatch):
+    """Many documents share a passage with one pivot; near copies among them still link."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(80)]
+    rows = [(0, " ".join(passage))]
+    for i in range(1, 120):
+        own = [f"d{i // 2}_{j}" for j in range(160)]
+        own[rng.randrange(160)] = f"edit{i}"
+        rows.append((i, " ".join(passage + own)))
+    again = []
+
+    def spy(*args):
+        compared = compare(*args)
+        again.append(compared.where("keys is not null").count())
+        return compared
+
+    compare = J.compare_pairs
+    monkeypatch.setattr(J, "compare_pairs", spy)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = J.jaccard_components(docs, size=5, num=80, den=100).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 5, 80, 100)
+    assert len(again) == 2 and again[0] > 20 and again[1] == 0
+
+
+@pytest.mark.parametrize("texts", [["a b"], ["a"], [None, "", " "], ["a", None, "b c"]])
+def test_batches_of_fewer_words_than_an_n_gram(texts):
+    sizes = [len(h) for h in J.shingle_sets(texts, 5)]
+    assert sizes == [1 if (t or "").split() else 0 for t in texts]
