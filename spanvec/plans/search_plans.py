@@ -290,11 +290,23 @@ def vector_centroid(spark, sf):
     return parts.select("centroid_id", "pos", r6("mean").alias("mean"))
 
 
-@query("ivf_train")
+@query("ivf_train", "SELECT vec_id AS id, label, true AS in_nearest_cell, 16 AS cells FROM embeddings")
 def ivf_train(spark, sf):
+    """Each row lies in the cell of the nearest trained centroid, by distances taken one by one."""
     rows = collection(spark, sf)
-    centroids = ivf.train_centroids(rows, nlist=16, iterations=5)
-    return ivf.describe_index(ivf.assign_cells(rows, ivf.centroid_set(centroids)), nlist=16)
+    trained = ivf.centroid_set(ivf.train_centroids(rows, nlist=16, iterations=5))
+    indexed = ivf.assign_cells(rows, trained)
+    block = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in trained.block])
+    vector = F.col("vector").cast("array<double>")
+
+    def distance(c):
+        return F.aggregate(F.zip_with(vector, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+
+    place = {int(c): i for i, c in enumerate(trained.ids)}
+    at = F.create_map(*[F.lit(x) for pair in place.items() for x in pair])[F.col("centroid_id")]
+    measured = indexed.select("id", "label", F.transform(block, distance).alias("far"), at.alias("at"))
+    nearest = F.get("far", F.col("at")) <= F.array_min("far") + 1e-9
+    return measured.select("id", "label", nearest.alias("in_nearest_cell"), F.size("far").alias("cells"))
 
 
 @query("ivf_trained_all_cells", hit_sql("COSINE", 5, SOURCE_Q))
