@@ -320,7 +320,7 @@ def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     need = F.col("a.apart") + F.col("b.apart") - _most_apart(F.col("a.nx") + F.col("b.nx"), rule)
     met = (F.col("a.p") == F.col("b.p")) & (F.col("a.e") == F.col("b.e")) & (F.col("a.x") < F.col("b.x"))
     met = met & ~(F.col("a.linked") & F.col("b.linked")) & (2 * rest >= need)
-    pairs = a.join(b, met).select("a.p", F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct()
+    pairs = _step(a.join(b, met).select("a.p", F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct())
     of_x = rows.select("p", "x", "nx", F.col("d").alias("dx"))
     of_y = rows.select("p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("d").alias("dy"))
     both = pairs.join(of_x, ["p", "x"]).join(of_y, ["p", "y"])
@@ -328,6 +328,17 @@ def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     return both.where(between <= _most_apart(F.col("nx") + F.col("ny"), rule)).select("x", "y")
 
 
+def _step(df: DataFrame) -> DataFrame:
+    """A written table; the shuffle files behind it are then no longer needed.
+
+    Spark deletes them when the driver's garbage is collected, which may else take
+    until the disks are full.
+    """
+    out = materialize(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def pivot_pairs(entries: DataFrame) -> DataFrame:
     """``x, p``: each set and the pivot of each list that it shares with another set.
 
@@ -338,12 +349,12 @@ def pivot_pairs(entries: DataFrame) -> DataFrame:
     dealt = entries.repartition(F.col("key"))
     met = dealt.groupBy("key").agg(F.count("*").alias("often"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     met = met.where("a < b").select("key", "often")
-    shared = materialize(dealt.join(met, "key").groupBy("key", "fp").agg(F.first("often").alias("often")))
+    shared = _step(dealt.join(met, "key").groupBy("key", "fp").agg(F.first("often").alias("often")))
     home = shared.groupBy("fp").agg(F.sum("often").alias("home"))
-    shared = materialize(shared.join(home, "fp").select("key", "fp", "home"))
+    shared = _step(shared.join(home, "fp").select("key", "fp", "home"))
     best = shared.groupBy("key").agg(F.max(F.struct("home", "fp")).alias("best"))
     pivots = best.select("key", F.col("best.fp").alias("p"))
-    return materialize(shared.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
+    return _step(shared.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
 
 
 def compare_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int, rule: Jaccard, last: bool) -> DataFrame:
@@ -353,7 +364,7 @@ def compare_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int,
     found = found.groupBy("fp").agg(F.first("h").alias("h"))
     by_pivot = pairs.join(found.select(F.col("fp").alias("p"), F.col("h").alias("hp")), "p")
     both = by_pivot.join(found.select(F.col("fp").alias("x"), F.col("h").alias("hx")), "x").select("x", "p", "hx", "hp")
-    return materialize(both.mapInArrow(_compare(rule, last), _COMPARED))
+    return _step(both.mapInArrow(_compare(rule, last), _COMPARED))
 
 
 def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> DataFrame:
@@ -361,7 +372,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> D
     entries, links = read_entries(docs, size, rule), []
     for last in (False, True):
         compared = compare_pairs(docs, sets, pivot_pairs(entries), size, rule, last)
-        links += [compared.where(_linked(rule)).select("x", F.col("p").alias("y")), links_by_difference(compared, rule)]
+        links += [compared.where(_linked(rule)).select("x", F.col("p").alias("y")), _step(links_by_difference(compared, rule))]
         # Sets that are far from their pivot meet again at a pivot and a part under another cut.
         entries = compared.where("keys is not null").select(F.explode("keys").alias("key"), F.col("x").alias("fp"))
     return components(reduce(DataFrame.unionByName, links))
