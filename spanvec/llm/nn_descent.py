@@ -5,10 +5,13 @@ node keeps a list of its nearest neighbours found so far. The first lists come f
 windows over several sorted orders (sign bits of random projections). Then the lists
 are refined: what a node's neighbours hold is compared with the node, until little
 changes. A node whose whole list lies above the threshold is saturated and gets a
-list of twice the length. Entries below ``floor`` lead to no near duplicate and are
-not followed.
+list of twice the length; near entries beyond it are not followed, but stay as links.
+Entries below ``floor`` lead to no near duplicate and are not followed.
 
-Links among the lists give the components; the number of links of each vector is
+Links give the components. A near pair gets lost only if both ends had no room for it,
+so the nodes with ``k`` near entries are searched again for entries outside their own
+component, which joins components until a search finds no more. The number of links of
+each vector is
 then counted exactly among all vectors of its component, block by block, so no list
 length limits it. An audit compares a fixed number of nodes with all vectors of
 their label; while their links are not found to ``recall``, the search goes on with
@@ -24,6 +27,7 @@ vectors are linked vectors of their own; only ``vec_id``, ``embedding`` and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +82,7 @@ def _edges(u: np.ndarray, v: np.ndarray, cos: np.ndarray) -> pa.RecordBatch:
 
 
 def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int) -> DataFrame:
-    """Neighbours within windows of ``tables`` sorted orders."""
+    """Neighbours within windows of ``tables`` sorted orders, outside the node's own component."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,8 +95,8 @@ def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int)
                 seen = np.einsum("nd,dtb->ntb", x, planes)
                 code = ((seen[:, :, :BITS] > 0) << np.arange(BITS)).sum(2)
                 for t in range(tables):
-                    columns = [pa.array(np.full(len(x), t), pa.int32()), part.column(0), pa.array(code[:, t], pa.int32()), pa.array(seen[:, t, BITS]), part.column(1), part.column(2)]
-                    yield pa.RecordBatch.from_arrays(columns, ["t", "grp", "code", "at", "node", "vec"])
+                    columns = [pa.array(np.full(len(x), t), pa.int32()), part.column(0), pa.array(code[:, t], pa.int32()), pa.array(seen[:, t, BITS]), part.column(1), part.column(3), part.column(2)]
+                    yield pa.RecordBatch.from_arrays(columns, ["t", "grp", "code", "at", "node", "component", "vec"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -100,9 +104,9 @@ def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int)
         def search(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             for run in runs(iter(rows.combine_chunks().to_batches()), 2):
                 if run.num_rows > 1:
-                    x, ids = matrix(run.column(5)), run.column(4).to_numpy()
+                    x, ids, component = matrix(run.column(6)), run.column(4).to_numpy(), run.column(5).to_numpy()
                     cos = x @ x.T
-                    np.fill_diagonal(cos, -2)
+                    cos[component[:, None] == component] = -2
                     row, column = _best(cos, k, floor)
                     yield _edges(ids[row], ids[column], cos[row, column])
 
@@ -115,47 +119,53 @@ def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int)
         if held is not None:
             yield from search(held)
 
-    placed = nodes.select("grp", "node", "vec").mapInArrow(place, "t int, grp bigint, code int, at double, node bigint, vec array<double>")
+    placed = nodes.select("grp", "node", "vec", "component").mapInArrow(place, "t int, grp bigint, code int, at double, node bigint, component bigint, vec array<double>")
     order = ["t", "grp", "code", "at", "node"]
     return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, _EDGE)
 
 
 def shorten(edges: DataFrame, k: int, threshold: float) -> DataFrame:
-    """The nearest ``k`` neighbours of each node; ``4 * k`` of those whose first ``k``, ``2 * k`` all are near."""
+    """``u, v, cos, listed``: the nearest ``k`` neighbours of each node; ``4 * k`` of those whose first ``k``, ``2 * k`` all are near.
+
+    Near entries beyond the list are kept, not listed.
+    """
     order = Window.partitionBy("u").orderBy(F.desc("cos"), "v")
-    ranked = edges.dropDuplicates(["u", "v"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 4 * k)
+    ranked = edges.select("u", "v", "cos").dropDuplicates(["u", "v"]).withColumn("rank", F.row_number().over(order))
     whole = Window.partitionBy("u")
     near = F.sum((F.col("cos") >= threshold).cast("int")).over(whole)
     length = F.when(near >= 2 * k, 4 * k).when(near >= k, 2 * k).otherwise(k)
-    return ranked.withColumn("length", length).where("rank <= length").select("u", "v", "cos")
+    ranked = ranked.withColumn("listed", F.col("rank") <= length)
+    return ranked.where(F.col("listed") | (F.col("cos") >= threshold)).select("u", "v", "cos", "listed")
 
 
-def refine(nodes: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+def refine(nodes: DataFrame, lists: DataFrame, k: int, own: DataFrame | None = None) -> DataFrame:
     """Neighbours of neighbours: for each node v, its neighbours either way against its list.
 
-    The list of v is short; the nodes that hold v may be many and are split.
+    The list of v is short; the nodes that hold v may be many and are split. ``own`` are
+    entries inside the components, which are followed as well.
     """
+    least = lists.groupBy("u").agg(F.min("cos").alias("least"), F.count("*").alias("n"))
+    lists = lists.select("u", "v") if own is None else lists.select("u", "v").unionByName(own.select("u", "v")).distinct()
     both = lists.select("u", "v").unionByName(lists.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     holders = both.groupBy("v").agg(F.count("*").alias("n")).select("v", F.ceil(F.col("n") / BLOCK).alias("parts"))
-    of = nodes.select("node", "vec")
-    least = lists.groupBy("u").agg(F.min("cos").alias("least"), F.count("*").alias("n"))
+    of = nodes.select("node", "component", "vec")
     least = least.select(F.col("u").alias("_u"), F.when(F.col("n") >= k, F.col("least")).otherwise(-2.0).alias("least"))
     left = both.join(holders, "v").join(of, both["u"] == of["node"]).join(least, both["u"] == F.col("_u"), "left")
     part = F.pmod(F.xxhash64("u"), F.col("parts"))
-    left = left.select("v", part.alias("part"), F.lit(0).alias("side"), F.col("u").alias("id"), F.coalesce("least", F.lit(-2.0)).alias("least"), "vec")
+    left = left.select("v", part.alias("part"), F.lit(0).alias("side"), F.col("u").alias("id"), F.coalesce("least", F.lit(-2.0)).alias("least"), "component", "vec")
     right = lists.select(F.col("u").alias("v"), F.col("v").alias("w")).join(holders, "v").join(of, F.col("w") == of["node"])
     right = right.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    right = right.select("v", "part", F.lit(1).alias("side"), F.col("w").alias("id"), F.lit(-2.0).alias("least"), "vec")
+    right = right.select("v", "part", F.lit(1).alias("side"), F.col("w").alias("id"), F.lit(-2.0).alias("least"), "component", "vec")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, 2):
             side, ids = run.column(2).to_numpy(), run.column(3).to_numpy()
-            x, least = matrix(run.column(5)), run.column(4).to_numpy()
+            x, least, component = matrix(run.column(6)), run.column(4).to_numpy(), run.column(5).to_numpy()
             a, b = side == 0, side == 1
             if not a.any() or not b.any():
                 continue
             cos = x[a] @ x[b].T
-            cos[(ids[a][:, None] == ids[b][None, :]) | (cos <= least[a][:, None])] = -2
+            cos[(component[a][:, None] == component[b][None, :]) | (cos <= least[a][:, None])] = -2
             row, column = _best(cos, k, -1.5)
             if len(row):
                 yield _edges(ids[a][row], ids[b][column], cos[row, column])
@@ -163,22 +173,60 @@ def refine(nodes: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     return left.unionByName(right).repartition("v", "part").sortWithinPartitions("v", "part", "side").mapInArrow(compare, _EDGE)
 
 
-def neighbour_graph(nodes: DataFrame, *, k: int, threshold: float, floor: float, tables: int, rounds: int, seed: int, known: DataFrame | None = None) -> DataFrame:
-    """``u, v, cos``: each node's list after refinement."""
+def neighbour_graph(
+    nodes: DataFrame, *, k: int, threshold: float, floor: float, tables: int, rounds: int, seed: int, known: DataFrame | None = None, own: DataFrame | None = None
+) -> DataFrame:
+    """``u, v, cos, listed``: each node's list after refinement, and near entries beyond it.
+
+    With a column ``component``, entries outside the node's component; ``own`` are lists inside.
+    """
+    if "component" not in nodes.columns:
+        nodes = nodes.withColumn("component", F.col("node"))
     edges = first_lists(nodes, k, floor, tables, seed)
-    lists = materialize(shorten(edges if known is None else edges.unionByName(known), k, threshold))
-    had = lists.agg(F.count("*"), F.sum("cos")).first()
-    for _ in range(rounds):
-        found = refine(nodes, lists, k).where(F.col("cos") >= floor)
+    lists = materialize(shorten(edges if known is None else edges.unionByName(known.select("u", "v", "cos")), k, threshold))
+    size = (F.count_if("listed"), F.sum(F.when(F.col("listed"), F.col("cos"))))
+    had = lists.agg(*size).first()
+    for _ in range(rounds if had[0] else 0):
+        found = refine(nodes, lists.where("listed"), k, own).where(F.col("cos") >= floor)
         turned = found.select(F.col("v").alias("u"), F.col("u").alias("v"), "cos")
-        lists = materialize(shorten(lists.unionByName(found).unionByName(turned), k, threshold))
-        has = lists.agg(F.count("*"), F.sum("cos")).first()
-        if not has[0] or (has[0] - had[0] <= 1e-3 * has[0] and abs(has[1] - had[1]) <= 1e-4 * abs(has[1])):
+        lists = materialize(shorten(lists.select("u", "v", "cos").unionByName(found).unionByName(turned), k, threshold))
+        has = lists.agg(*size).first()
+        if has[0] - had[0] <= 1e-3 * has[0] and abs(has[1] - had[1]) <= 1e-4 * abs(has[1]):
             break
         had = has
     return lists
 
 
+def _links(lists: DataFrame, threshold: float) -> DataFrame:
+    return lists.where(F.col("cos") >= threshold).select(F.col("u").alias("x"), F.col("v").alias("y"))
+
+
+def _named(links: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """``node, component`` of linked nodes, ``named`` being linked already."""
+    if named is not None:
+        links = links.unionByName(named.select(F.col("node").alias("x"), F.col("component").alias("y")))
+    return materialize(components(links).select(F.col("id").alias("node"), "component"))
+
+
+def joined_components(nodes: DataFrame, lists: DataFrame, named: DataFrame | None, *, k: int, threshold: float, seed: int, **options) -> DataFrame:
+    """``node, component``: components of the near entries, joined until saturated nodes are near none of another one."""
+    links = _links(lists, threshold)
+    named = _named(links, named)
+    saturated = links.groupBy("x").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    saturated = materialize(nodes.join(saturated, nodes["node"] == saturated["x"], "left_semi"))
+    for turn in count(1):
+        here = saturated.join(named, "node")
+        several = here.groupBy("grp").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+        here = materialize(here.join(several, "grp", "left_semi"))
+        if here.isEmpty():
+            break
+        more = _links(neighbour_graph(here, k=k, threshold=threshold, seed=seed + 1000 * turn, own=lists.where("listed"), **options), threshold)
+        if more.isEmpty():
+            break
+        named = _named(more, named)
+    return named
+
+
 def audit(nodes: DataFrame, named: DataFrame, threshold: float, rows: int, seed: int) -> float:
     """Share of the links of ``rows`` nodes, found by comparing them with all, that lie within a component."""
     chosen = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(rows).join(named, "node", "left")
@@ -238,11 +286,11 @@ def near_duplicates(
     rows = rows.withColumn("grp", F.when(F.col("good"), F.xxhash64("label", F.size("embedding"))))
     rows = rows.withColumn("node", F.when(F.col("good"), F.xxhash64("grp", "embedding")))
     nodes = materialize(nodes_of(rows.where("good")))
-    lists = None
+    lists = named = None
     for attempt in range(tries):
-        lists = neighbour_graph(nodes, k=k, threshold=threshold, floor=floor, tables=tables, rounds=rounds, seed=seed + attempt, known=lists)
-        links = lists.where(F.col("cos") >= threshold).select(F.col("u").alias("x"), F.col("v").alias("y"))
-        named = materialize(components(links).select(F.col("id").alias("node"), "component"))
+        options = {"k": k, "threshold": threshold, "floor": floor, "tables": tables, "rounds": rounds, "seed": seed + attempt}
+        lists = neighbour_graph(nodes, known=lists, **options)
+        named = joined_components(nodes, lists, named, **options)
         if audit(nodes, named, threshold, audit_rows, seed + attempt) >= recall:
             break
     links = count_links(nodes, named, threshold)

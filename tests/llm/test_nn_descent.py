@@ -71,3 +71,29 @@ def test_audit_sees_what_is_missing(spark):
     split = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 2)], "node bigint, component bigint")
     assert N.audit(rows, split, 0.93, 10, 1) == 4 / 12
     assert N.audit(rows, spark.createDataFrame([(i, 0) for i in range(4)], "node bigint, component bigint"), 0.93, 10, 1) == 1.0
+
+
+def test_groups_of_more_copies_than_a_list_holds(spark):
+    """Two groups whose lists are full of their own copies, near each other; and two that are not."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for label, angle in ((0, 0.32), (1, 0.5)):
+        a, b = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+        for i in range(600):
+            v = (a if i < 300 else np.cos(angle) * a + np.sin(angle) * b) + rng.normal(size=64) * 0.002
+            rows.append((1000 * label + i, [float(np.float32(x)) for x in v], label))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # whole windows
+    try:
+        got = {tuple(r) for r in N.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert got == set(brute(rows)) and {r[:3] for r in got if r[0] < 1000} == {(i, 599, 0) for i in range(600)}
+
+
+def test_near_entries_beyond_a_list_stay(spark):
+    edges = spark.createDataFrame([(1, v, 0.99 - v / 10_000) for v in range(2, 102)] + [(2, v, 0.7) for v in range(3, 50)], "u bigint, v bigint, cos double")
+    got = N.shorten(edges, 12, 0.93).collect()
+    assert {r.v for r in got if r.u == 1} == set(range(2, 102))
+    assert [r.listed for r in sorted(got) if r.u == 1] == [True] * 48 + [False] * 52
+    assert {r.v for r in got if r.u == 2} == set(range(3, 15))
