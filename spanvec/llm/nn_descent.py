@@ -2,7 +2,8 @@
 
 Vectors of one label are nodes; equal vectors are one node with a weight. Each
 node keeps a list of its nearest neighbours found so far. The first lists come from
-windows over several sorted orders (sign bits of random projections). Then the lists
+windows over several sorted orders (sign bits of random projections, read as a number);
+how many follows from the rows of the label and the miss rate allowed. Then the lists
 are refined: what a node's neighbours hold is compared with the node, until little
 changes. A node whose whole list lies above the threshold is saturated and gets a
 list of twice the length; near entries beyond it are not followed, but stay as links.
@@ -13,9 +14,10 @@ so the nodes with ``k`` near entries are searched again for entries outside thei
 component, which joins components until a search finds no more. The number of links of
 each vector is
 then counted exactly among all vectors of its component, block by block, so no list
-length limits it. An audit compares a fixed number of nodes with all vectors of
-their label; while their links are not found to ``recall``, the search goes on with
-new projections.
+length limits it. An audit compares nodes with all vectors of their label, more of them
+until it has seen ``audit_links`` links of nodes with few and of nodes with many links,
+or ``most_audited`` nodes. While either kind is not found to ``recall``, the search goes
+on with twice as many new projections; if it never is, an error says so.
 
 Defined results for odd input: a vector that is NULL, empty, zero or holds a NULL
 or a non-finite component, or has no label or no id, has no links and is its own
@@ -26,6 +28,7 @@ vectors are linked vectors of their own; only ``vec_id``, ``embedding`` and
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import count
 
@@ -38,7 +41,8 @@ from spanvec.llm.graph import components
 from spanvec.llm.runs import matrix, runs
 from spanvec.session import materialize
 
-BITS = 10
+#: Bits of an order, more than the rows of any label tell apart.
+BITS = 40
 WINDOW = 256
 #: Rows of a block of a large component, and neighbours of a node in one task.
 BLOCK = 1024
@@ -81,8 +85,21 @@ def _edges(u: np.ndarray, v: np.ndarray, cos: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "cos": pa.array(cos, pa.float64())})
 
 
-def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int) -> DataFrame:
-    """Neighbours within windows of ``tables`` sorted orders, outside the node's own component."""
+def orders(rows: int, threshold: float, recall: float) -> int:
+    """Sorted orders after which a pair at the threshold has met in a window with half the misses allowed.
+
+    Nodes that agree in the first ``depth`` bits are half a step of the windows, so they meet;
+    two nodes agree in a bit with the chance that no random plane parts them.
+    """
+    depth = max(0, math.ceil(math.log2(max(rows, 1) * 2 / WINDOW)))
+    meet = (1 - math.acos(max(-1.0, min(threshold, 1.0))) / math.pi) ** depth
+    return 1 if meet >= 1 else math.ceil(math.log((1 - recall) / 2) / math.log1p(-meet))
+
+
+def first_lists(nodes: DataFrame, k: int, threshold: float, floor: float, tables: int, recall: float, seed: int) -> DataFrame:
+    """Neighbours within windows of sorted orders, ``tables`` at least, outside the node's own component."""
+    many = F.udf(lambda n: max(tables, orders(n, threshold, recall)), "int")
+    sizes = materialize(nodes.groupBy("grp").agg(F.count("*").alias("n"))).select("grp", many("n").alias("orders"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,11 +108,14 @@ def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int)
             for size in np.unique(sizes):
                 part = batch.take(pa.array(np.flatnonzero(sizes == size)))
                 x = matrix(part.column(2))
-                planes = np.random.default_rng((seed, int(size))).normal(size=(int(size), tables, BITS + 1))
-                seen = np.einsum("nd,dtb->ntb", x, planes)
-                code = ((seen[:, :, :BITS] > 0) << np.arange(BITS)).sum(2)
-                for t in range(tables):
-                    columns = [pa.array(np.full(len(x), t), pa.int32()), part.column(0), pa.array(code[:, t], pa.int32()), pa.array(seen[:, t, BITS]), part.column(1), part.column(3), part.column(2)]
+                wanted = part.column(4).to_numpy()
+                for t in range(wanted.max()):
+                    planes = np.random.default_rng((seed, int(size), t)).normal(size=(int(size), BITS + 1))
+                    here = np.flatnonzero(wanted > t)
+                    seen = x[here] @ planes
+                    code = (seen[:, :BITS] > 0) @ (1 << np.arange(BITS)[::-1])
+                    rows = part.take(pa.array(here))
+                    columns = [pa.array(np.full(len(here), t), pa.int32()), rows.column(0), pa.array(code, pa.int64()), pa.array(seen[:, BITS]), rows.column(1), rows.column(3), rows.column(2)]
                     yield pa.RecordBatch.from_arrays(columns, ["t", "grp", "code", "at", "node", "component", "vec"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +139,7 @@ def first_lists(nodes: DataFrame, k: int, floor: float, tables: int, seed: int)
         if held is not None:
             yield from search(held)
 
-    placed = nodes.select("grp", "node", "vec", "component").mapInArrow(place, "t int, grp bigint, code int, at double, node bigint, component bigint, vec array<double>")
+    placed = nodes.join(sizes, "grp").select("grp", "node", "vec", "component", "orders").mapInArrow(place, "t int, grp bigint, code bigint, at double, node bigint, component bigint, vec array<double>")
     order = ["t", "grp", "code", "at", "node"]
     return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, _EDGE)
 
@@ -174,7 +194,7 @@ def refine(nodes: DataFrame, lists: DataFrame, k: int, own: DataFrame | None = N
 
 
 def neighbour_graph(
-    nodes: DataFrame, *, k: int, threshold: float, floor: float, tables: int, rounds: int, seed: int, known: DataFrame | None = None, own: DataFrame | None = None
+    nodes: DataFrame, *, k: int, threshold: float, floor: float, tables: int, rounds: int, seed: int, recall: float = 0.995, known: DataFrame | None = None, own: DataFrame | None = None
 ) -> DataFrame:
     """``u, v, cos, listed``: each node's list after refinement, and near entries beyond it.
 
@@ -182,7 +202,7 @@ def neighbour_graph(
     """
     if "component" not in nodes.columns:
         nodes = nodes.withColumn("component", F.col("node"))
-    edges = first_lists(nodes, k, floor, tables, seed)
+    edges = first_lists(nodes, k, threshold, floor, tables, recall, seed)
     lists = materialize(shorten(edges if known is None else edges.unionByName(known.select("u", "v", "cos")), k, threshold))
     size = (F.count_if("listed"), F.sum(F.when(F.col("listed"), F.col("cos"))))
     had = lists.agg(*size).first()
@@ -227,8 +247,8 @@ def joined_components(nodes: DataFrame, lists: DataFrame, named: DataFrame | Non
     return named
 
 
-def audit(nodes: DataFrame, named: DataFrame, threshold: float, rows: int, seed: int) -> float:
-    """Share of the links of ``rows`` nodes, found by comparing them with all, that lie within a component."""
+def audit_counts(nodes: DataFrame, named: DataFrame, threshold: float, rows: int, seed: int, many: int) -> dict[bool, tuple[int, int]]:
+    """Links of ``rows`` nodes, found by comparing them with all, and those within a component: of nodes with ``many`` links, and of others."""
     chosen = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(rows).join(named, "node", "left")
     chosen = chosen.select("grp", "node", F.coalesce("component", "node").alias("component"), "vec").collect()
     by_group: dict[int, list] = {}
@@ -237,21 +257,29 @@ def audit(nodes: DataFrame, named: DataFrame, threshold: float, rows: int, seed:
     packed = {g: (np.array([r.node for r in rs]), np.array([r.component for r in rs]), np.array([r.vec for r in rs])) for g, rs in by_group.items()}
     sent = nodes.sparkSession.sparkContext.broadcast(packed)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = inside = 0
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups = batch.column(0).to_numpy()
             for g in np.unique(groups):
                 if g in sent.value:
                     part = batch.take(pa.array(np.flatnonzero(groups == g)))
-                    ids, component, x = sent.value[g]
-                    near = (matrix(part.column(3)) @ x.T >= threshold) & (part.column(1).to_numpy()[:, None] != ids)
-                    total += int(near.sum())
-                    inside += int((near & (part.column(2).to_numpy()[:, None] == component)).sum())
-        yield pa.RecordBatch.from_pydict({"total": pa.array([total], pa.int64()), "inside": pa.array([inside], pa.int64())})
+                    own, named_as, vectors = part.column(1).to_numpy()[:, None], part.column(2).to_numpy()[:, None], matrix(part.column(3))
+                    for i in range(0, len(sent.value[g][0]), BLOCK):
+                        ids, component, x = (values[i : i + BLOCK] for values in sent.value[g])
+                        near = (vectors @ x.T >= threshold) & (own != ids)
+                        total, inside = near.sum(0), (near & (named_as == component)).sum(0)
+                        hit = total > 0
+                        yield pa.RecordBatch.from_pydict({"node": pa.array(ids[hit], pa.int64()), "total": pa.array(total[hit], pa.int64()), "inside": pa.array(inside[hit], pa.int64())})
 
     all_named = nodes.join(named, "node", "left").select("grp", "node", F.coalesce("component", "node").alias("component"), "vec")
-    total, inside = all_named.mapInArrow(count, "total bigint, inside bigint").agg(F.sum("total"), F.sum("inside")).first()
+    each = all_named.mapInArrow(compare, "node bigint, total bigint, inside bigint").groupBy("node").agg(F.sum("total").alias("total"), F.sum("inside").alias("inside"))
+    seen = {r.large: (r.total, r.inside) for r in each.groupBy((F.col("total") >= many).alias("large")).agg(F.sum("total").alias("total"), F.sum("inside").alias("inside")).collect()}
+    return {large: seen.get(large, (0, 0)) for large in (False, True)}
+
+
+def audit(nodes: DataFrame, named: DataFrame, threshold: float, rows: int, seed: int) -> float:
+    """Share of the links of ``rows`` nodes, found by comparing them with all, that lie within a component."""
+    total, inside = audit_counts(nodes, named, threshold, rows, seed, 1)[True]
     return 1.0 if not total else inside / total
 
 
@@ -278,7 +306,7 @@ def count_links(nodes: DataFrame, named: DataFrame, threshold: float) -> DataFra
 
 
 def near_duplicates(
-    vectors: DataFrame, *, threshold: float = 0.93, k: int = 12, floor: float = 0.6, tables: int = 8, rounds: int = 6, recall: float = 0.995, audit_rows: int = 512, tries: int = 4, seed: int = 11
+    vectors: DataFrame, *, threshold: float = 0.93, k: int = 12, floor: float = 0.6, tables: int = 8, rounds: int = 6, recall: float = 0.995, audit_rows: int = 512, audit_links: int = 200, most_audited: int = 8192, tries: int = 4, seed: int = 11
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of each row of ``vec_id, embedding, label``."""
     good = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
@@ -287,12 +315,21 @@ def near_duplicates(
     rows = rows.withColumn("node", F.when(F.col("good"), F.xxhash64("grp", "embedding")))
     nodes = materialize(nodes_of(rows.where("good")))
     lists = named = None
+    size = nodes.count()
     for attempt in range(tries):
-        options = {"k": k, "threshold": threshold, "floor": floor, "tables": tables, "rounds": rounds, "seed": seed + attempt}
+        options = {"k": k, "threshold": threshold, "floor": floor, "tables": tables << attempt, "rounds": rounds, "recall": 1 - (1 - recall) / 2**attempt, "seed": seed + attempt}
         lists = neighbour_graph(nodes, known=lists, **options)
         named = joined_components(nodes, lists, named, **options)
-        if audit(nodes, named, threshold, audit_rows, seed + attempt) >= recall:
+        audited = audit_rows
+        while True:
+            seen = audit_counts(nodes, named, threshold, audited, seed + attempt, k)
+            if audited >= most_audited or audited >= size or all(total >= audit_links for total, _ in seen.values()):
+                break
+            audited = min(4 * audited, most_audited)
+        if all(inside >= recall * total for total, inside in seen.values()):
             break
+    else:
+        raise RuntimeError(f"near duplicates not found to {recall}: (links, found) of {audited} nodes, by whether they have {k} links: {seen}")
     links = count_links(nodes, named, threshold)
     table = nodes.select("node", "weight").join(named, "node", "left").join(links, "node", "left")
     table = materialize(table.select("node", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "node").alias("component")))

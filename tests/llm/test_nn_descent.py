@@ -97,3 +97,18 @@ def test_near_entries_beyond_a_list_stay(spark):
     assert {r.v for r in got if r.u == 1} == set(range(2, 102))
     assert [r.listed for r in sorted(got) if r.u == 1] == [True] * 48 + [False] * 52
     assert {r.v for r in got if r.u == 2} == set(range(3, 15))
+
+
+def test_windows_grow_with_the_rows(spark):
+    """Isolated pairs among 40,000 vectors of one label."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for i in range(0, 10_000, 2):
+        other = x[i + 1] - (x[i + 1] @ x[i]) * x[i]
+        x[i + 1] = 0.94 * x[i] + np.sqrt(1 - 0.94**2) * other / np.linalg.norm(other)
+    nodes = N.materialize(spark.createDataFrame([(0, i, 1, v.tolist()) for i, v in enumerate(x)], "grp bigint, node bigint, weight bigint, vec array<double>"))
+    lists = N.neighbour_graph(nodes, k=12, threshold=0.93, floor=0.6, tables=8, rounds=0, seed=11)
+    met = {(r.u, r.v) for r in lists.where("cos >= 0.93").collect()}
+    assert sum((i, i + 1) in met for i in range(0, 10_000, 2)) >= 0.997 * 5_000
+    assert N.orders(100, 0.93, 0.995) == 1 and N.orders(10**6, 0.93, 0.995) > N.orders(10**4, 0.93, 0.995) > 8
