@@ -3,10 +3,11 @@
 A text is cut into lines, a line of more than ``LONG_LINE`` words into sentences.
 Runs of neighbouring pieces that hold a cue word are the candidate blocks. A
 candidate is compressed alone and with each template as a raw zstandard dictionary;
-the share of bytes that a template saves ranks the templates. The best ones are
-confirmed by wording: words that the block lacks or has in between, in lower case
-without punctuation, may be at most ``most_differences`` of the template's words.
-What stands before and after the template's words in the block is no difference.
+the share of bytes that a template saves ranks the templates. Every template is
+confirmed by wording, whatever it saves: words that the block lacks or has in between,
+in lower case without punctuation, may be at most ``most_differences`` of the template's
+words, and with differences the notice alone has to save ``least_saving``. What stands
+before and after the template's words in the block is no difference.
 
 Defined results for odd input: a NULL, empty or blank text has no candidate and no
 license; of equal savings the template that is first in the table wins; repeated
@@ -130,18 +131,29 @@ class Scanner:
         alone = len(self.plain.compress(data))
         return [(alone - len(c.compress(data))) / alone for c in self.given]
 
+    def _notice(self, i: int, block: str) -> tuple[list[str], list[str]] | None:
+        """Words missing and added, if the block holds the template's wording."""
+        wanted, own = self.templates[i][1], words(block)
+        missing, added = differences(wanted, own)
+        if len(missing) + len(added) > self.most_differences * len(wanted):
+            return None
+        if missing or added:
+            shared = [m for m in difflib.SequenceMatcher(None, wanted, own, False).get_matching_blocks() if m.size]
+            spans = [m.span() for m in _WORD.finditer(block.lower())]
+            notice = block.lower()[spans[shared[0].b][0] : spans[shared[-1].b + shared[-1].size - 1][1]]
+            if self.savings(notice)[i] < self.least_saving:
+                return None
+        return missing, added
+
     def _matches(self, block: str) -> tuple[Match, ...]:
         """Confirmed licenses of a block, the largest saving first, each license once."""
         saved = self.savings(block)
-        own = words(block)
         found: dict[str, Match] = {}
         for i in sorted(range(len(saved)), key=lambda i: (-saved[i], i)):
-            name, wanted = self.templates[i]
-            if saved[i] < self.least_saving:
-                break
-            missing, added = differences(wanted, own)
-            if name not in found and len(missing) + len(added) <= self.most_differences * len(wanted):
-                found[name] = Match(name, saved[i], tuple(missing), tuple(added))
+            name = self.templates[i][0]
+            notice = None if name in found else self._notice(i, block)
+            if notice:
+                found[name] = Match(name, saved[i], tuple(notice[0]), tuple(notice[1]))
         return tuple(found.values())
 
     def scan(self, text: str) -> list[tuple[int, int, Match]]:

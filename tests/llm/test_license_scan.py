@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -54,3 +55,14 @@ def test_odd_rows(odd_docs, clashing_docs, no_docs):
         assert len(rows) == 11 and all((r.n_candidates, r.n_licenses, r.license) == (0, 0, None) for r in rows)
         assert L.scan_blocks(docs).count() == 0
     assert L.scan_documents(no_docs).count() == 0
+
+
+def test_a_longer_block_hides_no_notice():
+    scanner = L.Scanner(L.TEMPLATES, 0.0, 0.1)
+    rng = random.Random(5)
+    unrelated = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(35))
+    for name, text in L.TEMPLATES:
+        ((_, _, hit),) = [h for h in scanner.scan(f"Copyright {unrelated} {text}") if h[2].license == name]
+        assert hit.missing == hit.added == ()
+    notices = "\n".join(text for _, text in L.TEMPLATES)
+    assert {m.license for *_, m in scanner.scan(notices)} == {name for name, _ in L.TEMPLATES}
