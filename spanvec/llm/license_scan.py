@@ -7,7 +7,9 @@ the share of bytes that a template saves ranks the templates. Every template is
 confirmed by wording, whatever it saves: words that the block lacks or has in between,
 in lower case without punctuation, may be at most ``most_differences`` of the template's
 words, and with differences the notice alone has to save ``least_saving``. What stands
-before and after the template's words in the block is no difference.
+before and after the template's words in the block is no difference. A notice may begin
+before or end after its block, by as many words as the longest template has, whatever
+the line breaks; begin and end then cover both. SPDX tags name their identifiers.
 
 Defined results for odd input: a NULL, empty or blank text has no candidate and no
 license; of equal savings the template that is first in the table wins; repeated
@@ -17,6 +19,7 @@ the largest saving is the first; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Iterator
@@ -42,10 +45,25 @@ TEMPLATES = (
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "Licensed under the CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under the CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "Licensed under the CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("proprietary", "All rights reserved."),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
 )
 CUES = ("licen", "rights reserved", "public domain", "copyright", "spdx")
 LONG_LINE = 60
@@ -55,6 +73,10 @@ REMEMBERED = 20_000
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 _PIECE = re.compile(r"[^\n]+")
+_ID = r"[A-Za-z0-9][\w+-]*(?:\.[\w+-]+)*"
+_TAG = re.compile(rf"(?i:SPDX-License-Identifier):[ \t]*(\(*{_ID}\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*{_ID}\)*)*)")
+_EXCEPTION = re.compile(rf"\bWITH[ \t]+{_ID}|\b(?:AND|OR)\b")
+_IDENTIFIER = re.compile(_ID)
 _SENTENCE = re.compile(r"\S.*?(?:[.!?](?=\s)|$)")
 
 
@@ -73,15 +95,17 @@ def pieces(text: str) -> Iterator[tuple[int, int]]:
 
 
 def candidates(text: str, cues: tuple[str, ...] = CUES) -> list[tuple[int, int]]:
-    """Begin and end of the runs of neighbouring pieces that hold a cue."""
+    """Begin and end of the runs of neighbouring pieces that hold a cue, or a part of one that is wrapped."""
     low = text.lower()
-    if not any(cue in low for cue in cues):
+    phrases = [p for p in map(str.split, cues) if len(p) > 1 and all(w in low for w in p)]
+    wrapped = [m.span() for p in phrases for m in re.finditer(r"\W+".join(map(re.escape, p)), text, re.I) if "\n" in m[0]]
+    if not wrapped and not any(cue in low for cue in cues):
         return []
     out: list[tuple[int, int]] = []
     after_cue = False
     for begin, end in pieces(text):
         part = text[begin:end].lower()
-        has = any(cue in part for cue in cues)
+        has = any(cue in part for cue in cues) or any(b < end and begin < e for b, e in wrapped)
         if has and after_cue:
             out[-1] = (out[-1][0], end)
         elif has:
@@ -156,8 +180,55 @@ class Scanner:
                 found[name] = Match(name, saved[i], tuple(notice[0]), tuple(notice[1]))
         return tuple(found.values())
 
+    def tags(self, block: str) -> Iterator[Match]:
+        """Identifiers of the SPDX tags of a block."""
+        for tag in _TAG.finditer(block):
+            for name in _IDENTIFIER.findall(_EXCEPTION.sub(" ", tag[1])):
+                given = self.plain_with(f"spdx-license-identifier: {name}".lower())
+                data = block.lower().encode("utf-8", "replace")
+                alone = len(self.plain.compress(data))
+                yield Match(name, (alone - len(given.compress(data))) / alone, (), ())
+
+    @staticmethod
+    def plain_with(text: str) -> zstandard.ZstdCompressor:
+        given = zstandard.ZstdCompressionDict(text.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_dict_id=False, dict_data=given)
+
+    def beyond(self, text_words: list[re.Match], begin: int, end: int) -> Iterator[tuple[int, int, int]]:
+        """Template, begin and end of the exact notices that overlap a block and reach beyond it."""
+        reach = max((len(wanted) for _, wanted in self.templates), default=0)
+        first_word = bisect.bisect_left(text_words, begin, key=lambda w: w.start())
+        after_word = bisect.bisect_left(text_words, end, key=lambda w: w.start())
+        near = text_words[max(0, first_word - reach) : after_word + reach]
+        low = [w[0].lower() for w in near]
+        for i, (_, wanted) in enumerate(self.templates):
+            n = len(wanted)
+            for at in range(len(low) - n + 1):
+                if low[at] == wanted[0] and low[at : at + n] == wanted:
+                    first, last = near[at].start(), near[at + n - 1].end()
+                    if first < end and last > begin and (first < begin or last > end):
+                        yield i, first, last
+
     def scan(self, text: str) -> list[tuple[int, int, Match]]:
-        return [(begin, end, m) for begin, end in candidates(text) for m in self.matches(text[begin:end])]
+        out: list[tuple[int, int, Match]] = []
+        seen: set[tuple[int, int, int]] = set()
+        blocks = candidates(text)
+        text_words = list(_WORD.finditer(text)) if blocks else []
+        for begin, end in blocks:
+            block = text[begin:end]
+            found = {m.license for m in self.matches(block)}
+            out += [(begin, end, m) for m in self.matches(block)]
+            for m in self.tags(block) if "spdx" in block.lower() else ():
+                if m.license not in found:
+                    found.add(m.license)
+                    out.append((begin, end, m))
+            for i, first, last in self.beyond(text_words, begin, end):
+                if (i, first, last) not in seen and self.templates[i][0] not in found:
+                    found.add(self.templates[i][0])
+                    b, e = min(begin, first), max(end, last)
+                    out.append((b, e, Match(self.templates[i][0], self.savings(text[b:e])[i], (), ())))
+                seen.add((i, first, last))
+        return out
 
 
 def scan_blocks(docs: DataFrame, *, templates=TEMPLATES, most_differences: float = 0.0, least_saving: float = 0.1) -> DataFrame:

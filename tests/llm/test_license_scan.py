@@ -66,3 +66,20 @@ def test_a_longer_block_hides_no_notice():
         assert hit.missing == hit.added == ()
     notices = "\n".join(text for _, text in L.TEMPLATES)
     assert {m.license for *_, m in scanner.scan(notices)} == {name for name, _ in L.TEMPLATES}
+
+
+def test_notices_over_lines_and_tags():
+    scanner = L.Scanner(L.TEMPLATES, 0.0, 0.1)
+
+    def found(text):
+        return sorted(m.license for *_, m in scanner.scan(text))
+
+    assert found("Licensed under the Apache License,\nVersion 2.0.") == ["Apache-2.0"]
+    assert found("This Source Code Form is subject to the terms of\nthe Mozilla Public License, v. 2.0.") == ["MPL-2.0"]
+    assert found("Licensed under the\nCC BY 4.0.") == ["CC-BY-4.0"]
+    assert found("# SPDX-License-Identifier: (MIT OR Apache-2.0)\ncode") == ["Apache-2.0", "MIT"]
+    assert found("Write SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 AND MIT. in each file.") == ["GPL-2.0-only", "MIT"]
+    for name, text in L.TEMPLATES:
+        wrapped = "\n# ".join(text.split(" "))
+        assert name in found(f"# {wrapped}\n")
+    assert not found("The\nMozilla Public License, v. 3.0.")
