@@ -256,9 +256,9 @@ class Labeller:
 
 
 def learn(docs: DataFrame, *, per_language: int = 200, most_chars: int = 50_000, seed: int = 3, **options) -> LanguageModel:
-    """A model from documents outside the held-out fold whose language is known."""
+    """A model from documents outside the held-out fold whose id and language are known."""
     known = docs.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
-    known = known.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= most_chars))
+    known = known.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= most_chars))
     turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", F.xxhash64("text"))
     rows = known.withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= per_language)
     rows = sorted(tuple(r) for r in rows.select("lang", "doc_id", "text").collect())

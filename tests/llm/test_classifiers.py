@@ -123,3 +123,10 @@ def test_runs_of_bounded_text():
     batch = pa.RecordBatch.from_pydict({"i": pa.array(range(6)), "t": pa.array(["a" * 5, None, "b" * 20, "c", "", "d" * 9])})
     parts = [(p.column(0).to_pylist(), t) for p, t in texts_of(iter([batch, batch.slice(0, 0)]), 1, 10)]
     assert [p for p, _ in parts] == [[0, 1], [2], [3, 4, 5]] and parts[1][1] == ["b" * 20]
+
+
+def test_a_document_without_id_teaches_no_language(spark):
+    rows = [(4, "one two three", "en"), (None, "one two four", "en"), (6, "eins zwei drei", "de"), (7, "un deux trois", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got, want = C.learn(docs), C.learn(docs.where("doc_id is not null"))
+    assert got.languages == want.languages and len(C.predict(docs, got).collect()) == 4
