@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from spanvec.llm import (
     byte_bpe,
     conversation_tools,
+    decontaminate,
     jaccard_join,
     language_crf,
     license_scan,
@@ -104,3 +105,35 @@ ORACLES["op10_tool_calls"] = conversation_tools.ORACLE
 def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = conversation_tools.calls_and_results(table(spark, sf_dir, "conversations"))
     return tool_calls.format_calls(calls, results, conversation_tools.SCHEMAS)
+
+
+#: Windows of ten words as joined words; DuckDB counts list places from 1.
+ORACLES["op13_decontaminate"] = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+ '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+ '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[s : s + m - 1], ' ') AS g
+ FROM (SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)),
+grams AS (SELECT r, m, s, array_to_string(w[s : s + m - 1], ' ') AS g
+ FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d JOIN (SELECT DISTINCT m FROM win) ON len(w) >= m)),
+hits AS (SELECT r, s, m, item_id FROM grams JOIN win USING (m, g)),
+words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + m)) AS p FROM (SELECT DISTINCT r, s, m FROM hits)) GROUP BY r),
+named AS (SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
+ sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
+
+
+@query
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
