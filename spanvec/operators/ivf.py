@@ -124,7 +124,6 @@ def probe_cells(
     queries: DataFrame, centroids: QuerySet, nprobe: int = DEFAULT_NPROBE, metric: str = "L2"
 ) -> DataFrame:
     """``query_id, vector, cell``: the ``nprobe`` nearest cells of each query."""
-    collection = collection if where is None else collection.where(where)
     cids, block = centroids.ids, centroids.block
     check_metric(metric)
 
