@@ -18,6 +18,7 @@ from spanvec.llm import (
     permutation_index,
     source_mix,
     tool_calls,
+    vector_codes,
     warc,
 )
 from spanvec.plans.base import Plan, table
@@ -107,6 +108,41 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.format_calls(calls, results, conversation_tools.SCHEMAS)
 
 
+def _codebook_rounds(rounds: int) -> str:
+    """Common tables ``book0`` to the last round's and ``near``, the final nearest entries."""
+    near = """SELECT n, j, e, d FROM (SELECT n, j, e, d, row_number() OVER (PARTITION BY n, j ORDER BY d, e) AS place FROM
+ (SELECT n, part.j, e, list_sum(list_transform(range(1, len(part.x) + 1), lambda k: (part.x[k] - {book}.x[k]) * (part.x[k] - {book}.x[k]))) AS d
+ FROM part JOIN {book} ON part.j = {book}.j)) WHERE place = 1"""
+    out = []
+    for i in range(rounds):
+        out.append(f"near{i} AS ({near.format(book=f'book{i}')})")
+        out.append(
+            f"mean{i} AS (SELECT j, e, list(m ORDER BY k) AS x FROM (SELECT j, e, k, CAST(floor(sum(part.x[k])::DOUBLE / count(*)) AS BIGINT) AS m"
+            f" FROM part JOIN near{i} USING (n, j), (SELECT unnest(range(1, (SELECT max(len(x)) FROM part) + 1)) AS k) GROUP BY j, e, k) GROUP BY j, e)"
+        )
+        out.append(f"book{i + 1} AS (SELECT j, e, coalesce(mean{i}.x, book{i}.x) AS x FROM book{i} LEFT JOIN mean{i} USING (j, e))")
+    out.append(f"near AS ({near.format(book=f'book{rounds}')})")
+    return ", ".join(out)
+
+
+#: Sums of a part stay far below 2**53, so the quotient in doubles has an exact floor.
+ORACLES["op11_vector_codes"] = f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+ FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS (SELECT n, j, x[j * len(x) // 16 + 1 : (j + 1) * len(x) // 16] AS x FROM v, (SELECT unnest(range(16)) AS j)),
+book0 AS (SELECT j, n - 1 AS e, x FROM part WHERE n <= 64),
+{_codebook_rounds(2)},
+sha AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY j, e)) AS codebooks_sha256 FROM book2),
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY j) AS code, CAST(sum(d) AS BIGINT) AS error FROM near JOIN v USING (n) GROUP BY n, vec_id, label)
+SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, sha
+"""
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 #: Windows of ten words as joined words; DuckDB counts list places from 1.
 ORACLES["op13_decontaminate"] = """
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
