@@ -16,6 +16,7 @@ from spanvec.llm import (
     nn_descent,
     pairwise_quality,
     permutation_index,
+    source_divergence,
     source_mix,
     tool_calls,
     vector_codes,
@@ -143,6 +144,32 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op12_source_divergence"] = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+ translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n FROM g JOIN k USING (lang)
+ LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p FROM c WINDOW w AS (PARTITION BY lang, source)),
+q AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS q FROM k WINDOW w AS (PARTITION BY lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+ FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+ LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+ SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 #: Windows of ten words as joined words; DuckDB counts list places from 1.
 ORACLES["op13_decontaminate"] = """
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
