@@ -11,11 +11,13 @@ group's count over all kept terms. Two shares diverge by
 * part ``term``: the divergence from the language of the terms that a group has more of than the
   language has, the ``top`` largest.
 
-*Late strings.* Tasks count their terms in bounded tables and write them once, beside a
-64-bit digest of each term. What is shuffled, summed, joined and ranked from there on are
-digests; equal values keep their place until the end. The smallest and the largest string of
-each digest show whether terms collide: the terms of such digests are told apart by a number
-besides the digest. The strings come back only for the rows that may be among the ``top``.
+*Late strings.* Tasks count their terms in bounded tables and write them once, by a 64-bit
+digest of each term, with the string once for each language. What is shuffled, summed, joined
+and ranked from there on are digests; equal values keep their place until the end. The
+smallest and the largest string of each digest that is kept show whether terms collide: the
+terms of such digests are counted by their strings, from the texts, and told apart by a
+number besides the digest. The strings come back only for the rows that may be among the
+``top``.
 
 *Pairs of sources* share all kept terms, so the terms of a language are dealt into buckets of
 bounded size (by terms and sources), sources into blocks. A task sums the pairs of two
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +45,7 @@ from spanvec.session import materialize
 
 CHUNK = 4 << 20
 #: Counted terms and groups that a task holds before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 21
 #: Shares of a bucket, and sources of a block.
 CELLS = 1 << 17
 BLOCK = 256
@@ -94,67 +97,92 @@ class Counter:
 
     @property
     def full(self) -> bool:
-        return self.size > HELD or len(self.terms) > HELD
+        return self.size > HELD or len(self.terms) > HELD // 2
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
+    def rows(self, bits: int, strings: bool) -> Iterator[pa.RecordBatch]:
+        """Sums by group and digest, and by language and digest with the string; with ``strings`` all by group and string."""
         if not self.size:
             return
         self._sum()
         group, term, n, docs = self.parts[0]
         names = pa.array([t.decode("utf-8", "replace") for t in self.terms], pa.string())
+        digests = np.fromiter(map(xxhash.xxh64_intdigest, self.terms), np.uint64, len(self.terms)) & np.uint64((1 << bits) - 1)
+        digests = digests.view(np.int64)
         langs, sources = (pa.array([g[i] for g in self.groups], pa.string()) for i in (0, 1))
-        for at in range(0, len(n), 65_536):
-            span = slice(at, at + 65_536)
-            of = pa.array(group[span])
-            columns = [langs.take(of), sources.take(of), names.take(pa.array(term[span])), pa.array(n[span]), pa.array(docs[span])]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+        for span in _slices(len(n)):
+            of, t = pa.array(group[span]), term[span]
+            yield _rows(langs.take(of), sources.take(of), digests[t], names.take(pa.array(t)) if strings else None, n[span], docs[span] if strings else None)
+        if strings:
+            return
+        numbers, many = Numbers(), max(len(self.terms), 1)
+        lang = np.array([numbers[g[0]] for g in self.groups], np.int64)[group]
+        keys, at = np.unique(lang * many + term, return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, docs)
+        langs = pa.array(list(numbers), pa.string())
+        for span in _slices(len(keys)):
+            t = keys[span] % many
+            yield _rows(langs.take(pa.array(keys[span] // many)), None, digests[t], names.take(pa.array(t)), None, sums[span])
+
+
+def _slices(size: int) -> list[slice]:
+    return [slice(at, at + 65_536) for at in range(0, size, 65_536)]
+
 
+def _rows(lang, source, digest, term, n, docs) -> pa.RecordBatch:
+    nothing = {"source": pa.string(), "term": pa.string(), "n": pa.int64(), "docs": pa.int64()}
+    held = {"lang": lang, "source": source, "digest": pa.array(digest, pa.int64()), "term": term, "n": n, "docs": docs}
+    return pa.RecordBatch.from_pydict({c: pa.nulls(len(digest), nothing[c]) if v is None else v for c, v in held.items()})
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _count(batches: Iterator[pa.RecordBatch], bits: int = 64, strings: bool = False) -> Iterator[pa.RecordBatch]:
     counter = Counter()
     for part, texts in texts_of(batches, 2, CHUNK):
         counter.add(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)), texts)
         if counter.full:
-            yield from counter.rows()
+            yield from counter.rows(bits, strings)
             counter = Counter()
-    yield from counter.rows()
+    yield from counter.rows(bits, strings)
 
 
 def plain(docs: DataFrame) -> DataFrame:
     return docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
 
 
-def counted_terms(docs: DataFrame, bits: int) -> DataFrame:
-    """``lang, source, digest, term, n, docs``: written sums of single tasks, with digests of ``bits`` bits."""
-    found = plain(docs).mapInArrow(_count, "lang string, source string, term string, n bigint, docs bigint")
-    return materialize(found.withColumn("digest", F.xxhash64("term").bitwiseAND(F.lit(-1 if bits == 64 else (1 << bits) - 1).cast("bigint"))))
+def counted_terms(docs: DataFrame, bits: int, strings: bool = False) -> DataFrame:
+    """``lang, source, digest, term, n, docs``: sums of single tasks, with digests of ``bits`` bits."""
+    schema = "lang string, source string, digest bigint, term string, n bigint, docs bigint"
+    return plain(docs).mapInArrow(lambda batches: _count(batches, bits, strings), schema)
 
 
-def kept_terms(counted: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
+def kept_terms(docs: DataFrame, least_docs: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """``lang, source, digest, sub, n`` of the kept terms, and the ``term`` of each ``digest, sub``.
 
     ``sub`` is 0, but for digests that several terms share; these are counted by term.
     """
-    key = ["lang", "source", "digest"]
-    sums = materialize(counted.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    often = sums.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    strings = counted.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
-    strings = materialize(strings.join(often.select("digest").distinct(), "digest", "left_semi"))
+    counted = materialize(counted_terms(docs, bits))
+    of_lang, of_group = counted.where("source is null"), counted.where("source is not null")
+
+    def often(sums: DataFrame, *key: str) -> DataFrame:
+        return sums.groupBy("lang", *key).agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).select("lang", *key)
+
+    kept = materialize(often(of_lang, "digest"))
+    strings = of_lang.join(kept.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
+    strings = materialize(strings)
     shared = strings.where("term < last").select("digest")
-    sums = sums.withColumn("sub", F.lit(0))
+    sums = of_group.join(kept, ["lang", "digest"], "left_semi").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
+    sums = sums.select("lang", "source", "digest", F.lit(0).alias("sub"), "n")
     names = strings.select("digest", F.lit(0).alias("sub"), "term")
     if not shared.isEmpty():
-        apart = materialize(counted.join(shared, "digest", "left_semi"))
+        apart = materialize(counted_terms(docs, bits, strings=True).join(shared, "digest", "left_semi"))
+        kept = often(apart, "digest", "term")
         place = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
-        subs = materialize(apart.select("digest", "term").distinct().withColumn("sub", place))
-        split = apart.join(subs, ["digest", "term"]).groupBy(*key, "sub").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        subs = materialize(kept.select("digest", "term").distinct().withColumn("sub", place))
+        split = apart.join(kept, ["lang", "digest", "term"], "left_semi").groupBy("lang", "source", "digest", "term").agg(F.sum("n").alias("n"))
+        split = split.join(subs, ["digest", "term"]).select("lang", "source", "digest", "sub", "n")
         sums = sums.join(shared, "digest", "left_anti").unionByName(split)
         names = names.join(shared, "digest", "left_anti").unionByName(subs)
-        often = sums.groupBy("lang", "digest", "sub").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    else:
-        often = often.withColumn("sub", F.lit(0))
-    kept = sums.join(often.select("lang", "digest", "sub"), ["lang", "digest", "sub"], "left_semi")
-    return materialize(kept.select("lang", "source", "digest", "sub", "n")), names
+    return materialize(sums), names
 
 
 def _share(count: str, total: str) -> str:
@@ -276,7 +304,7 @@ def term_rows(kept: DataFrame, names: DataFrame, langs: DataFrame, groups: DataF
 
 def divergence(docs: DataFrame, *, least_docs: int = 10, top: int = 10, bits: int = 64) -> DataFrame:
     """``lang, source, part, item, value, rank`` of every group of ``text, lang, source``."""
-    kept, names = kept_terms(counted_terms(docs, bits), least_docs)
+    kept, names = kept_terms(docs, least_docs, bits)
     langs, groups = totals(docs, kept)
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     pairs = pair_rows(kept, langs, groups).withColumn("rank", rank)

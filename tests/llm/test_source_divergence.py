@@ -93,10 +93,21 @@ def test_counts_in_small_tables(monkeypatch):
     texts = ["a b c a", "B c d", None, "", "é a", "a " * 30]
     batch = pa.RecordBatch.from_pydict({"lang": ["x", "x", "x", "y", "x", "y"], "source": ["s"] * 6, "text": pa.array(texts)})
     sums = Counter()
-    for b in S._count(iter([batch, batch])):
+    whole = Counter()
+    for b in S._count(iter([batch, batch]), strings=True):
         for r in b.to_pylist():
             sums[r["lang"], r["term"], "n"] += r["n"]
             sums[r["lang"], r["term"], "docs"] += r["docs"]
+            whole[r["lang"], r["source"], r["digest"], "n"] += r["n"]
+            whole[r["lang"], None, r["term"], "docs"] += r["docs"]
+    apart = Counter()
+    for b in S._count(iter([batch, batch])):
+        for r in b.to_pylist():
+            if r["source"] is None:
+                apart[r["lang"], None, r["term"], "docs"] += r["docs"]
+            else:
+                apart[r["lang"], r["source"], r["digest"], "n"] += r["n"]
+    assert apart == whole
     want = {("x", "a"): (6, 4), ("x", "b"): (4, 4), ("x", "c"): (4, 4), ("x", "d"): (2, 2), ("x", "é"): (2, 2), ("y", "a"): (60, 2)}
     assert sums == Counter({(*k, w): v[i] for k, v in want.items() for i, w in enumerate(("n", "docs"))})
 
