@@ -45,7 +45,7 @@ from spanvec.session import materialize
 
 CHUNK = 4 << 20
 #: Counted terms and groups that a task holds before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Shares of a bucket, and sources of a block.
 CELLS = 1 << 17
 BLOCK = 256
