@@ -217,17 +217,21 @@ def _lists(lists: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string")).alias("hash")
+
+
 def read_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, fp`` of every document: size and fingerprint of its set."""
+    """``doc_id, hash, n, fp`` of every document: a hash of its text, size and fingerprint of its set."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in texts_of(batches, 1):
+        for part, texts in texts_of(batches, 2):
             sets = shingle_sets(texts, size)
             sizes, prints = pa.array([len(h) for h in sets], pa.int64()), pa.array([fingerprint(h) for h in sets], pa.int64())
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "n": sizes, "fp": prints})
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "hash": part.column(1), "n": sizes, "fp": prints})
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, n bigint, fp bigint")
+    return docs.select("doc_id", _text_hash(), F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, hash bigint, n bigint, fp bigint")
 
 
 def read_entries(docs: DataFrame, size: int, rule: Jaccard) -> DataFrame:
@@ -378,25 +382,37 @@ def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> D
     return components(reduce(DataFrame.unionByName, links))
 
 
-def jaccard_components(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: set size and smallest id that links reach, itself included."""
-    rule = Jaccard(num, den)
+def named_sets(docs: DataFrame, size: int, rule: Jaccard) -> DataFrame:
+    """``doc_id, hash, n, fp, component`` of every document; the component is a fingerprint."""
     sets = materialize(read_sets(docs, size))
     linked = materialize(linked_sets(docs, sets, size, rule))
     named = sets.join(linked.select(F.col("id").alias("fp"), "component"), "fp", "left")
-    named = named.withColumn("component", F.coalesce("component", "fp"))
+    return named.withColumn("component", F.coalesce("component", "fp"))
+
+
+def jaccard_components(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: set size and smallest id that links reach, itself included."""
+    named = named_sets(docs, size, Jaccard(num, den))
     first = named.where("n > 0 and doc_id is not null").groupBy("component").agg(F.min("doc_id").alias("first"))
     out = named.join(first, "component", "left")
     own = F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("first"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents, all their columns, that are the first of their component.
+def one_of_each(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents, all their columns, that are the first of their component, by id and then by text.
 
-    Repeated rows of a kept id stay one row; rows without an id stay.
+    Texts of one id are documents of their own, as far as they are no near copies. Documents
+    without words stay; repeated rows of a kept id and text stay one row; rows without an id stay.
     """
-    found = jaccard_components(docs, **options)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    named = named_sets(docs, size, Jaccard(num, den)).where("doc_id is not null")
+    key = F.struct("doc_id", "hash")
+    first = named.where("n > 0").groupBy("component").agg(F.min(key).alias("first")).select("first.*")
+    keep = first.unionByName(named.where("n = 0").select("doc_id", "hash").distinct())
+    own = "hash"
+    while own in docs.columns:
+        own += "_"
+    keep = keep.select("doc_id", F.col("hash").alias(own))
+    kept = docs.where("doc_id is not null").withColumn(own, _text_hash())
+    kept = kept.join(keep, ["doc_id", own], "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))

@@ -9,7 +9,10 @@ switches languages is labelled word by word. A document's language has the
 largest sum over the words that have a letter, and its score is the share of it.
 
 Learning takes at most ``per_language`` documents of each language, of at most
-``most_chars`` characters; prediction reads every text whole.
+``most_chars`` characters each and ``chars_per_language`` together, and steps through them in
+batches of bounded words; prediction reads every text whole. A line of more than ``LONG``
+words is run as several chains, each with ``MARGIN`` words of its neighbours before and after
+it, as far as the chance of a word depends on others at all.
 
 Defined results for odd input: a text that is NULL or has no letter is ``und``
 with score 0, as is every text if nothing can be learned; equal sums go to the
@@ -34,7 +37,10 @@ TABLE = 1 << 16
 #: Words a worker remembers.
 REMEMBERED = 400_000
 CHUNK = 1 << 20
-
+#: Words of a chain, and words that it sees of its neighbours.
+LONG, MARGIN = 2048, 64
+#: Words times languages of a batch that is learned from.
+BATCH_CELLS = 1 << 20
 
 PUNCTUATION = ".,;:!?\"'()*$%&#|-_"
 AFFIX = 4
@@ -155,9 +161,26 @@ def read_texts(texts: list[str | None], words: Words) -> tuple[np.ndarray, np.nd
     return np.array(numbers, np.int64), np.array(lengths, np.int64), np.array(lines, np.int64)
 
 
+def pieces(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chains of lines: the word that each begins with, its words, and which of all its words are its own."""
+    if lengths.max(initial=0) <= LONG:
+        return np.cumsum(lengths) - lengths, lengths, np.ones(int(lengths.sum()), bool)
+    many = -(-lengths // LONG)
+    line = np.repeat(np.arange(len(lengths)), many)
+    first = LONG * (np.arange(len(line)) - np.repeat(np.cumsum(many) - many, many))
+    last = np.minimum(first + LONG, lengths[line])
+    begin, end = np.maximum(first - MARGIN, 0), np.minimum(last + MARGIN, lengths[line])
+    sizes = end - begin
+    place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes - begin, sizes)
+    own = (place >= np.repeat(first, sizes)) & (place < np.repeat(last, sizes))
+    return begin + (np.cumsum(lengths) - lengths)[line], sizes, own
+
+
 def _sums(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Weights of each word's features, over the root of their number, so that long words do not drown short ones."""
-    total = np.stack([np.bincount(owner, weights[flat, k], len(sizes)) for k in range(weights.shape[1])], 1)
+    total = np.empty((len(sizes), weights.shape[1]))
+    for k in range(weights.shape[1]):
+        total[:, k] = np.bincount(owner, weights[flat, k], len(sizes))
     return total / np.sqrt(np.maximum(sizes, 1))[:, None]
 
 
@@ -168,33 +191,77 @@ class LanguageModel:
     moves: np.ndarray
 
 
+@dataclass(frozen=True)
+class Batch:
+    """Documents to learn from: words and labels in the order of the chains' steps, features of the words."""
+
+    chains: Chains
+    numbers: np.ndarray
+    flat: np.ndarray
+    owner: np.ndarray
+    sizes: np.ndarray
+    truth: np.ndarray  # how often each word has each label
+    moves: np.ndarray  # how often each label follows itself
+
+    @staticmethod
+    def of(texts: list[str], labels: list[int], size: int) -> Batch | None:
+        words = Words()
+        numbers, lengths, lines = read_texts(texts, words)
+        if not len(numbers):
+            return None
+        label = np.repeat(np.repeat(labels, lines), lengths)
+        begin, sizes, own = pieces(lengths)
+        # Every word is learned from once: chains without the words of their neighbours.
+        sizes = np.add.reduceat(own, np.cumsum(sizes) - sizes, dtype=np.int64)
+        chains = Chains.of(sizes)
+        order = np.empty_like(chains.place)
+        order[chains.place] = np.arange(len(order))
+        numbers, label = numbers[order].astype(np.int32), label[order]
+        flat, owner, sizes = word_features(list(words))
+        truth = np.bincount(numbers * size + label, minlength=len(sizes) * size).reshape(-1, size).astype(np.float32)
+        moves = np.diag(np.bincount(label[chains.active[0] :], minlength=size).astype(float))
+        return Batch(chains, numbers, flat.astype(np.int32), owner.astype(np.int32), sizes, truth, moves)
+
+    def slopes(self, weights: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slopes of the mean log-likelihood of a word, by weights and by moves."""
+        size = len(moves)
+        raw = _sums(weights, self.flat, self.owner, self.sizes)
+        emission = np.exp(raw - raw.max(1, keepdims=True))[self.numbers]
+        chances, expected, _ = self.chains.forward_backward(emission, np.exp(moves))
+        root = np.sqrt(np.maximum(self.sizes, 1))
+        slope = np.empty_like(weights)
+        for k in range(size):
+            lacking = (self.truth[:, k] - np.bincount(self.numbers, chances[:, k], len(self.sizes))) / root
+            slope[:, k] = np.bincount(self.flat, lacking[self.owner], TABLE)
+        return slope / len(self.numbers), (self.moves - expected) / len(self.numbers)
+
+
+def batches_of(texts: list[str], labels: list[int], size: int) -> Iterator[Batch]:
+    """Documents in turn, as many to a batch as its words and the languages allow."""
+    held, cells = [], 0
+    for i, text in enumerate(texts):
+        n = (len(text.split()) + 1) * size
+        if held and cells + n > BATCH_CELLS:
+            yield from filter(None, [Batch.of([texts[j] for j in held], [labels[j] for j in held], size)])
+            held, cells = [], 0
+        held.append(i)
+        cells += n
+    yield from filter(None, [Batch.of([texts[j] for j in held], [labels[j] for j in held], size)])
+
+
 def fit(texts: list[str], langs: list[str], *, steps: int = 25, rate: float = 0.3, ridge: float = 1e-4) -> LanguageModel:
-    """Weights by gradient steps (Adam) on the chains' log-likelihood."""
+    """Weights by gradient steps (Adam) on the chains' log-likelihood, ``steps`` over each batch."""
     languages = tuple(sorted(set(langs)))
     size = len(languages)
-    words = Words()
-    numbers, lengths, lines = read_texts(texts, words)
     weights, moves = np.zeros((TABLE, size)), np.zeros((size, size))
-    if size < 2 or not len(numbers):
+    if size < 2:
         return LanguageModel(languages, weights, moves)
-    chains = Chains.of(lengths)
-    label = np.repeat(np.repeat([languages.index(x) for x in langs], lines), lengths)
-    order = np.empty_like(chains.place)
-    order[chains.place] = np.arange(len(order))
-    numbers, label = numbers[order], label[order]
-    flat, owner, sizes = word_features(list(words))
-    root = np.sqrt(np.maximum(sizes, 1))
-    truth = np.zeros((len(sizes), size))
-    np.add.at(truth, (numbers, label), 1.0)
-    true_moves = np.diag(np.bincount(label[chains.active[0] :], minlength=size).astype(float))
+    held = list(batches_of(texts, [languages.index(x) for x in langs], size))
     state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(moves), np.zeros_like(moves)]
-    for step in range(1, steps + 1):
-        raw = _sums(weights, flat, owner, sizes)[numbers]
-        chances, expected, _ = chains.forward_backward(np.exp(raw - raw.max(1, keepdims=True)), np.exp(moves))
-        seen = np.stack([np.bincount(numbers, chances[:, k], len(sizes)) for k in range(size)], 1)
-        by_word = ((truth - seen) / root[:, None])[owner]
-        slope = np.stack([np.bincount(flat, by_word[:, k], TABLE) for k in range(size)], 1) / len(numbers) - ridge * weights
-        move_slope = (true_moves - expected) / len(numbers) - 1e-2 * moves
+    for step in range(1, steps * len(held) + 1):
+        slope, move_slope = held[step % len(held)].slopes(weights, moves)
+        slope -= ridge * weights
+        move_slope -= 1e-2 * moves
         for value, g, m, v in ((weights, slope, state[0], state[1]), (moves, move_slope, state[2], state[3])):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -237,10 +304,12 @@ class Labeller:
         self._learn_words()
         chances = np.zeros((len(numbers), len(self.model.languages)))
         if len(numbers):
-            chains = Chains.of(lengths)
-            laid = np.empty_like(numbers)
-            laid[chains.place] = numbers
-            chances = chains.forward_backward(self.emission[laid], self.move)[0][chains.place]
+            begin, sizes, own = pieces(lengths)
+            chains = Chains.of(sizes)
+            word = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes - begin, sizes)
+            laid = np.empty_like(word)
+            laid[chains.place] = numbers[word]
+            chances = chains.forward_backward(self.emission[laid], self.move)[0][chains.place[own]]
         return chances, self.lettered[numbers], lengths, lines
 
     def documents(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -255,14 +324,23 @@ class Labeller:
         return [self.model.languages[b] if t > 0 else UNKNOWN for b, t in zip(best, total, strict=True)], np.minimum(score, 1.0)
 
 
-def learn(docs: DataFrame, *, per_language: int = 200, most_chars: int = 50_000, seed: int = 3, **options) -> LanguageModel:
-    """A model from documents outside the held-out fold whose id and language are known."""
+def learn(
+    docs: DataFrame, *, per_language: int = 200, most_chars: int = 50_000, chars_per_language: int = 500_000, seed: int = 3, **options
+) -> LanguageModel:
+    """A model from documents outside the held-out fold whose id and language are known.
+
+    The driver holds at most ``chars_per_language`` characters of each language and a text more.
+    """
     known = docs.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
     known = known.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= most_chars))
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", F.xxhash64("text"))
-    rows = known.withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= per_language)
-    rows = sorted(tuple(r) for r in rows.select("lang", "doc_id", "text").collect())
-    return fit([r[2] for r in rows], [r[0] for r in rows], **options)
+    turn = F.xxhash64("doc_id", F.lit(seed))
+    order = Window.partitionBy("lang").orderBy(turn, "doc_id", F.xxhash64("text"))
+    rows = known.withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= per_language)
+    before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("_turn")) - F.length("text")
+    rows = rows.withColumn("_before", before).where(F.col("_before") < chars_per_language)
+    # Languages in turn, so that each batch has some of all.
+    taken = sorted(rows.select("_turn", "lang", "doc_id", "text").collect(), key=lambda r: (r[0], r[1]))
+    return fit([r[3] for r in taken], [r[1] for r in taken], **options)
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -299,15 +377,15 @@ def label_words(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, line bigint, langs array<string>")
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
-    """The documents, all their columns, whose language is found with at least this score."""
+def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents, all their columns, whose language is found; one in several languages stays."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(sent.value)
         for part, texts in texts_of(batches, text_at, CHUNK):
-            langs, scores = labeller.documents(texts)
-            yield part.filter(pa.array((np.array(langs, object) != UNKNOWN) & (scores >= least)))
+            langs, _ = labeller.documents(texts)
+            yield part.filter(pa.array(np.array(langs, object) != UNKNOWN))
 
     return docs.mapInArrow(run, docs.schema)

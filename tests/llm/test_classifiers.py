@@ -107,7 +107,7 @@ def test_odd_rows(spark, odd_docs, clashing_docs, no_docs):
         assert len(scored) == 11 and all(0 <= r.score <= 1 for r in scored)
         assert len({r.score for r in scored if r.doc_id in (1, 2)}) == 1
         assert C.keep_known(frame, languages).columns == frame.columns and Q.keep_good(frame, quality).columns == frame.columns
-        assert {r.doc_id for r in C.keep_known(frame, languages, 0.0).collect()} == {4, 5, None, 6, 7, 9}
+        assert {r.doc_id for r in C.keep_known(frame, languages).collect()} == {4, 5, None, 6, 7, 9}
     assert C.predict(no_docs, languages).count() == 0 and Q.score(no_docs, quality).count() == 0
     nothing = C.learn(odd_docs.where("lang is null"))
     assert {r.lang_pred for r in C.predict(odd_docs, nothing).collect()} == {"und"}
@@ -130,3 +130,36 @@ def test_a_document_without_id_teaches_no_language(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got, want = C.learn(docs), C.learn(docs.where("doc_id is not null"))
     assert got.languages == want.languages and len(C.predict(docs, got).collect()) == 4
+
+
+def test_a_document_in_four_languages_stays(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = "the and of that with\nund der die das nicht\nque los las una por el\nles des est dans pour une"
+    frame = spark.createDataFrame([(1, text, "en"), (2, "123", "en"), (3, None, "en")], "doc_id bigint, text string, lang string")
+    model = C.learn(docs)
+    assert [r.doc_id for r in C.keep_known(frame, model).collect()] == [1]
+    assert 0 < C.predict(frame, model).where("doc_id = 1").first().score < 0.6
+
+
+def test_long_lines_are_several_chains(monkeypatch):
+    """Chances of words in a long line, and what is learned from it, do not depend on where it is cut."""
+    rng = np.random.default_rng(4)
+    words = {"en": ["the", "and", "of", "that"], "de": ["und", "der", "nicht", "das"]}
+    texts = ["\n".join(" ".join(rng.choice(words[x], 60)) for _ in range(3)) for x in ("en", "de") * 5]
+    model = C.fit(texts, ["en", "de"] * 5)
+    line = " ".join(" ".join(rng.choice(words[x], rng.integers(1, 40))) for x in ("en", "de") * 200)
+    want, _, lengths, lines = C.Labeller(model).words_of([line, "the und", None, line])
+    assert want.shape[0] == 2 * len(line.split()) + 2 and lines.tolist() == [1, 1, 0, 1]
+    monkeypatch.setattr(C, "LONG", 100)
+    have, _, cut_lengths, _ = C.Labeller(model).words_of([line, "the und", None, line])
+    assert cut_lengths.tolist() == lengths.tolist() and np.abs(have - want).max() < 1e-9
+    begin, sizes, own = C.pieces(np.array([250, 3, 100]))
+    assert begin.tolist() == [0, 36, 136, 250, 253] and sizes.tolist() == [164, 214, 114, 3, 100] and own.sum() == 353
+
+
+def test_batches_bound_what_is_learned_from_at_a_time(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(C, "BATCH_CELLS", 60_000)
+    model = C.learn(docs, steps=8)
+    got = {r.doc_id: r for r in C.predict(docs, model).collect()}
+    assert np.mean([got[r.doc_id].lang_pred == r.lang for r in docs.collect() if out(r.doc_id)]) > 0.97

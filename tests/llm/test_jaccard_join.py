@@ -127,3 +127,12 @@ def test_sets_far_from_their_pivot_meet_again(spark, monkeypatch):
 def test_batches_of_fewer_words_than_an_n_gram(texts):
     sizes = [len(h) for h in J.shingle_sets(texts, 5)]
     assert sizes == [1 if (t or "").split() else 0 for t in texts]
+
+
+def test_one_id_with_two_texts_stays_twice(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a, 1), (1, b, 1), (1, a, 1), (2, a + " more", 1), (3, b, 1), (4, None, 1), (4, "", 1), (4, None, 1), (5, a.upper(), 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, hash int").repartition(3)
+    kept = J.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (1, b), (4, None), (4, "")])
