@@ -1,25 +1,27 @@
 """Approximate nearest neighbours by a permutation index.
 
 Pivots are taken from a bounded sample of the vectors, leaving out those that lie
-close to one already taken. Every vector is represented by the order of its nearest
-pivots and posted, with its place in that order, in the inverted files of those
-pivots. A query walks the files of its own nearest pivots and gathers the Spearman
-footrule distance of the orders; vectors are compared exactly in the order of that
-distance, first ``first_share`` of a shard, then ``more_share`` again and again
-until a step brings nothing nearer.
+close to one already taken; their number grows with the root of the rows. Every vector
+is represented by the order of its nearest pivots and posted, with its place in that
+order, in the inverted files of those pivots. A query walks the files of its own nearest
+pivots and gathers the Spearman footrule distance of the orders; the vectors nearest by
+that distance, as many as grow with the root of the rows, are compared exactly, together
+with all that are as near as the last of them.
 
 For the inner product as nearness, vectors get one more component that makes them
 equally long and queries a zero there: the largest inner product is then the smallest
 angle. Scores are inner products of the original vectors in double precision.
 
-Rows lie in shards of bounded bytes by a hash of the row, queries in blocks; each
-shard meets each block in a task of its own, which hands on the best of its shard.
+Equal vectors are indexed once, with the smallest ids that an answer may name, so a group
+of copies costs one entry. Vectors lie in shards of bounded bytes by a hash; a query is
+sent to all shards and each hands on the best of its own. A task holds one shard; its
+queries stream by.
 
 Defined results for odd input: a vector that is NULL, empty, zero or holds a NULL or
 a non-finite component, or has no id, takes no part; vectors of different length do
-not meet; equal scores go to the smaller id; a repeated row is a candidate of its
-own, also for its copy, but no row is a candidate for itself or another row of
-its id; only ``vec_id`` and ``embedding`` are read.
+not meet; equal scores go to the smaller id; every row that is asked with has an answer,
+for which all other rows are candidates, also those with its id or its vector; only
+``vec_id`` and ``embedding`` are read.
 """
 
 from __future__ import annotations
@@ -32,25 +34,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanvec.llm.nn_descent import usable
-from spanvec.llm.runs import matrix, runs
+from spanvec.llm.runs import matrix
 from spanvec.session import materialize
 
 SHARD_BYTES = 8 << 20
 SHARD_ROWS = 16_384
-QUERY_BLOCK = 2048
 SAMPLE_ROWS = 4096
+#: Rows of one answer to the JVM.
+ANSWER_ROWS = 8192
 APART = 0.8
 
+#: Pivots and compared vectors as multiples of the root of the rows, and their bounds.
+PIVOTS, FEWEST_PIVOTS, MOST_PIVOTS = 10, 256, 2048
+COMPARED, FEWEST_COMPARED = 10, 800
+
 
 def choose_pivots(sample: np.ndarray, pivots: int) -> np.ndarray:
     """Rows of the sample, in its order, that are not close to one taken before; then others if there are too few."""
     unit = sample / np.sqrt((sample * sample).sum(1, keepdims=True))
-    taken: list[int] = []
-    for i in range(len(unit)):
-        if len(taken) < pivots and (not taken or (unit[taken] @ unit[i]).max() < APART):
+    taken, held = [], np.empty((min(pivots, len(unit)), unit.shape[1]))
+    for i, v in enumerate(unit):
+        if len(taken) < len(held) and (not taken or (held[: len(taken)] @ v).max() < APART):
+            held[len(taken)] = v
             taken.append(i)
-    rest = [i for i in range(len(unit)) if i not in set(taken)]
-    return unit[(taken + rest)[:pivots]]
+    rest = np.setdiff1d(np.arange(len(unit)), taken)
+    held[len(taken) :] = unit[rest[: len(held) - len(taken)]]
+    return held
 
 
 def lengthened(x: np.ndarray, longest: float) -> np.ndarray:
@@ -79,8 +88,8 @@ class InvertedFiles:
         by_pivot = np.argsort(flat, kind="stable")
         self.row = by_pivot // self.length
         #: A pivot at place i of an order of n counts n - i, one outside it 0.
-        self.weight = (self.length - by_pivot % self.length).astype(np.int32)
-        self.start = np.searchsorted(flat[by_pivot], np.arange(pivots + 1))
+        self.weight = (self.length - by_pivot % self.length).astype(np.int16)
+        self.start = np.searchsorted(flat[by_pivot], np.arange(pivots + 1)).tolist()
 
     def footrule(self, order: np.ndarray) -> np.ndarray:
         """Footrule distance of each row's order to this one; a pivot outside an order stands behind its last place.
@@ -89,55 +98,68 @@ class InvertedFiles:
         the pivots in this order are walked.
         """
         shared = np.zeros(self.rows, np.int32)
-        for place, pivot in enumerate(order):
+        for place, pivot in enumerate(order.tolist()):
             at = slice(self.start[pivot], self.start[pivot + 1])
-            shared[self.row[at]] += np.minimum(self.weight[at], self.length - place)
+            shared[self.row[at]] += np.minimum(self.weight[at], np.int16(self.length - place))
         return self.length * (self.length + 1) - 2 * shared
 
 
-def search_shard(x: np.ndarray, ids: np.ndarray, files: InvertedFiles, q: np.ndarray, q_id: int, order: np.ndarray, k: int, first: int, more: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the nearest ``k`` found in one shard."""
+def search_shard(x: np.ndarray, ids: list[list[int]], files: InvertedFiles, q: np.ndarray, q_id: int, own: int | None, order: np.ndarray, k: int, compared: int) -> list[tuple[int, float]]:
+    """Ids and scores of the nearest ``k`` found in one shard; ``own`` is the entry that holds the asking row."""
     far = files.footrule(order)
-    far[ids == q_id] = np.iinfo(np.int32).max
-    candidates = int((ids != q_id).sum())
-    by_distance = np.argsort(far, kind="stable")[:candidates]
-    best_id, best = np.zeros(0, np.int64), np.zeros(0)
-    begin, step = 0, max(first, k)
-    while begin < candidates:
-        rows = by_distance[begin : begin + step]
-        score = x[rows] @ q
-        worst = best[-1] if len(best) == k else -np.inf
-        hit = score >= worst
-        if len(best) == k and not (score > worst).any():
-            break
-        all_id, all_score = np.concatenate([best_id, ids[rows[hit]]]), np.concatenate([best, score[hit]])
-        keep = np.lexsort((all_id, -all_score))[:k]
-        best_id, best = all_id[keep], all_score[keep]
-        begin, step = begin + step, max(more, k)
-    return best_id, best
+    if compared < len(far):
+        rows = np.flatnonzero(far <= np.partition(far, compared - 1)[compared - 1])
+    else:
+        rows = np.arange(len(far))
+    # As the exact comparison of all rows would have it, whatever rows are compared here.
+    score = np.einsum("ij,j->i", x[rows], q)
+    if k < len(rows):
+        # An entry more than k, as one of them may name the asking row alone.
+        best = np.flatnonzero(score >= np.partition(score, max(len(rows) - k - 1, 0))[max(len(rows) - k - 1, 0)])
+        rows, score = rows[best], score[best]
+    found = []
+    for row, value in zip(rows.tolist(), score.tolist(), strict=True):
+        held = ids[row]
+        if row == own and q_id in held:
+            held = held.copy()
+            held.remove(q_id)
+        found += [(-value, i) for i in held[:k]]
+    return [(i, -value) for value, i in sorted(found)[:k]]
 
 
 def _prepared(vectors: DataFrame) -> DataFrame:
     good = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
-    wide = F.transform("embedding", lambda v: v.cast("double"))
-    return vectors.select("vec_id", "embedding").where(good).select(F.col("vec_id").cast("bigint").alias("id"), wide.alias("vec"), F.size("embedding").alias("dim"))
+    wide = F.transform("embedding", lambda v: v.cast("double") + F.lit(0.0))
+    rows = vectors.select("vec_id", "embedding").where(good).select(F.col("vec_id").cast("bigint").alias("id"), wide.alias("vec"), F.size("embedding").alias("dim"))
+    return rows.withColumn("node", F.xxhash64("vec"))
+
 
+def entries(rows: DataFrame, most: int) -> DataFrame:
+    """``dim, node, vec, ids``: distinct vectors with their ``most`` smallest ids; larger ids name no answer."""
+    turn = F.row_number().over(Window.partitionBy("dim", "node", "vec").orderBy("id"))
+    first = rows.withColumn("turn", turn).where(F.col("turn") <= most)
+    return first.groupBy("dim", "node", "vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
-def fit_pivots(rows: DataFrame, pivots: int, seed: int) -> dict[int, tuple[float, np.ndarray]]:
-    """For each vector length: the longest norm, and the pivots, from at most ``SAMPLE_ROWS`` rows of the length."""
-    order = Window.partitionBy("dim").orderBy(F.xxhash64("id", "vec", F.lit(seed)), "id")
-    sample = rows.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE_ROWS)
+
+def fit_pivots(nodes: DataFrame, sizes: dict[int, int], seed: int) -> dict[int, tuple[float, np.ndarray]]:
+    """For each vector length: the longest norm, and the pivots, from at most ``SAMPLE_ROWS`` entries of the length."""
+    order = Window.partitionBy("dim").orderBy(F.xxhash64("node", F.lit(seed)), "node")
+    sample = nodes.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE_ROWS)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v))
-    longest = {r.dim: r.norm for r in rows.groupBy("dim").agg(F.max(norm).alias("norm")).collect()}
+    longest = {r.dim: r.norm for r in nodes.groupBy("dim").agg(F.max(norm).alias("norm")).collect()}
     found: dict[int, list] = {}
     for r in sample.select("dim", "turn", "vec").collect():
         found.setdefault(r.dim, []).append((r.turn, r.vec))
-    return {d: (longest[d], choose_pivots(lengthened(np.array([v for _, v in sorted(f)]), longest[d]), pivots)) for d, f in found.items()}
+    out = {}
+    for d, f in found.items():
+        many = int(min(MOST_PIVOTS, max(FEWEST_PIVOTS, np.ceil(PIVOTS * np.sqrt(sizes[d])))))
+        out[d] = (longest[d], choose_pivots(lengthened(np.array([v for _, v in sorted(f)]), longest[d]), many))
+    return out
 
 
-def build_index(rows: DataFrame, fitted: dict[int, tuple[float, np.ndarray]], length: int) -> DataFrame:
-    """``dim, id, vec, near``: each row with its order of nearest pivots."""
-    sent = rows.sparkSession.sparkContext.broadcast(fitted)
+def build_index(nodes: DataFrame, fitted: dict[int, tuple[float, np.ndarray]], length: int) -> DataFrame:
+    """``dim, node, ids, vec, near``: each entry with its order of nearest pivots."""
+    sent = nodes.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,69 +167,95 @@ def build_index(rows: DataFrame, fitted: dict[int, tuple[float, np.ndarray]], le
             for dim in np.unique(dims):
                 part = batch.take(pa.array(np.flatnonzero(dims == dim)))
                 longest, pivots = sent.value[int(dim)]
-                near = nearest_pivots(lengthened(matrix(part.column(2)), longest), pivots, length)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))], ["dim", "id", "vec", "near"])
+                near = nearest_pivots(lengthened(matrix(part.column(3)), longest), pivots, length)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))], ["dim", "node", "ids", "vec", "near"])
+
+    return nodes.select("dim", "node", "ids", "vec").mapInArrow(run, "dim int, node bigint, ids array<bigint>, vec array<double>, near array<int>")
+
 
-    return rows.select("dim", "id", "vec").mapInArrow(run, "dim int, id bigint, vec array<double>, near array<int>")
+class Shard:
+    """The entries of a shard, gathered from batches, and their inverted files."""
 
+    def __init__(self, held: list[pa.RecordBatch], table: np.ndarray):
+        rows = pa.Table.from_batches(held)
+        self.at = {node: i for i, node in enumerate(rows.column("node").to_pylist())}
+        self.ids = rows.column("ids").to_pylist()
+        self.x, self.table = matrix(rows.column("vec")), table
+        self.files = InvertedFiles(matrix(rows.column("near")).astype(np.int64), len(table))
 
-def search(
-    index: DataFrame, queries: DataFrame, fitted: dict[int, tuple[float, np.ndarray]], *, k: int, length: int, first_share: float, more_share: float
-) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the nearest ``k`` found of each of ``dim, id, vec``."""
-    spark = index.sparkSession
-    pivots = spark.sparkContext.broadcast(fitted)
-    many = {r.dim: r.n for r in index.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    asked = {r.dim: r.n for r in queries.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+
+def search(index: DataFrame, queries: DataFrame, fitted: dict[int, tuple[float, np.ndarray]], sizes: dict[int, int], k: int, length: int) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the nearest ``k`` found of each of ``dim, id, node, turn, vec``."""
+    pivots = index.sparkSession.sparkContext.broadcast(fitted)
 
     def shards(dim: int) -> int:
-        return -(-many[dim] // max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * dim))))
+        return -(-sizes[dim] // max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * dim))))
+
+    def compared(dim: int) -> int:
+        """Of each shard, a fifth more than its part, as the nearest do not lie evenly."""
+        whole = max(FEWEST_COMPARED, k, COMPARED * np.sqrt(sizes[dim]))
+        return int(np.ceil(whole if shards(dim) == 1 else 1.2 * whole / shards(dim) + k))
 
     def per_dim(values: dict[int, int]) -> Column:
         table = [F.lit(x) for pair in values.items() for x in pair]
         return F.create_map(*table)[F.col("dim")] if table else F.lit(None).cast("int")
 
-    of_shards = per_dim({d: shards(d) for d in many})
-    of_blocks = per_dim({d: -(-n // QUERY_BLOCK) for d, n in asked.items() if d in many})
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rows = index.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), of_shards).cast("int")).withColumn("block", every(of_blocks))
-    rows = rows.select("dim", "shard", "block", F.lit(1).alias("side"), "id", "vec", "near")
-    asks = queries.withColumn("block", F.pmod(F.xxhash64("id", "vec"), of_blocks).cast("int")).withColumn("shard", every(of_shards))
-    asks = asks.select("dim", "shard", "block", F.lit(0).alias("side"), "id", "vec", F.array().cast("array<int>").alias("near"))
+    of_shards = per_dim({d: shards(d) for d in sizes})
+    many = {d: compared(d) for d in sizes}
+    rows = index.withColumn("shard", F.pmod(F.xxhash64("node", F.lit(7)), of_shards).cast("int"))
+    none = F.lit(None).cast("bigint")
+    rows = rows.select("dim", "shard", F.lit(0).alias("side"), none.alias("id"), "node", none.alias("turn"), "vec", "ids", "near")
+    asks = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), of_shards - 1)))
+    asks = asks.select("dim", "shard", F.lit(1).alias("side"), "id", "node", F.col("turn").cast("bigint").alias("turn"), "vec", F.lit(None).cast("array<bigint>").alias("ids"), F.lit(None).cast("array<int>").alias("near"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, 3):
-            side = group.column(3).to_numpy()
-            if side.min() or not side.max():
-                continue
-            dim = group.column(0)[0].as_py()
-            table = pivots.value[dim][1]
-            ids, x = group.column(4).to_numpy(), matrix(group.column(5))
-            a, b = side == 0, side == 1
-            files = InvertedFiles(matrix(group.column(6).filter(pa.array(b))).astype(np.int64), len(table))
-            orders = nearest_pivots(np.concatenate([x[a], np.zeros((int(a.sum()), 1))], 1), table, length)
-            first, more = int(np.ceil(first_share * files.rows)), int(np.ceil(more_share * files.rows))
-            for q, q_id, order in zip(x[a], ids[a], orders, strict=True):
-                found, score = search_shard(x[b], ids[b], files, q, q_id, order, k, first, more)
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(np.full(len(found), q_id)), "vec_id": pa.array(found), "score": pa.array(score)})
-
-    keys = ["dim", "shard", "block"]
-    met = rows.unionByName(asks).repartition(*keys).sortWithinPartitions(*keys, "side")
-    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        key, held, shard = None, [], None
+        out: list[tuple] = []
+
+        def answer() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            out.clear()
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.float64())], ["query_id", "node", "turn", "vec_id", "score"])
+
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)
+            begin = 0
+            while begin < batch.num_rows:
+                same = (keys[begin:] != keys[begin]).any(1)
+                end = begin + int(same.argmax()) if same.any() else batch.num_rows
+                part, begin, (dim, number, side) = batch.slice(begin, end - begin), end, keys[begin].tolist()
+                if (dim, number) != key:
+                    key, held, shard = (dim, number), [], None
+                if side == 0:
+                    held.append(part)
+                    continue
+                if not held:
+                    continue
+                if shard is None:
+                    shard = Shard(held, pivots.value[dim][1])
+                x = matrix(part.column("vec"))
+                orders = nearest_pivots(np.concatenate([x, np.zeros((len(x), 1))], 1), shard.table, length)
+                asking = zip(x, part.column("id").to_pylist(), part.column("node").to_pylist(), part.column("turn").to_pylist(), orders, strict=True)
+                for q, q_id, node, turn, order in asking:
+                    found = search_shard(shard.x, shard.ids, shard.files, q, q_id, shard.at.get(node), order, k, many[dim])
+                    out += [(q_id, node, turn, i, score) for i, score in found]
+                    if len(out) >= ANSWER_ROWS:
+                        yield answer()
+        yield answer()
+
+    met = rows.unionByName(asks).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "side")
+    found = met.mapInArrow(run, "query_id bigint, node bigint, turn bigint, vec_id bigint, score double")
+    best = Window.partitionBy("query_id", "node", "turn").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(
-    vectors: DataFrame, query: Column, *, k: int = 20, pivots: int = 256, length: int = 64, first_share: float = 0.15, more_share: float = 0.05, seed: int = 23
-) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for the rows that ``query`` (over ``id``) selects, against all rows.
-
-    A query id that is repeated asks once.
-    """
+def nearest(vectors: DataFrame, query: Column, *, k: int = 20, length: int = 128, seed: int = 23) -> DataFrame:
+    """``query_id, rank, vec_id, score`` for the rows that ``query`` (over ``id``) selects, against all rows."""
     rows = materialize(_prepared(vectors))
-    fitted = fit_pivots(rows, pivots, seed)
-    index = materialize(build_index(rows, fitted, length))
-    queries = rows.where(query).dropDuplicates(["id"])
-    return search(index, queries, fitted, k=k, length=length, first_share=first_share, more_share=more_share)
+    nodes = materialize(entries(rows, k + 1))
+    sizes = {r.dim: r.n for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    fitted = fit_pivots(nodes, sizes, seed)
+    index = materialize(build_index(nodes, fitted, length))
+    turn = F.row_number().over(Window.partitionBy("dim", "node", "vec", "id").orderBy("id"))
+    return search(index, rows.where(query).withColumn("turn", turn), fitted, sizes, k, length)

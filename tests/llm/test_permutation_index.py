@@ -56,8 +56,63 @@ def test_odd_vectors(spark):
         (140, [inf, 1.0]), (None, [1.0, 1.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [-1.0, 0.0]), (160, [1.0, 2.0, 3.0]),
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
-    want = [(0, 1, 1, 1.0), (0, 2, 1, 1.0), (0, 3, 2, 1.0), (0, 4, 20, 0.5), (0, 5, 3, -1.0), (20, 1, 0, 0.5), (20, 2, 1, 0.5), (20, 3, 1, 0.5), (20, 4, 2, 0.5), (20, 5, 3, -0.5)]
-    for f in (frame, frame.selectExpr("*", "1 as id", "2 as vec", "3 as dim", "4 as near", "5 as shard")):
-        got = P.nearest(f, F.col("id") % 20 == 0, k=20).collect()
-        assert sorted(tuple(r) for r in got) == want
+    want = brute_rows(rows, 20, 20)
+    for f in (frame, frame.selectExpr("*", "1 as id", "2 as vec", "3 as dim", "4 as near", "5 as shard", "6 as node", "7 as turn")):
+        assert got_rows(P.nearest(f, F.col("id") % 20 == 0, k=20)) == want
     assert P.nearest(frame.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def brute_rows(rows, every, k):
+    """Every row against every other one."""
+    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for a, (i, v) in enumerate(good):
+        if i % every == 0:
+            found = sorted((-float(v @ w), j) for b, (j, w) in enumerate(good) if a != b and len(w) == len(v))[:k]
+            out += [(i, n, j, -s) for n, (s, j) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def got_rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_ties_and_rows_of_one_id(spark):
+    """Equal scores at the last rank go to smaller ids; every row asks, and other rows of its id are candidates."""
+    rows = [(i, [1.0, 0.0]) for i in range(1, 8)] + [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (0, [0.0, 2.0]), (9, [0.0, 1.0])]
+    rows += [(40, [1.0, 0.0]), (60, [1.0, 5.0]), (60, [2.0, -1.0])] + [(100 + i, [1.0, 0.0]) for i in range(30)]
+    want = brute_rows(rows, 20, 3)
+    assert [r[2] for r in want if r[0] == 40] == [0, 1, 2]
+    for parts in (1, 4):
+        assert got_rows(P.nearest(spark.createDataFrame(rows, SCHEMA).repartition(parts), F.col("id") % 20 == 0, k=3)) == want
+
+
+def test_many_copies_cost_one_entry(spark):
+    """A third of the rows is one vector; entries hold as many ids as an answer needs."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [1.0, 2.0, 0.5] if i % 3 == 0 else [float(x) for x in rng.integers(-3, 4, 3)]) for i in range(900)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert got_rows(P.nearest(frame, F.col("id") % 20 == 0, k=20)) == brute_rows(rows, 20, 20)
+    held = P.entries(P._prepared(frame), 21).where(F.col("vec")[2] == 0.5).collect()
+    assert [r.ids for r in held] == [[3 * i for i in range(21)]]
+
+
+def test_shards(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_ROWS", 70)
+    monkeypatch.setattr(P, "ANSWER_ROWS", 50)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(500)]
+    got = got_rows(P.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 20 == 0, k=5))
+    want = brute_rows(rows, 20, 5)
+    assert [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r[3] for r in got], [r[3] for r in want])
+
+
+def test_recall_of_the_query(spark):
+    from spanvec.llm import queries
+
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    want = brute_rows([(r.vec_id, list(r.embedding)) for r in rows], 20, 20)
+    worst = {r[0]: r[3] for r in want}
+    got = queries.op9_permutation_index(spark, "/root/testdata/sf0.1").collect()
+    assert len(got) == len(want)
+    assert sum(r.score >= worst[r.query_id] - 1e-9 for r in got) >= 0.95 * len(want)
