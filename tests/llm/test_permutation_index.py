@@ -82,7 +82,7 @@ def test_ties_and_rows_of_one_id(spark):
     rows = [(i, [1.0, 0.0]) for i in range(1, 8)] + [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (0, [0.0, 2.0]), (9, [0.0, 1.0])]
     rows += [(40, [1.0, 0.0]), (60, [1.0, 5.0]), (60, [2.0, -1.0])] + [(100 + i, [1.0, 0.0]) for i in range(30)]
     want = brute_rows(rows, 20, 3)
-    assert [r[2] for r in want if r[0] == 40] == [0, 1, 2]
+    assert [r[2] for r in want if r[0] == 40] == [60, 0, 1]
     for parts in (1, 4):
         assert got_rows(P.nearest(spark.createDataFrame(rows, SCHEMA).repartition(parts), F.col("id") % 20 == 0, k=3)) == want
 
