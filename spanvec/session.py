@@ -9,6 +9,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+import weakref
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +80,9 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -87,4 +91,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/spanvec-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete written frames whose readers have all been written themselves."""
+    for frame in frames:
+        path = _written.pop(frame, None)
+        if path is not None:
+            delete_folder(frame.sparkSession, path)

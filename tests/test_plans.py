@@ -156,3 +156,15 @@ def test_a_filter_given_to_a_provider_reaches_the_scan(spark):
     centroids = ivf.centroid_set(vector_mean(rows.withColumnRenamed("embedding", "vector"), ["label"]), "label")
     plan = plan_of(ivf.assign_cells(rows.withColumnRenamed("embedding", "vector"), centroids, where="label = 3"))
     assert "EqualTo(label,3)" in plan
+
+
+def test_written_frames_are_deleted_when_discarded(spark):
+    from pathlib import Path
+
+    from spanvec.session import discard, materialize
+
+    written = materialize(spark.range(5))
+    (folder,) = {Path(f.removeprefix("file:")).parent for f in written.inputFiles()}
+    assert written.count() == 5 and folder.exists()
+    discard(written, spark.range(3), written)
+    assert not folder.exists()
