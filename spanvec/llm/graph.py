@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanvec.session import materialize
+from spanvec.session import discard, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.unionByName(least.where("m < x").select("x", F.col("m").alias("y"))).distinct()
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(least, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        edges = materialize(small.unionByName(least.select("x", F.col("m").alias("y"))).distinct())
+        had, edges = edges, materialize(small.unionByName(least.select("x", F.col("m").alias("y"))).distinct())
+        discard(had)
     leaves = edges.groupBy("x").agg(F.min("y").alias("component"))
     roots = edges.select(F.col("y").alias("x")).distinct().join(leaves, "x", "left_anti")
     return leaves.select(F.col("x").alias("id"), "component").unionByName(

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from spanvec.llm.graph import components
 from spanvec.llm.labelled import texts_of
-from spanvec.session import materialize
+from spanvec.session import discard, materialize
 
 LIST_COST = 4
 CLASS_GROWTH = 1.25
@@ -353,32 +353,42 @@ def pivot_pairs(entries: DataFrame) -> DataFrame:
     dealt = entries.repartition(F.col("key"))
     met = dealt.groupBy("key").agg(F.count("*").alias("often"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     met = met.where("a < b").select("key", "often")
-    shared = _step(dealt.join(met, "key").groupBy("key", "fp").agg(F.first("often").alias("often")))
-    home = shared.groupBy("fp").agg(F.sum("often").alias("home"))
-    shared = _step(shared.join(home, "fp").select("key", "fp", "home"))
+    listed = _step(dealt.join(met, "key").groupBy("key", "fp").agg(F.first("often").alias("often")))
+    home = listed.groupBy("fp").agg(F.sum("often").alias("home"))
+    shared = _step(listed.join(home, "fp").select("key", "fp", "home"))
+    discard(listed)
     best = shared.groupBy("key").agg(F.max(F.struct("home", "fp")).alias("best"))
     pivots = best.select("key", F.col("best.fp").alias("p"))
-    return _step(shared.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
+    pairs = _step(shared.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
+    discard(shared)
+    return pairs
 
 
 def compare_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int, rule: Jaccard, last: bool) -> DataFrame:
     ends = pairs.select(F.col("x").alias("fp")).unionByName(pairs.select(F.col("p").alias("fp"))).distinct()
     ids = sets.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp", "left_semi")
-    found = elements(docs, materialize(ids.select("doc_id").distinct()), size)
+    wanted = materialize(ids.select("doc_id").distinct())
+    found = elements(docs, wanted, size)
     found = found.groupBy("fp").agg(F.first("h").alias("h"))
     by_pivot = pairs.join(found.select(F.col("fp").alias("p"), F.col("h").alias("hp")), "p")
     both = by_pivot.join(found.select(F.col("fp").alias("x"), F.col("h").alias("hx")), "x").select("x", "p", "hx", "hp")
-    return _step(both.mapInArrow(_compare(rule, last), _COMPARED))
+    compared = _step(both.mapInArrow(_compare(rule, last), _COMPARED))
+    discard(wanted)
+    return compared
 
 
 def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> DataFrame:
     """``id, component`` of the fingerprints that have links."""
-    entries, links = read_entries(docs, size, rule), []
+    entries, links, compared = read_entries(docs, size, rule), [], None
     for last in (False, True):
-        compared = compare_pairs(docs, sets, pivot_pairs(entries), size, rule, last)
-        links += [compared.where(_linked(rule)).select("x", F.col("p").alias("y")), _step(links_by_difference(compared, rule))]
+        pairs, before = pivot_pairs(entries), compared
+        compared = compare_pairs(docs, sets, pairs, size, rule, last)
+        by_difference = links_by_difference(compared, rule)
+        links.append(_step(compared.where(_linked(rule)).select("x", F.col("p").alias("y")).unionByName(by_difference)))
         # Sets that are far from their pivot meet again at a pivot and a part under another cut.
         entries = compared.where("keys is not null").select(F.explode("keys").alias("key"), F.col("x").alias("fp"))
+        discard(pairs, *([before] if before is not None else []))
+    discard(compared)
     return components(reduce(DataFrame.unionByName, links))
 
 
