@@ -264,6 +264,24 @@ def ivf_search(spark, sf):
     return hits(ivf.ivf_search(indexed, centroids, source_queries(spark, sf), nprobe=4, k=5))
 
 
+@query(
+    "ivf_search_large_query_set",
+    f"""WITH {CELLS}, probe AS (SELECT query_id, centroid_id FROM (SELECT e.id AS query_id, c.query_id AS centroid_id,
+      row_number() OVER (PARTITION BY e.id ORDER BY list_distance(e.v, c.v), c.query_id) AS r
+      FROM e, c) WHERE r <= 3),
+    found AS (SELECT probe.query_id, cell.id, list_distance(cell.v, e.v) AS distance,
+      row_number() OVER (PARTITION BY probe.query_id ORDER BY list_distance(cell.v, e.v), cell.id) AS rank
+      FROM probe JOIN e ON e.id = probe.query_id JOIN cell USING (centroid_id))
+    SELECT query_id, CAST(rank AS INT) AS rank, id, round(distance, 6) + 0.0 AS distance
+    FROM found WHERE rank <= 3""",
+)
+def ivf_search_large_query_set(spark, sf):
+    """Every vector asks: more queries than one block holds, met with the cells on keys."""
+    indexed, centroids = _indexed(spark, sf)
+    asking = QuerySet.of(collection(spark, sf), "id", max_queries=256)
+    return hits(ivf.ivf_search(indexed, centroids, asking, nprobe=3, k=3))
+
+
 @query("ivf_search_all_cells", hit_sql("L2", 5, SOURCE_Q))
 def ivf_search_all_cells(spark, sf):
     indexed, centroids = _indexed(spark, sf)

@@ -35,6 +35,7 @@ from spanvec.sources.files import (
 )
 from spanvec.sources.tables import SnapshotTable
 from spanvec.streaming import ingest, messages
+from spanvec.streaming.folded import FoldedStream
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -45,9 +46,9 @@ TOTAL = "round(list_sum(CAST(embedding AS DOUBLE[])), 6) + 0.0 AS total"
 ROWS_SQL = f"SELECT vec_id, label, {TOTAL} FROM embeddings"
 
 
-def with_total(df: DataFrame) -> DataFrame:
+def with_total(df: DataFrame, *more: str) -> DataFrame:
     total = F.aggregate(F.col("vector").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
-    return df.select("vec_id", "label", r6(total).alias("total"))
+    return df.select(*more, "vec_id", "label", r6(total).alias("total"))
 
 
 def doubles(spark, sf) -> DataFrame:
@@ -273,27 +274,31 @@ def export_json(spark, sf):
 
 @query(
     "import_records",
-    """WITH p AS (SELECT doc_id AS id, lang, n_chars, doc_id % 4 AS k FROM documents)
-    SELECT 'accepted' AS kind, id, lang, n_chars, CAST(NULL AS VARCHAR) AS error FROM p WHERE k IN (0, 1) AND n_chars BETWEEN 50 AND 5000
+    """WITH p AS (SELECT doc_id AS id, lang, n_chars FROM documents)
+    SELECT 'accepted' AS kind, id, lang, n_chars, CAST(NULL AS VARCHAR) AS error FROM p WHERE n_chars BETWEEN 50 AND 5000
     UNION ALL SELECT 'rejected', id, NULL, NULL, 'Record ' || id || ': Value for field n_chars ' || CASE WHEN n_chars < 50 THEN 'below minimum: 50' ELSE 'above maximum: 5000' END
-      FROM p WHERE k IN (0, 1) AND n_chars NOT BETWEEN 50 AND 5000
-    UNION ALL SELECT 'rejected', NULL, NULL, NULL, CASE k WHEN 2 THEN 'not a record' ELSE 'not a list' END FROM p WHERE k IN (2, 3)
-    UNION ALL SELECT 'rejected', NULL, NULL, NULL, 'empty list' FROM p WHERE id = 0""",
+      FROM p WHERE n_chars NOT BETWEEN 50 AND 5000
+    UNION ALL SELECT 'rejected', NULL, NULL, NULL, 'not a record' FROM p
+    UNION ALL SELECT 'rejected', NULL, NULL, NULL, 'not a list' FROM (SELECT DISTINCT id // 4000 FROM p)
+    UNION ALL SELECT 'rejected', NULL, NULL, NULL, 'empty list'""",
 )
 def import_records(spark, sf):
-    """A folder of lines, lists, cut-off lines, files that are no list, and an empty list."""
+    """Every document as a line or in a list; beside them all their lines cut off, lists without brackets, an empty list."""
     path = scratch(spark, "export")
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars")
     record = F.to_json(F.struct("id", "lang", "n_chars")).alias("value")
-    of = lambda k: docs.where(F.pmod("id", F.lit(4)) == k)
-    # Arrays, with a line break in them, of the second quarter; the others are one text per line.
-    lists = of(1).groupBy((F.col("id") / 4000).cast("bigint").alias("g")).agg(F.array_sort(F.collect_list(record)).alias("r"))
-    lists = lists.select(F.concat(F.lit("[\n"), F.array_join("r", ",\n"), F.lit("\n]")).alias("value"))
-    of(0).select(record).write.text(f"{path}/lines")
-    of(2).select(record).select(F.substring("value", 1, 5).alias("value")).write.text(f"{path}/cut")
-    lists.write.option("maxRecordsPerFile", 1).text(f"{path}/lists")
-    of(3).select(record).write.option("maxRecordsPerFile", 1).text(f"{path}/objects")
-    docs.where("id = 0").select(F.lit(" [ ] ").alias("value")).write.text(f"{path}/none")
+    in_list = F.coalesce(F.pmod("id", F.lit(2)) == 1, F.lit(False))
+
+    def joined(rows_: DataFrame, begin: str, end: str) -> DataFrame:
+        """A file of at most 4,000 records, with line breaks between them."""
+        each = rows_.groupBy((F.col("id") / 4000).cast("bigint").alias("g")).agg(F.array_sort(F.collect_list(record)).alias("r"))
+        return each.select(F.concat(F.lit(begin), F.array_join("r", ",\n"), F.lit(end)).alias("value"))
+
+    docs.where(~in_list).select(record).write.text(f"{path}/lines")
+    docs.select(record).select(F.substring("value", 1, 5).alias("value")).write.text(f"{path}/cut")
+    joined(docs.where(in_list), "[\n", "\n]").write.option("maxRecordsPerFile", 1).text(f"{path}/lists")
+    joined(docs, "", "").write.option("maxRecordsPerFile", 1).text(f"{path}/objects")
+    spark.range(1, numPartitions=1).select(F.lit(" [ ] ").alias("value")).write.text(f"{path}/none")
     rules = Rules(required_fields=["id", "lang"], value_ranges={"n_chars": (50, 5000)})
     t = SnapshotTable(spark, scratch(spark, "table"))
     t.create(docs.limit(0))
@@ -475,6 +480,43 @@ def stream_fold(spark, sf):
     return with_total(state.withColumnRenamed("id", "vec_id"))
 
 
+@query(
+    "stream_fold_position",
+    """WITH e AS (SELECT vec_id, label, list_sum(CAST(embedding AS DOUBLE[])) AS total FROM embeddings)
+    SELECT 'low' AS collection, vec_id, label, round(total, 6) + 0.0 AS total FROM e WHERE label < 5 AND label <> 3
+    UNION ALL SELECT 'high', vec_id, CASE WHEN label = 5 THEN 105 ELSE label END,
+      round(CASE WHEN label = 5 THEN 2.0 ELSE 1.0 END * total, 6) + 0.0 FROM e WHERE label >= 5 AND label <> 8
+    UNION ALL SELECT 'high', vec_id + 1000000, label, round(total, 6) + 0.0 FROM e WHERE label = 3""",
+)
+def stream_fold_position(spark, sf):
+    """Two collections of one stream: folded, changed directly, streamed on, folded twice."""
+    topic, root = scratch(spark, "topic"), scratch(spark, "stream")
+    e = doubles(spark, sf)
+
+    def send(rows_, operation, collection_, vector, **entries):
+        pairs = [x for k, v in entries.items() for x in (F.lit(k), v.cast("string"))]
+        one = rows_.select(F.array(vector).alias("vectors"), F.array(F.create_map(*pairs)).alias("metadata"))
+        ingest.produce_messages(messages.render_messages(one, operation, collection_), topic)
+
+    def take():
+        source = ingest.file_source(spark, topic)
+        ingest.stream_ingest(source, root, f"{root}/checkpoint", available_now=True).awaitTermination()
+
+    vector, label = F.col("vector"), F.col("label")
+    send(e.where("label < 5"), "insert", "low", vector, id=F.col("vec_id"), label=label)
+    send(e.where("label >= 5"), "insert", "high", vector, id=F.col("vec_id"), label=label)
+    take()
+    stream = FoldedStream(spark, root, "id bigint, vector array<double>, label int")
+    stream.change(lambda state: state.where("label <> 3"))
+    send(e.where("label = 5"), "update", "high", F.transform("vector", lambda x: x * 2), id=F.col("vec_id"), label=F.lit(105))
+    send(e.where("label = 8"), "delete", "high", vector, id=F.col("vec_id"))
+    send(e.where("label = 3"), "insert", "high", vector, id=F.col("vec_id") + 1_000_000, label=label)
+    take()
+    stream.fold()
+    stream.fold()
+    return with_total(stream.read().withColumnRenamed("id", "vec_id"), "collection")
+
+
 @query(
     "stream_fold_messages",
     f"""WITH {MESSAGE_ROWS}, l AS (SELECT batch, max(pos) AS last FROM m GROUP BY batch)

@@ -7,7 +7,7 @@ adds nothing twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,20 +128,28 @@ def stream_ingest(
     return _each_batch(source, work, checkpoint, available_now)
 
 
-def read_ingested(spark: SparkSession, root: str, collection: str) -> DataFrame:
-    """The operations of one collection so far; only its folders are read."""
+def read_batches(spark: SparkSession, root: str) -> DataFrame:
+    """The operations of all collections so far, with ``collection`` and ``batch_id``."""
     # An explicit schema: a batch without rows leaves no file to infer it from.
     schema = (
         "seq bigint, part int, operation string, pos int, vector array<double>, "
         "metadata map<string,string>, batch_id bigint, collection string"
     )
-    rows = spark.read.schema(schema).parquet(f"{root}/rows")
-    return rows.where(F.col("collection") == collection).drop("collection")
+    return spark.read.schema(schema).parquet(f"{root}/rows")
 
 
-def split_operations(base: DataFrame, operations: DataFrame, id_key: str = "id") -> tuple[DataFrame, DataFrame]:
+def read_ingested(spark: SparkSession, root: str, collection: str) -> DataFrame:
+    """The operations of one collection so far; only its folders are read."""
+    return read_batches(spark, root).where(F.col("collection") == collection).drop("collection")
+
+
+def split_operations(
+    base: DataFrame, operations: DataFrame, id_key: str = "id", also: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Operations in the types of a collection, and those that do not fit it with the reason.
 
+    ``also`` names columns of the operations that both keep.
+
     The id of an operation is the entry ``id_key`` of its metadata, and entries named
     like a column of the collection are its values. An insert without an id gets one:
     its place in the stream, hashed, so it stays the same as the stream goes on;
@@ -167,9 +175,10 @@ def split_operations(base: DataFrame, operations: DataFrame, id_key: str = "id")
         F.col("vector").cast(T.ArrayType(kinds["vector"].elementType)).alias("vector"),
         *[v.alias(c) for c, v in value.items()],
         *place,
+        *also,
     )
     rejects = checked.where(F.col("_reason").isNotNull())
-    return good, rejects.select("operation", "vector", "metadata", F.col("_reason").alias("reason"), *place)
+    return good, rejects.select("operation", "vector", "metadata", F.col("_reason").alias("reason"), *place, *also)
 
 
 def current_state(base: DataFrame, operations: DataFrame, id_key: str = "id") -> DataFrame:
