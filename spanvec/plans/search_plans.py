@@ -6,15 +6,18 @@ per document source, or one in all. Their number is that of the groups.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanvec.functions.vectors import similarity, vec_one_hot
-from spanvec.operators import filters, hybrid, ivf, search
+from spanvec.operators import filters, hybrid, ivf, search, text_index
 from spanvec.operators.aggregates import vector_mean, vector_mean_parts
 from spanvec.operators.collections import concat_modalities
 from spanvec.operators.search import QuerySet, knn
 from spanvec.plans.base import collection, hits, query, r6, table
+from spanvec.session import shared_dir
 
 TEXT_QUERY = "the inea of thread"
 
@@ -365,6 +368,15 @@ def text_search(spark, sf):
     return found.select("id", r6("score").alias("score"))
 
 
+@query("text_search_stored", f"WITH {text_sql(50)} SELECT id, round(score, 6) + 0.0 AS score FROM tx")
+def text_search_stored(spark, sf):
+    """The same on stored term tables: written once, searched without the texts."""
+    path = f"{shared_dir(spark)}/terms-{uuid.uuid4().hex}"
+    text_index.build_index(table(spark, sf, "documents"), path, "doc_id")
+    found = text_index.search_index(text_index.TermIndex.open(spark, path), TEXT_QUERY, 50)
+    return found.select("id", r6("score").alias("score"))
+
+
 FUSED = f"""{ONE_Q}, {text_sql(50)},
     vs AS (SELECT id, 1.0 / (1.0 + distance) AS score FROM {topk("L2", 50)}),
     fused AS (SELECT id, vector_score, text_score, vector_score * 0.5 + text_score * 0.5 AS combined_score
