@@ -51,7 +51,8 @@ def build_index(
     documents: DataFrame, path: str, id_col: str = "id", text_col: str = "text", block_documents: int = BLOCK_DOCUMENTS
 ) -> None:
     """Write the term tables of ``documents`` under ``path``."""
-    split = documents.select(F.col(id_col).alias("id"), tokens(text_col).alias("t"))
+    # Texts are cut once.
+    split = materialize(documents.select(F.col(id_col).alias("id"), tokens(text_col).alias("t")))
     length = F.size("t")
     # A document lies in one task, so its terms are counted before they move.
     counted = split.select("id", length.alias("length"), F.explode("t").alias("term")).groupBy("id", "length", "term").agg(F.count("*").alias("tf"))
@@ -68,7 +69,7 @@ def build_index(
     order = ("term", "block", "id")
     # A term that most documents hold is cut into files like any others.
     postings.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/postings")
-    discard(counted)
+    discard(counted, split)
     stored = documents.sparkSession.read.parquet(f"{path}/postings")
     bounds = stored.groupBy("term", "block").agg(F.max("impact").alias("bound"), F.count("*").alias("documents"))
     bounds.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/bounds")
