@@ -57,6 +57,8 @@ CLASS_GROWTH = 1.25
 LEVELS = 4
 #: As many ids are sent to the scan of the texts; for more, the texts are shuffled to them.
 IDS_TO_SEND = 4_000_000
+#: Sets whose differences a task holds at a time.
+COMPARED_ROWS = 256
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -272,7 +274,8 @@ def _compare(rule: Jaccard, last: bool):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Differences are handed on a few at a time: a row may hold thousands of elements.
+        for batch in (b.slice(at, COMPARED_ROWS) for b in batches for at in range(0, b.num_rows, COMPARED_ROWS)):
             x, p, hx, hp = (batch.column(i) for i in range(4))
             rows: list[tuple] = []
             for pivot, a, b in zip(p.to_pylist(), hx, hp, strict=True):
