@@ -39,13 +39,15 @@ from pyspark.sql import functions as F
 
 from spanvec.llm.graph import components
 from spanvec.llm.runs import matrix, runs
-from spanvec.session import materialize
+from spanvec.session import discard, materialize
 
 #: Bits of an order, more than the rows of any label tell apart.
 BITS = 40
 WINDOW = 256
 #: Rows of a block of a large component, and neighbours of a node in one task.
 BLOCK = 1024
+#: Nodes of a label that one task of an audit compares.
+AUDITED_ROWS = 8192
 _EDGE = "u bigint, v bigint, cos double"
 
 
@@ -91,15 +93,20 @@ def orders(rows: int, threshold: float, recall: float) -> int:
     Nodes that agree in the first ``depth`` bits are half a step of the windows, so they meet;
     two nodes agree in a bit with the chance that no random plane parts them.
     """
-    depth = max(0, math.ceil(math.log2(max(rows, 1) * 2 / WINDOW)))
+    return _orders_at(max(0, math.ceil(math.log2(max(rows, 1) * 2 / WINDOW))), threshold, recall)
+
+
+def _orders_at(depth: int, threshold: float, recall: float) -> int:
     meet = (1 - math.acos(max(-1.0, min(threshold, 1.0))) / math.pi) ** depth
     return 1 if meet >= 1 else math.ceil(math.log((1 - recall) / 2) / math.log1p(-meet))
 
 
 def first_lists(nodes: DataFrame, k: int, threshold: float, floor: float, tables: int, recall: float, seed: int) -> DataFrame:
     """Neighbours within windows of sorted orders, ``tables`` at least, outside the node's own component."""
-    many = F.udf(lambda n: max(tables, orders(n, threshold, recall)), "int")
-    sizes = materialize(nodes.groupBy("grp").agg(F.count("*").alias("n"))).select("grp", many("n").alias("orders"))
+    by_depth = F.array(*[F.lit(max(tables, _orders_at(depth, threshold, recall))) for depth in range(BITS + 1)])
+    depth = F.ceil(F.log2(F.col("n") * 2 / WINDOW)).cast("int")
+    depth = F.least(F.greatest(depth, F.lit(0)), F.lit(BITS))
+    sizes = nodes.groupBy("grp").agg(F.count("*").alias("n")).select("grp", by_depth[depth].alias("orders"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,7 +216,8 @@ def neighbour_graph(
     for _ in range(rounds if had[0] else 0):
         found = refine(nodes, lists.where("listed"), k, own).where(F.col("cos") >= floor)
         turned = found.select(F.col("v").alias("u"), F.col("u").alias("v"), "cos")
-        lists = materialize(shorten(lists.select("u", "v", "cos").unionByName(found).unionByName(turned), k, threshold))
+        before, lists = lists, materialize(shorten(lists.select("u", "v", "cos").unionByName(found).unionByName(turned), k, threshold))
+        discard(before)
         has = lists.agg(*size).first()
         if has[0] - had[0] <= 1e-3 * has[0] and abs(has[1] - had[1]) <= 1e-4 * abs(has[1]):
             break
@@ -234,46 +242,53 @@ def joined_components(nodes: DataFrame, lists: DataFrame, named: DataFrame | Non
     named = _named(links, named)
     saturated = links.groupBy("x").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     saturated = materialize(nodes.join(saturated, nodes["node"] == saturated["x"], "left_semi"))
+    here = None
     for turn in count(1):
+        if here is not None:
+            discard(here)
         here = saturated.join(named, "node")
         several = here.groupBy("grp").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
         here = materialize(here.join(several, "grp", "left_semi"))
         if here.isEmpty():
             break
-        more = _links(neighbour_graph(here, k=k, threshold=threshold, seed=seed + 1000 * turn, own=lists.where("listed"), **options), threshold)
+        across = neighbour_graph(here, k=k, threshold=threshold, seed=seed + 1000 * turn, own=lists.where("listed"), **options)
+        more = _links(across, threshold)
         if more.isEmpty():
+            discard(across)
             break
-        named = _named(more, named)
+        before, named = named, _named(more, named)
+        discard(across, before)
+    discard(saturated, here)
     return named
 
 
 def audit_counts(nodes: DataFrame, named: DataFrame, threshold: float, rows: int, seed: int, many: int) -> dict[bool, tuple[int, int]]:
     """Links of ``rows`` nodes, found by comparing them with all, and those within a component: of nodes with ``many`` links, and of others."""
-    chosen = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(rows).join(named, "node", "left")
-    chosen = chosen.select("grp", "node", F.coalesce("component", "node").alias("component"), "vec").collect()
-    by_group: dict[int, list] = {}
-    for r in chosen:
-        by_group.setdefault(r.grp, []).append(r)
-    packed = {g: (np.array([r.node for r in rs]), np.array([r.component for r in rs]), np.array([r.vec for r in rs])) for g, rs in by_group.items()}
-    sent = nodes.sparkSession.sparkContext.broadcast(packed)
+    all_named = nodes.join(named, "node", "left").select("grp", "node", F.coalesce("component", "node").alias("component"), "vec")
+    chosen = materialize(nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(rows).select("node"))
+    sizes = nodes.groupBy("grp").agg(F.count("*").alias("n")).select("grp", F.ceil(F.col("n") / AUDITED_ROWS).alias("parts"))
+    dealt = all_named.join(sizes, "grp")
+    asked = dealt.join(chosen, "node", "left_semi")
+    dealt = dealt.join(asked.select("grp").distinct(), "grp", "left_semi")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    left = asked.select("grp", every.alias("part"), F.lit(0).alias("side"), "node", "component", "vec")
+    right = dealt.select("grp", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("parts")).alias("part"), F.lit(1).alias("side"), "node", "component", "vec")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = batch.column(0).to_numpy()
-            for g in np.unique(groups):
-                if g in sent.value:
-                    part = batch.take(pa.array(np.flatnonzero(groups == g)))
-                    own, named_as, vectors = part.column(1).to_numpy()[:, None], part.column(2).to_numpy()[:, None], matrix(part.column(3))
-                    for i in range(0, len(sent.value[g][0]), BLOCK):
-                        ids, component, x = (values[i : i + BLOCK] for values in sent.value[g])
-                        near = (vectors @ x.T >= threshold) & (own != ids)
-                        total, inside = near.sum(0), (near & (named_as == component)).sum(0)
-                        hit = total > 0
-                        yield pa.RecordBatch.from_pydict({"node": pa.array(ids[hit], pa.int64()), "total": pa.array(total[hit], pa.int64()), "inside": pa.array(inside[hit], pa.int64())})
-
-    all_named = nodes.join(named, "node", "left").select("grp", "node", F.coalesce("component", "node").alias("component"), "vec")
-    each = all_named.mapInArrow(compare, "node bigint, total bigint, inside bigint").groupBy("node").agg(F.sum("total").alias("total"), F.sum("inside").alias("inside"))
+        for run in runs(batches, 2):
+            side, node, component = (run.column(i).to_numpy() for i in (2, 3, 4))
+            x, b = matrix(run.column(5)), side == 1
+            asked = np.flatnonzero(side == 0)
+            for i in range(0, len(asked), BLOCK // 2):
+                a = asked[i : i + BLOCK // 2]
+                near = (x[a] @ x[b].T >= threshold) & (node[a][:, None] != node[b])
+                total, inside = near.sum(1), (near & (component[a][:, None] == component[b])).sum(1)
+                yield pa.RecordBatch.from_pydict({"node": pa.array(node[a], pa.int64()), "total": pa.array(total, pa.int64()), "inside": pa.array(inside, pa.int64())})
+
+    blocks = left.unionByName(right).repartition("grp", "part").sortWithinPartitions("grp", "part", "side")
+    each = blocks.mapInArrow(compare, "node bigint, total bigint, inside bigint").groupBy("node").agg(F.sum("total").alias("total"), F.sum("inside").alias("inside"))
     seen = {r.large: (r.total, r.inside) for r in each.groupBy((F.col("total") >= many).alias("large")).agg(F.sum("total").alias("total"), F.sum("inside").alias("inside")).collect()}
+    discard(chosen)
     return {large: seen.get(large, (0, 0)) for large in (False, True)}
 
 
@@ -318,8 +333,10 @@ def near_duplicates(
     size = nodes.count()
     for attempt in range(tries):
         options = {"k": k, "threshold": threshold, "floor": floor, "tables": tables << attempt, "rounds": rounds, "recall": 1 - (1 - recall) / 2**attempt, "seed": seed + attempt}
-        lists = neighbour_graph(nodes, known=lists, **options)
+        known, lists = lists, neighbour_graph(nodes, known=lists, **options)
         named = joined_components(nodes, lists, named, **options)
+        if known is not None:
+            discard(known)
         audited = audit_rows
         while True:
             seen = audit_counts(nodes, named, threshold, audited, seed + attempt, k)
@@ -333,6 +350,7 @@ def near_duplicates(
     links = count_links(nodes, named, threshold)
     table = nodes.select("node", "weight").join(named, "node", "left").join(links, "node", "left")
     table = materialize(table.select("node", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "node").alias("component")))
+    discard(nodes, lists, named)
     found = rows.select("vec_id", "node").join(table, "node", "left")
     first = found.where("component is not null").groupBy("component").agg(F.min("vec_id").alias("first"))
     out = found.join(first, "component", "left").withColumn("component_id", F.coalesce("first", "vec_id"))
