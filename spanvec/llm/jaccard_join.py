@@ -59,6 +59,8 @@ LEVELS = 4
 IDS_TO_SEND = 4_000_000
 #: Sets whose differences a task holds at a time.
 COMPARED_ROWS = 256
+#: Elements of a pivot's differences in a bucket, about.
+BUCKET = 2048
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -304,30 +306,61 @@ def _linked(rule: Jaccard) -> Column:
     return F.col("apart") <= _most_apart(F.col("nx") + F.col("np"), rule)
 
 
+_DEALT = "p bigint, s bigint, x bigint, nx bigint, apart bigint, linked boolean, es array<bigint>"
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``p, s, x, nx, apart, linked, es``: the elements of each difference that fall into bucket ``s`` of its pivot."""
+    for batch in batches:
+        buckets = batch.column("buckets").to_numpy()
+        d = batch.column("d")
+        e = d.flatten().to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), d.value_lengths().to_numpy())
+        bucket = (e.view(np.uint64) % buckets[row].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((bucket, row))
+        e, row, bucket = e[order], row[order], bucket[order]
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])])[: len(e)]
+        starts = np.flatnonzero(new)
+        part = batch.select(["p", "x", "nx", "apart", "linked"]).take(pa.array(row[starts]))
+        es = pa.ListArray.from_arrays(pa.array(np.append(starts, len(e)), pa.int32()), pa.array(e, pa.int64()))
+        columns = {name: part.column(name) for name in ("x", "nx", "apart", "linked")}
+        yield pa.RecordBatch.from_pydict({"p": part.column("p"), "s": pa.array(bucket[starts], pa.int64()), **columns, "es": es})
+
+
 def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
-    """``x, y``: links between sets of one pivot that are not both linked with it."""
-    rows = compared.where("d is not null").select("x", "p", "nx", "apart", "d", _linked(rule).alias("linked"))
-    several = rows.groupBy("p").agg(F.count("*").alias("n"), F.bool_and("linked").alias("all")).where("n > 1 and not all")
-    rows = rows.join(several.select("p"), "p", "left_semi")
-    own = rows.select("p", "x", "nx", "apart", "linked", F.explode("d").alias("e"))
+    """``x, y``: links between sets of one pivot that are not both linked with it.
+
+    Elements move as lists: the elements of a pivot's differences are dealt into buckets of
+    about ``BUCKET``, as many as it needs, so neither a row nor a bucket grows with its group.
+    """
+    linked = _linked(rule).alias("linked")
+    of_pivot = compared.where("d is not null").select("p", "apart", linked).groupBy("p")
+    several = of_pivot.agg(F.count("*").alias("n"), F.bool_and("linked").alias("all"), F.sum("apart").alias("total"))
+    several = _step(several.where("n > 1 and not all").select("p", F.ceil(F.col("total") / BUCKET).alias("buckets")))
+    rows = compared.where("d is not null").select("x", "p", "nx", "apart", "d", linked)
+    dealt = rows.join(several, "p").mapInArrow(_deal, _DEALT).repartition(F.col("p"), F.col("s"))
     # Only elements of several sets, one of them not linked with the pivot, make candidates.
-    alone = F.sum((~F.col("linked")).cast("int"))
-    often = own.groupBy("p", "e").agg(F.count("*").alias("often"), alone.alias("alone")).where("often > 1 and alone > 0").drop("alone")
+    of_element = Window.partitionBy("p", "s", "e")
+    own = dealt.select("p", "s", "x", "nx", "apart", "linked", F.explode("es").alias("e"))
+    own = own.withColumn("often", F.count("*").over(of_element)).withColumn("all", F.bool_and("linked").over(of_element))
+    own = own.where("often > 1 and not all").groupBy("p", "s", "x", "nx", "apart", "linked")
+    shared = own.agg(F.collect_list(F.struct("often", "e")).alias("es")).groupBy("p", "x", "nx", "apart", "linked")
     # The rarest elements come first; the others are known by their number.
-    shared = own.join(often, ["p", "e"])
-    of_set = Window.partitionBy("p", "x")
-    in_order = F.row_number().over(of_set.orderBy("often", "e"))
-    count = F.count("*").over(of_set)
-    shared = shared.withColumn("place", F.col("apart") - count + in_order)
+    shared = shared.agg(F.sort_array(F.flatten(F.collect_list("es"))).alias("es"))
     reach = F.floor(F.col("nx") * (rule.den - rule.num) / F.lit(float(rule.num)) + F.lit(1e-9))
     overlap = F.greatest(F.lit(1), F.col("apart") - reach)
-    prefix = shared.where(F.col("place") <= F.col("apart") - overlap + 1).select("p", "e", "x", "nx", "apart", "linked", "place")
+    leading = (F.size("es") - overlap + 1).cast("int")
+    place = (F.col("apart") - F.col("count") + F.col("at") + 1).alias("place")
+    prefix = shared.withColumn("count", F.size("es")).where(leading > 0)
+    prefix = prefix.select("p", "x", "nx", "apart", "linked", "count", F.posexplode(F.slice("es", F.lit(1), leading)).alias("at", "of"))
+    prefix = prefix.select("p", F.col("of.e").alias("e"), "x", "nx", "apart", "linked", place)
     a, b = prefix.alias("a"), prefix.alias("b")
     rest = F.lit(1) + F.least(F.col("a.apart") - F.col("a.place"), F.col("b.apart") - F.col("b.place"))
     need = F.col("a.apart") + F.col("b.apart") - _most_apart(F.col("a.nx") + F.col("b.nx"), rule)
     met = (F.col("a.p") == F.col("b.p")) & (F.col("a.e") == F.col("b.e")) & (F.col("a.x") < F.col("b.x"))
     met = met & ~(F.col("a.linked") & F.col("b.linked")) & (2 * rest >= need)
     pairs = _step(a.join(b, met).select("a.p", F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct())
+    discard(several)
     of_x = rows.select("p", "x", "nx", F.col("d").alias("dx"))
     of_y = rows.select("p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("d").alias("dy"))
     both = pairs.join(of_x, ["p", "x"]).join(of_y, ["p", "y"])
