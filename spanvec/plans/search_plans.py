@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanvec.functions.vectors import similarity, vec_one_hot
-from spanvec.operators import filters, hybrid, ivf, search, text_index
+from spanvec.operators import filters, hybrid, ivf, radius, search, text_index
 from spanvec.operators.aggregates import vector_mean, vector_mean_parts
 from spanvec.operators.collections import concat_modalities
 from spanvec.operators.search import QuerySet, knn
@@ -164,6 +164,20 @@ def knn_range(spark, sf):
     )
 
 
+@query(
+    "radius_search",
+    f"""WITH {LABEL_Q} SELECT q.query_id, e.id, round({DISTANCE["L2"]}, 6) + 0.0 AS distance
+    FROM e, q WHERE {DISTANCE["L2"]} <= 0.98""",
+)
+def radius_search(spark, sf):
+    rows = collection(spark, sf)
+    pivots = radius.choose_pivots(rows)
+    path = f"{shared_dir(spark)}/radius-{uuid.uuid4().hex}"
+    radius.write_by_pivot(radius.with_pivots(rows.select("id", "vector"), pivots), path)
+    found = radius.radius_search(spark.read.parquet(path), pivots, label_queries(spark, sf), 0.98)
+    return found.select("query_id", "id", r6("distance").alias("distance"))
+
+
 @query(
     "knn_multi_metric",
     f"WITH {LABEL_Q} "
