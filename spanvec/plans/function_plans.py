@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spanvec.functions import text as tx
 from spanvec.functions import vectors as vec
 from spanvec.functions.compare import num_close, vec_close
-from spanvec.operators import providers, search
+from spanvec.operators import pairs, providers, search
 from spanvec.plans.base import collection, query, r6, table
 from spanvec.plans.search_plans import E, LABEL_Q, label_queries
 
@@ -47,8 +47,24 @@ def vec_normalize(spark, sf):
     f"WITH {LABEL_Q} SELECT e.id AS i, q.query_id AS j, round(list_inner_product(e.v, q.v), 6) + 0.0 AS value FROM e, q",
 )
 def vec_dot(spark, sf):
-    pairs = search.pair_matrix(collection(spark, sf), label_queries(spark, sf), "IP")
-    return pairs.select("i", "j", r6("value").alias("value"))
+    products = search.pair_matrix(collection(spark, sf), label_queries(spark, sf), "IP")
+    return products.select("i", "j", r6("value").alias("value"))
+
+
+@query(
+    "pair_products",
+    f"""WITH {E}, p AS (SELECT id AS i, unnest([id + 1, id + 17, id * 2]) AS j FROM e)
+    SELECT p.i, p.j, round(list_distance(a.v, b.v), 6) + 0.0 AS l2,
+      round(list_inner_product(a.v, b.v), 6) + 0.0 AS ip,
+      round(list_cosine_similarity(a.v, b.v), 6) + 0.0 AS cosine
+    FROM p LEFT JOIN e a ON a.id = p.i LEFT JOIN e b ON b.id = p.j""",
+)
+def pair_products(spark, sf):
+    rows = collection(spark, sf)
+    near = F.array(F.col("id") + 1, F.col("id") + 17, F.col("id") * 2)
+    given = rows.select(F.col("id").alias("i"), F.explode(near).alias("j"))
+    found = pairs.pair_products(given, rows, rows)
+    return found.select("i", "j", *(r6(m).alias(m) for m in ("l2", "ip", "cosine")))
 
 
 @query(
@@ -56,8 +72,8 @@ def vec_dot(spark, sf):
     f"WITH {LABEL_Q} SELECT e.id AS i, q.query_id AS j, round(list_cosine_similarity(e.v, q.v), 6) + 0.0 AS value FROM e, q",
 )
 def vec_cosine(spark, sf):
-    pairs = search.pair_matrix(collection(spark, sf), label_queries(spark, sf), "COSINE")
-    return pairs.select("i", "j", r6("value").alias("value"))
+    products = search.pair_matrix(collection(spark, sf), label_queries(spark, sf), "COSINE")
+    return products.select("i", "j", r6("value").alias("value"))
 
 
 @query("vec_concat", f"WITH {E} {long_sql('list_concat(v, list_transform(v, lambda x: x * 2))', 'e')}")
