@@ -65,6 +65,14 @@ def test_against_all_pairs(spark, size, num, den):
     assert Counter(tuple(r) for r in got) == brute(rows, size, num, den)
 
 
+def test_differences_in_many_buckets_of_a_pivot(spark, monkeypatch):
+    monkeypatch.setattr(J, "BUCKET", 16)
+    rows = corpus(11)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = J.jaccard_components(docs, size=5, num=80, den=100).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 5, 80, 100)
+
+
 @pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100), (60, 100)])
 def test_linked_sets_share_a_key(num, den):
     """Light with light, light with heavy, heavy with heavy, across classes and with empty parts."""
