@@ -111,11 +111,18 @@ def drop_partition(df: DataFrame, partition_col: str, names: Sequence[object]) -
     return df.where(~F.coalesce(F.col(partition_col).isin(list(names)), F.lit(False)))
 
 
-def compact_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows and files of a table before and after it was rewritten."""
+def compact_report(before: DataFrame, after: DataFrame, folder: str | None = None) -> DataFrame:
+    """Rows and files of a table before and after it was rewritten.
+
+    All parts of a folder that is named as ``folder`` are one file.
+    """
+    file = F.input_file_name()
+    if folder is not None:
+        part_of = f"/{folder}/"
+        file = F.when(F.locate(part_of, file) > 0, F.substring_index(file, part_of, 1)).otherwise(file)
 
     def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.input_file_name().alias("file")).groupBy("file").agg(
+        return df.select(file.alias("file")).groupBy("file").agg(
             F.count("*").alias("n")
         ).agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count("*").alias("file_count")

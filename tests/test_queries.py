@@ -43,3 +43,11 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 50
+
+
+def test_compact_report_of_a_table_in_parts(spark, tmp_path):
+    spark.read.parquet(f"{SMALL}/embeddings.parquet").repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    df = QUERIES["compact_report"](spark, str(tmp_path))
+    assert rows(df.columns, df.collect()) == rows(df.columns, db.execute(ORACLES["compact_report"]).fetchall())
