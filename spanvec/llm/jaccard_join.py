@@ -59,8 +59,8 @@ LEVELS = 4
 IDS_TO_SEND = 4_000_000
 #: Sets whose differences a task holds at a time.
 COMPARED_ROWS = 256
-#: Elements of a pivot's differences in a bucket, about.
-BUCKET = 2048
+#: Buckets that the elements of a pivot's differences are dealt into, for a group of any size.
+BUCKET = 16
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -312,11 +312,10 @@ _DEALT = "p bigint, s bigint, x bigint, nx bigint, apart bigint, linked boolean,
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``p, s, x, nx, apart, linked, es``: the elements of each difference that fall into bucket ``s`` of its pivot."""
     for batch in batches:
-        buckets = batch.column("buckets").to_numpy()
         d = batch.column("d")
         e = d.flatten().to_numpy()
         row = np.repeat(np.arange(batch.num_rows), d.value_lengths().to_numpy())
-        bucket = (e.view(np.uint64) % buckets[row].astype(np.uint64)).astype(np.int64)
+        bucket = (e.view(np.uint64) % np.uint64(BUCKET)).astype(np.int64)
         order = np.lexsort((bucket, row))
         e, row, bucket = e[order], row[order], bucket[order]
         new = np.concatenate([[True], (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])])[: len(e)]
@@ -330,13 +329,14 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     """``x, y``: links between sets of one pivot that are not both linked with it.
 
-    Elements move as lists: the elements of a pivot's differences are dealt into buckets of
-    about ``BUCKET``, as many as it needs, so neither a row nor a bucket grows with its group.
+    Elements move as lists: the elements of a difference are dealt into ``BUCKET`` rows at
+    most, however large its group, so the rows grow with the sets. A bucket is sorted and
+    streamed, never held.
     """
     linked = _linked(rule).alias("linked")
     of_pivot = compared.where("d is not null").select("p", "apart", linked).groupBy("p")
-    several = of_pivot.agg(F.count("*").alias("n"), F.bool_and("linked").alias("all"), F.sum("apart").alias("total"))
-    several = _step(several.where("n > 1 and not all").select("p", F.ceil(F.col("total") / BUCKET).alias("buckets")))
+    several = of_pivot.agg(F.count("*").alias("n"), F.bool_and("linked").alias("all"))
+    several = _step(several.where("n > 1 and not all").select("p"))
     rows = compared.where("d is not null").select("x", "p", "nx", "apart", "d", linked)
     dealt = rows.join(several, "p").mapInArrow(_deal, _DEALT).repartition(F.col("p"), F.col("s"))
     # Only elements of several sets, one of them not linked with the pivot, make candidates.

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -144,3 +146,26 @@ def test_one_id_with_two_texts_stays_twice(spark):
     kept = J.one_of_each(docs)
     assert kept.columns == docs.columns
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (1, b), (4, None), (4, "")])
+
+
+def test_dealt_rows_grow_with_the_sets_of_a_group_only(spark, rng, tmp_path, monkeypatch):
+    deal = J._deal
+
+    def links(sets):
+        """Rows that differences from one pivot are dealt into."""
+        seen = tmp_path / str(sets)
+        seen.mkdir()
+
+        def counted(batches):
+            for i, batch in enumerate(deal(batches)):
+                (seen / f"{os.getpid()}-{time.time_ns()}-{i}").write_text(str(batch.num_rows))
+                yield batch
+
+        monkeypatch.setattr(J, "_deal", counted)
+        rows = [(x, 0, 100, 100, 60, [int(e) for e in rng.integers(0, 2**62, 60)]) for x in range(1, sets + 1)]
+        compared = spark.createDataFrame(rows, "x bigint, p bigint, nx bigint, np bigint, apart bigint, d array<bigint>")
+        assert J.links_by_difference(compared, J.Jaccard(80, 100)).count() == 0
+        return sum(int(f.read_text()) for f in seen.iterdir())
+
+    few, many = links(20), links(640)
+    assert 20 <= few and many <= 1.1 * 32 * few
