@@ -57,8 +57,9 @@ CLASS_GROWTH = 1.25
 LEVELS = 4
 #: As many ids are sent to the scan of the texts; for more, the texts are shuffled to them.
 IDS_TO_SEND = 4_000_000
-#: Sets whose differences a task holds at a time.
+#: Sets whose differences a task holds at a time, and bytes of their texts, one text at least.
 COMPARED_ROWS = 256
+COMPARED_BYTES = 1 << 20
 #: Buckets that the elements of a pivot's differences are dealt into, for a group of any size.
 BUCKET = 16
 
@@ -251,24 +252,26 @@ def read_entries(docs: DataFrame, size: int, rule: Jaccard) -> DataFrame:
     return texts.mapInArrow(run, "fp bigint, keys array<bigint>").select(F.explode("keys").alias("key"), "fp")
 
 
-def elements(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """``fp, h``: the elements of the sets of some documents, read from the texts again."""
+def texts_by_set(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """``fp, text``: a text of each set of some documents; it takes less room than the set's elements."""
     texts = docs.select("doc_id", F.col("text").cast("string"))
     few = ids.count() <= IDS_TO_SEND
     texts = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in texts_of(batches, 0):
-            sets = [h for h in shingle_sets(texts, size) if len(h)]
-            yield pa.RecordBatch.from_pydict({"fp": pa.array([fingerprint(h) for h in sets], pa.int64()), "h": _lists(sets)})
+        for part, texts in texts_of(batches, 0):
+            sets = shingle_sets(texts, size)
+            prints = pa.array([fingerprint(h) if len(h) else None for h in sets], pa.int64())
+            yield pa.RecordBatch.from_pydict({"fp": prints, "text": part.column(0)})
 
-    return texts.mapInArrow(run, "fp bigint, h array<bigint>")
+    named = texts.mapInArrow(run, "fp bigint, text string").where("fp is not null")
+    return named.groupBy("fp").agg(F.first("text").alias("text"))
 
 
 _COMPARED = "x bigint, p bigint, nx bigint, np bigint, apart bigint, d array<bigint>, keys array<bigint>"
 
 
-def _compare(rule: Jaccard, last: bool):
+def _compare(rule: Jaccard, size: int, last: bool):
     """What a set and its pivot do not share, if that is little, and new keys, if it is much.
 
     Let the pivot have n elements. A set within ``near`` of it and one beyond ``far``
@@ -277,11 +280,12 @@ def _compare(rule: Jaccard, last: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Differences are handed on a few at a time: a row may hold thousands of elements.
-        for batch in (b.slice(at, COMPARED_ROWS) for b in batches for at in range(0, b.num_rows, COMPARED_ROWS)):
-            x, p, hx, hp = (batch.column(i) for i in range(4))
+        parts = (batch.slice(at, COMPARED_ROWS) for batch in batches for at in range(0, batch.num_rows, COMPARED_ROWS))
+        for batch, texts in texts_of(parts, 2, COMPARED_BYTES):
+            x, p = batch.column(0), batch.column(1)
+            sets, of_pivots = shingle_sets(texts, size), shingle_sets(batch.column(3).to_pylist(), size)
             rows: list[tuple] = []
-            for pivot, a, b in zip(p.to_pylist(), hx, hp, strict=True):
-                own, other = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)
+            for pivot, own, other in zip(p.to_pylist(), sets, of_pivots, strict=True):
                 apart = np.setxor1d(own, other, assume_unique=True)
                 near = 2 * len(other) * (rule.den - rule.num) // rule.num
                 far = near + (len(other) + near) * (rule.den - rule.num) // rule.num + 1
@@ -404,11 +408,10 @@ def compare_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int,
     ends = pairs.select(F.col("x").alias("fp")).unionByName(pairs.select(F.col("p").alias("fp"))).distinct()
     ids = sets.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp", "left_semi")
     wanted = materialize(ids.select("doc_id").distinct())
-    found = elements(docs, wanted, size)
-    found = found.groupBy("fp").agg(F.first("h").alias("h"))
-    by_pivot = pairs.join(found.select(F.col("fp").alias("p"), F.col("h").alias("hp")), "p")
-    both = by_pivot.join(found.select(F.col("fp").alias("x"), F.col("h").alias("hx")), "x").select("x", "p", "hx", "hp")
-    compared = _step(both.mapInArrow(_compare(rule, last), _COMPARED))
+    found = texts_by_set(docs, wanted, size)
+    by_pivot = pairs.join(found.select(F.col("fp").alias("p"), F.col("text").alias("tp")), "p")
+    both = by_pivot.join(found.select(F.col("fp").alias("x"), F.col("text").alias("tx")), "x").select("x", "p", "tx", "tp")
+    compared = _step(both.mapInArrow(_compare(rule, size, last), _COMPARED))
     discard(wanted)
     return compared
 
