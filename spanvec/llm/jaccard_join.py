@@ -13,6 +13,12 @@ which are scanned. Parts that hold nothing would agree by chance: a few more par
 than needed make up for them, and a set with still more empty ones is cut anew
 by another hash.
 
+*Lists by chance.* Two sets that share no more than a common passage agree in a part or
+two by chance, the more often the more documents there are. So large sets are cut into
+``2 * free`` more parts: linked sets share at least ``2 * free + 1`` lists of one kind (class
+and cut), and each set may leave ``free`` of them unread, those whose pivots it meets
+least often. One list that both read is left.
+
 The *boundary* is the smallest size at which the subsets of a set cost more than its
 entries in the lists, an entry counting ``LIST_COST`` subsets as its sets have to
 be compared.
@@ -55,6 +61,10 @@ from spanvec.session import discard, materialize
 LIST_COST = 4
 CLASS_GROWTH = 1.25
 LEVELS = 4
+#: Lists of a kind that a set may leave unread, as a share of the parts that linked sets can differ in.
+FREE = 0.05
+#: The last byte of a key names its kind: class (the last ones together) and cut, or a subset.
+KIND, SUBSET = 255, 255
 #: As many ids are sent to the scan of the texts; for more, the texts are shuffled to them.
 IDS_TO_SEND = 4_000_000
 #: Sets whose differences a task holds at a time, and bytes of their texts, one text at least.
@@ -129,17 +139,27 @@ class Jaccard:
         need = {-(-self.num * (n + b) // (self.num + self.den)) for b in self.partners(n) if b < below}
         return {c for c in need if 0 < c <= n}
 
-    def classes(self, largest: int) -> list[tuple[int, int, int, int]]:
-        """``first, last, parts, spare``: for linked pairs whose smaller set has ``first`` to ``last`` elements."""
+    def classes(self, largest: int) -> list[tuple[int, int, int, int, int]]:
+        """``first, last, parts, spare, free``: for linked pairs whose smaller set has ``first`` to ``last`` elements."""
         out, first = [], max(1, -(-heavy_from(self) * self.num // self.den))
         while first <= largest:
             last = int(first * CLASS_GROWTH)
             apart = last * (self.den - self.num) // self.num
-            spare = math.ceil(2 * (apart + 1) * math.exp(-first / (apart + 1)))
-            out.append((first, last, apart + 1 + spare, spare))
+            free = int((apart + 1) * FREE + 0.5)
+            needed = apart + 1 + 2 * free
+            spare = math.ceil(2 * needed * math.exp(-first / needed))
+            out.append((first, last, needed + spare, spare, free))
             first = last + 1
         return out
 
+    def free_of_kinds(self) -> list[int]:
+        """How many lists of each kind a set may leave unread; none of the subsets."""
+        first, free = 0, []
+        while len(free) * LEVELS < KIND:
+            first = first * 2 or 64
+            free = [c[4] for c in self.classes(first)]
+        return [free[kind // LEVELS] if kind // LEVELS < KIND // LEVELS else 0 for kind in range(KIND + 1)]
+
 
 @lru_cache
 def heavy_from(rule: Jaccard) -> int:
@@ -159,8 +179,13 @@ def _subset_sizes(rule: Jaccard, n: int) -> tuple[int, ...]:
 
 @lru_cache
 def _classes_of(rule: Jaccard, n: int) -> tuple[tuple[int, int, int, int], ...]:
-    """The classes in which a set of ``n`` may be the smaller or the larger one."""
-    return tuple(c for c in rule.classes(n) if c[0] <= n <= c[1] * rule.den // rule.num)
+    """``kind, first, parts, spare`` of the classes in which a set of ``n`` may be the smaller or the larger one."""
+    classes = enumerate(rule.classes(n))
+    return tuple((LEVELS * min(i, KIND // LEVELS - 1), c[0], *c[2:4]) for i, c in classes if c[0] <= n <= c[1] * rule.den // rule.num)
+
+
+def _of_kind(key: np.ndarray, kind: int | np.ndarray) -> np.ndarray:
+    return (key & ~np.uint64(KIND)) | np.asarray(kind, np.uint64)
 
 
 def _whole(h: np.ndarray) -> np.uint64:
@@ -185,14 +210,14 @@ def light_keys(h: np.ndarray, rule: Jaccard) -> np.ndarray:
         else:
             rows = np.array(list(itertools.combinations(range(n), left_out)))
             sums = total - np.add.reduce(terms[rows], 1)
-        out.append(mix(sums, 1000 + c))
+        out.append(_of_kind(mix(sums, 1000 + c), SUBSET))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def heavy_keys(h: np.ndarray, rule: Jaccard, cut: int = 0) -> np.ndarray:
     """A key for each part of the set, for each class of sizes it may meet, under the first or another cut."""
     out = []
-    for first, _, parts, spare in _classes_of(rule, len(h)):
+    for kind, first, parts, spare in _classes_of(rule, len(h)):
         edges = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
         for level in range(cut * LEVELS, (cut + 1) * LEVELS):
             g = h if level == 0 else np.sort(mix(h, 200 + level))
@@ -200,6 +225,7 @@ def heavy_keys(h: np.ndarray, rule: Jaccard, cut: int = 0) -> np.ndarray:
             sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(g, 99))])
             count = np.diff(at)
             key = mix(sums[at[1:]] - sums[at[:-1]] + mix(count.astype(np.uint64), 3) + mix(np.arange(parts, dtype=np.uint64), first), 2000 + level)
+            key = _of_kind(key, kind + level % LEVELS)
             # Empty parts only count where every cut has had too many of them.
             all_count = level % LEVELS == LEVELS - 1
             out.append(key if all_count else key[count > 0])
@@ -292,7 +318,8 @@ def _compare(rule: Jaccard, size: int, last: bool):
                 again = None
                 if len(apart) > near and not last:
                     of_pivot = mix(np.array([pivot], np.int64).view(np.uint64), 7)
-                    again = mix(keys(own, rule, 1) ^ of_pivot, 8).view(np.int64)
+                    cut = keys(own, rule, 1)
+                    again = _of_kind(mix(cut ^ of_pivot, 8), cut & np.uint64(KIND)).view(np.int64)
                 rows.append((len(own), len(other), len(apart), apart.view(np.int64) if last or len(apart) <= far else None, again))
             nx, n_p, apart, d, again = zip(*rows, strict=True) if rows else [()] * 5
             kind = pa.list_(pa.int64())
@@ -383,10 +410,11 @@ def _step(df: DataFrame) -> DataFrame:
     return out
 
 
-def pivot_pairs(entries: DataFrame) -> DataFrame:
-    """``x, p``: each set and the pivot of each list that it shares with another set.
+def pivot_pairs(entries: DataFrame, rule: Jaccard) -> DataFrame:
+    """``x, p``: each set and the pivot of each list that it shares with another set and reads.
 
-    The entries are dealt out once, for the count of each list and for its entries. A
+    Of each kind a set leaves as many lists unread as linked sets can spare, pivots of
+    the fewest lists first. The entries are dealt out once, for the count of each list and for its entries. A
     document has many entries and a list at most one of them, so even a list that a third
     of all documents share is a small part of the rows; it is streamed, never held.
     """
@@ -399,7 +427,12 @@ def pivot_pairs(entries: DataFrame) -> DataFrame:
     discard(listed)
     best = shared.groupBy("key").agg(F.max(F.struct("home", "fp")).alias("best"))
     pivots = best.select("key", F.col("best.fp").alias("p"))
-    pairs = _step(shared.join(pivots, "key").where("fp <> p").select(F.col("fp").alias("x"), "p").distinct())
+    kind = F.col("key").bitwiseAND(F.lit(KIND)).cast("int").alias("kind")
+    lists = shared.join(pivots, "key").where("fp <> p").groupBy("fp", kind, "p").agg(F.count("*").alias("lists"))
+    fewest = Window.partitionBy("fp", "kind").orderBy("lists", "p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    free = F.element_at(F.lit(rule.free_of_kinds()), F.col("kind") + 1)
+    read = lists.withColumn("upto", F.sum("lists").over(fewest)).where(F.col("upto") > free)
+    pairs = _step(read.select(F.col("fp").alias("x"), "p").distinct())
     discard(shared)
     return pairs
 
@@ -420,7 +453,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> D
     """``id, component`` of the fingerprints that have links."""
     entries, links, compared = read_entries(docs, size, rule), [], None
     for last in (False, True):
-        pairs, before = pivot_pairs(entries), compared
+        pairs, before = pivot_pairs(entries, rule), compared
         compared = compare_pairs(docs, sets, pairs, size, rule, last)
         by_difference = links_by_difference(compared, rule)
         links.append(_step(compared.where(_linked(rule)).select("x", F.col("p").alias("y")).unionByName(by_difference)))

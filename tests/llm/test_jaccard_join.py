@@ -169,3 +169,42 @@ def test_dealt_rows_grow_with_the_sets_of_a_group_only(spark, rng, tmp_path, mon
 
     few, many = links(20), links(640)
     assert 20 <= few and many <= 1.1 * 32 * few
+
+
+@pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100), (60, 100)])
+def test_linked_sets_share_a_list_that_both_read(num, den):
+    """As far apart as linked sets can be, they share two lists more than both may leave unread."""
+    rule, rng = J.Jaccard(num, den), np.random.default_rng(4)
+    free = np.array(rule.free_of_kinds())
+    assert free.max() > 0 and free[J.SUBSET] == 0
+    for n in (40, 65, 100, 180, 400, 1500, 6000):
+        for cut in (0, 1):
+            a = rng.integers(0, 2**64, n, np.uint64)
+            lost = rule.most_apart(2 * n) // 2
+            b = np.concatenate([a[lost:], rng.integers(0, 2**64, lost, np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            assert den * len(np.intersect1d(a, b)) >= num * len(np.union1d(a, b))
+            shared = np.intersect1d(J.keys(a, rule, cut), J.keys(b, rule, cut)) & np.uint64(J.KIND)
+            assert any((shared == kind).sum() >= 2 * free[int(kind)] + 1 for kind in np.unique(shared))
+
+
+def test_a_common_passage_alone_is_not_compared(spark, monkeypatch):
+    """Documents of their own words that share a passage meet by chance in few lists; near copies still link."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for i in range(300):
+        own = [f"d{i}_{j}" for j in range(200)]
+        rows.append((i, " ".join(own[:100] + passage + own[100:])))
+    rows += [(1000 + i, edited(rows[i][1].split(), rng, 3)) for i in range(0, 300, 10)]
+    compared, compare = [], J.compare_pairs
+
+    def spy(docs, sets, pairs, *args):
+        compared.append(pairs.count())
+        return compare(docs, sets, pairs, *args)
+
+    monkeypatch.setattr(J, "compare_pairs", spy)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = J.jaccard_components(docs, size=5, num=80, den=100).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 5, 80, 100)
+    assert 30 <= sum(compared) <= 60
