@@ -67,9 +67,10 @@ FREE = 0.05
 KIND, SUBSET = 255, 255
 #: As many ids are sent to the scan of the texts; for more, the texts are shuffled to them.
 IDS_TO_SEND = 4_000_000
-#: Sets whose differences a task holds at a time, and bytes of their texts, one text at least.
+#: Sets whose differences a task holds at a time.
 COMPARED_ROWS = 256
-COMPARED_BYTES = 1 << 20
+#: Bytes of text that are cut into n-grams at a time, one text at least; the arrays take a multiple.
+TEXT_BYTES = 1 << 20
 #: Buckets that the elements of a pivot's differences are dealt into, for a group of any size.
 BUCKET = 16
 
@@ -257,7 +258,7 @@ def read_sets(docs: DataFrame, size: int) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in texts_of(batches, 2):
+        for part, texts in texts_of(batches, 2, TEXT_BYTES):
             sets = shingle_sets(texts, size)
             sizes, prints = pa.array([len(h) for h in sets], pa.int64()), pa.array([fingerprint(h) for h in sets], pa.int64())
             yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "hash": part.column(1), "n": sizes, "fp": prints})
@@ -269,7 +270,7 @@ def read_entries(docs: DataFrame, size: int, rule: Jaccard) -> DataFrame:
     """``key, fp``: the subsets and parts of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in texts_of(batches, 0):
+        for _, texts in texts_of(batches, 0, TEXT_BYTES):
             sets = shingle_sets(texts, size)
             prints = pa.array([fingerprint(h) for h in sets], pa.int64())
             yield pa.RecordBatch.from_pydict({"fp": prints, "keys": _lists([keys(h, rule) for h in sets])})
@@ -285,7 +286,7 @@ def texts_by_set(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     texts = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in texts_of(batches, 0):
+        for part, texts in texts_of(batches, 0, TEXT_BYTES):
             sets = shingle_sets(texts, size)
             prints = pa.array([fingerprint(h) if len(h) else None for h in sets], pa.int64())
             yield pa.RecordBatch.from_pydict({"fp": prints, "text": part.column(0)})
@@ -307,7 +308,7 @@ def _compare(rule: Jaccard, size: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Differences are handed on a few at a time: a row may hold thousands of elements.
         parts = (batch.slice(at, COMPARED_ROWS) for batch in batches for at in range(0, batch.num_rows, COMPARED_ROWS))
-        for batch, texts in texts_of(parts, 2, COMPARED_BYTES):
+        for batch, texts in texts_of(parts, 2, TEXT_BYTES):
             x, p = batch.column(0), batch.column(1)
             sets, of_pivots = shingle_sets(texts, size), shingle_sets(batch.column(3).to_pylist(), size)
             rows: list[tuple] = []
