@@ -31,8 +31,10 @@ they can only link if the differences overlap, by a number that follows from the
 sizes: the differences, rarest element first, are joined on their leading elements
 (prefix and position filter), and the survivors compared exactly. So a group of
 near copies costs its size, not its square, and no link is lost. Sets far from
-their pivot, which share little but a common passage with it, meet again under keys
-of the pivot and of another cut.
+their pivot, which share little but a common passage with it, meet again under another
+cut, once for all such pivots. They agree by chance most of all, in each list with another
+set, so that cut has small parts, of ``PART`` elements, and more of them are left unread: a
+pivot takes a good share of a set's lists, and few pivots are left however large the group.
 
 Defined results for odd input: a NULL, empty or blank text has the empty set, is
 linked with nothing and its component is its own id; a row without an id links
@@ -63,6 +65,8 @@ CLASS_GROWTH = 1.25
 LEVELS = 4
 #: Lists of a kind that a set may leave unread, as a share of the parts that linked sets can differ in.
 FREE = 0.05
+#: Elements in a part of the second cut, where linked sets can spare as many parts.
+PART = 3
 #: The last byte of a key names its kind: class (the last ones together) and cut, or a subset.
 KIND, SUBSET = 255, 255
 #: As many ids are sent to the scan of the texts; for more, the texts are shuffled to them.
@@ -72,7 +76,7 @@ COMPARED_ROWS = 256
 #: Bytes of text that are cut into n-grams at a time, one text at least; the arrays take a multiple.
 TEXT_BYTES = 1 << 20
 #: Buckets that the elements of a pivot's differences are dealt into, for a group of any size.
-BUCKET = 16
+BUCKET = 8
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -140,25 +144,27 @@ class Jaccard:
         need = {-(-self.num * (n + b) // (self.num + self.den)) for b in self.partners(n) if b < below}
         return {c for c in need if 0 < c <= n}
 
-    def classes(self, largest: int) -> list[tuple[int, int, int, int, int]]:
+    def classes(self, largest: int, cut: int = 0) -> list[tuple[int, int, int, int, int]]:
         """``first, last, parts, spare, free``: for linked pairs whose smaller set has ``first`` to ``last`` elements."""
         out, first = [], max(1, -(-heavy_from(self) * self.num // self.den))
         while first <= largest:
             last = int(first * CLASS_GROWTH)
             apart = last * (self.den - self.num) // self.num
             free = int((apart + 1) * FREE + 0.5)
+            if cut:
+                free = max(free, (first // PART - apart - 1) // 2)
             needed = apart + 1 + 2 * free
             spare = math.ceil(2 * needed * math.exp(-first / needed))
             out.append((first, last, needed + spare, spare, free))
             first = last + 1
         return out
 
-    def free_of_kinds(self) -> list[int]:
+    def free_of_kinds(self, cut: int = 0) -> list[int]:
         """How many lists of each kind a set may leave unread; none of the subsets."""
         first, free = 0, []
         while len(free) * LEVELS < KIND:
             first = first * 2 or 64
-            free = [c[4] for c in self.classes(first)]
+            free = [c[4] for c in self.classes(first, cut)]
         return [free[kind // LEVELS] if kind // LEVELS < KIND // LEVELS else 0 for kind in range(KIND + 1)]
 
 
@@ -179,9 +185,9 @@ def _subset_sizes(rule: Jaccard, n: int) -> tuple[int, ...]:
 
 
 @lru_cache
-def _classes_of(rule: Jaccard, n: int) -> tuple[tuple[int, int, int, int], ...]:
+def _classes_of(rule: Jaccard, n: int, cut: int) -> tuple[tuple[int, int, int, int], ...]:
     """``kind, first, parts, spare`` of the classes in which a set of ``n`` may be the smaller or the larger one."""
-    classes = enumerate(rule.classes(n))
+    classes = enumerate(rule.classes(n, cut))
     return tuple((LEVELS * min(i, KIND // LEVELS - 1), c[0], *c[2:4]) for i, c in classes if c[0] <= n <= c[1] * rule.den // rule.num)
 
 
@@ -218,7 +224,7 @@ def light_keys(h: np.ndarray, rule: Jaccard) -> np.ndarray:
 def heavy_keys(h: np.ndarray, rule: Jaccard, cut: int = 0) -> np.ndarray:
     """A key for each part of the set, for each class of sizes it may meet, under the first or another cut."""
     out = []
-    for kind, first, parts, spare in _classes_of(rule, len(h)):
+    for kind, first, parts, spare in _classes_of(rule, len(h), cut):
         edges = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
         for level in range(cut * LEVELS, (cut + 1) * LEVELS):
             g = h if level == 0 else np.sort(mix(h, 200 + level))
@@ -312,15 +318,13 @@ def _compare(rule: Jaccard, size: int, last: bool):
             x, p = batch.column(0), batch.column(1)
             sets, of_pivots = shingle_sets(texts, size), shingle_sets(batch.column(3).to_pylist(), size)
             rows: list[tuple] = []
-            for pivot, own, other in zip(p.to_pylist(), sets, of_pivots, strict=True):
+            for own, other in zip(sets, of_pivots, strict=True):
                 apart = np.setxor1d(own, other, assume_unique=True)
                 near = 2 * len(other) * (rule.den - rule.num) // rule.num
                 far = near + (len(other) + near) * (rule.den - rule.num) // rule.num + 1
                 again = None
                 if len(apart) > near and not last:
-                    of_pivot = mix(np.array([pivot], np.int64).view(np.uint64), 7)
-                    cut = keys(own, rule, 1)
-                    again = _of_kind(mix(cut ^ of_pivot, 8), cut & np.uint64(KIND)).view(np.int64)
+                    again = keys(own, rule, 1).view(np.int64)
                 rows.append((len(own), len(other), len(apart), apart.view(np.int64) if last or len(apart) <= far else None, again))
             nx, n_p, apart, d, again = zip(*rows, strict=True) if rows else [()] * 5
             kind = pa.list_(pa.int64())
@@ -385,14 +389,15 @@ def links_by_difference(compared: DataFrame, rule: Jaccard) -> DataFrame:
     place = (F.col("apart") - F.col("count") + F.col("at") + 1).alias("place")
     prefix = shared.withColumn("count", F.size("es")).where(leading > 0)
     prefix = prefix.select("p", "x", "nx", "apart", "linked", "count", F.posexplode(F.slice("es", F.lit(1), leading)).alias("at", "of"))
-    prefix = prefix.select("p", F.col("of.e").alias("e"), "x", "nx", "apart", "linked", place)
+    # Written, as both sides of a join may each explode the differences anew.
+    prefix = _step(prefix.select("p", F.col("of.e").alias("e"), "x", "nx", "apart", "linked", place))
     a, b = prefix.alias("a"), prefix.alias("b")
     rest = F.lit(1) + F.least(F.col("a.apart") - F.col("a.place"), F.col("b.apart") - F.col("b.place"))
     need = F.col("a.apart") + F.col("b.apart") - _most_apart(F.col("a.nx") + F.col("b.nx"), rule)
     met = (F.col("a.p") == F.col("b.p")) & (F.col("a.e") == F.col("b.e")) & (F.col("a.x") < F.col("b.x"))
     met = met & ~(F.col("a.linked") & F.col("b.linked")) & (2 * rest >= need)
     pairs = _step(a.join(b, met).select("a.p", F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct())
-    discard(several)
+    discard(several, prefix)
     of_x = rows.select("p", "x", "nx", F.col("d").alias("dx"))
     of_y = rows.select("p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("d").alias("dy"))
     both = pairs.join(of_x, ["p", "x"]).join(of_y, ["p", "y"])
@@ -411,7 +416,7 @@ def _step(df: DataFrame) -> DataFrame:
     return out
 
 
-def pivot_pairs(entries: DataFrame, rule: Jaccard) -> DataFrame:
+def pivot_pairs(entries: DataFrame, rule: Jaccard, cut: int = 0) -> DataFrame:
     """``x, p``: each set and the pivot of each list that it shares with another set and reads.
 
     Of each kind a set leaves as many lists unread as linked sets can spare, pivots of
@@ -431,7 +436,7 @@ def pivot_pairs(entries: DataFrame, rule: Jaccard) -> DataFrame:
     kind = F.col("key").bitwiseAND(F.lit(KIND)).cast("int").alias("kind")
     lists = shared.join(pivots, "key").where("fp <> p").groupBy("fp", kind, "p").agg(F.count("*").alias("lists"))
     fewest = Window.partitionBy("fp", "kind").orderBy("lists", "p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    free = F.element_at(F.lit(rule.free_of_kinds()), F.col("kind") + 1)
+    free = F.element_at(F.lit(rule.free_of_kinds(cut)), F.col("kind") + 1)
     read = lists.withColumn("upto", F.sum("lists").over(fewest)).where(F.col("upto") > free)
     pairs = _step(read.select(F.col("fp").alias("x"), "p").distinct())
     discard(shared)
@@ -454,12 +459,12 @@ def linked_sets(docs: DataFrame, sets: DataFrame, size: int, rule: Jaccard) -> D
     """``id, component`` of the fingerprints that have links."""
     entries, links, compared = read_entries(docs, size, rule), [], None
     for last in (False, True):
-        pairs, before = pivot_pairs(entries, rule), compared
+        pairs, before = pivot_pairs(entries, rule, int(last)), compared
         compared = compare_pairs(docs, sets, pairs, size, rule, last)
         by_difference = links_by_difference(compared, rule)
         links.append(_step(compared.where(_linked(rule)).select("x", F.col("p").alias("y")).unionByName(by_difference)))
-        # Sets that are far from their pivot meet again at a pivot and a part under another cut.
-        entries = compared.where("keys is not null").select(F.explode("keys").alias("key"), F.col("x").alias("fp"))
+        # Sets that are far from a pivot meet again under another cut; a set has the same keys at each of its pivots.
+        entries = compared.where("keys is not null").select("x", "keys").dropDuplicates(["x"]).select(F.explode("keys").alias("key"), F.col("x").alias("fp"))
         discard(pairs, *([before] if before is not None else []))
     discard(compared)
     return components(reduce(DataFrame.unionByName, links))

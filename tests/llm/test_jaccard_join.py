@@ -208,3 +208,37 @@ def test_a_common_passage_alone_is_not_compared(spark, monkeypatch):
     got = J.jaccard_components(docs, size=5, num=80, den=100).collect()
     assert Counter(tuple(r) for r in got) == brute(rows, 5, 80, 100)
     assert 30 <= sum(compared) <= 60
+
+
+def test_sets_far_from_their_pivots_are_compared_with_few_others(spark, monkeypatch):
+    """Documents edited from one text, too far apart to link, agree in lists by chance; near copies still link."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, edited(base, rng, 13)) for i in range(160)]
+    rows += [(1000 + i, edited(rows[i][1].split(), rng, 1)) for i in range(0, 160, 10)]
+    compared, compare = [], J.compare_pairs
+
+    def spy(docs, sets, pairs, *args):
+        compared.append(pairs.count())
+        return compare(docs, sets, pairs, *args)
+
+    monkeypatch.setattr(J, "compare_pairs", spy)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = J.jaccard_components(docs, size=3, num=90, den=100).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 3, 90, 100)
+    assert compared[1] <= 3 * len(rows)
+
+
+def test_linked_sets_share_a_list_of_the_second_cut_that_both_read():
+    """It leaves more lists unread than the first, and linked sets share as many more."""
+    rule, rng = J.Jaccard(90, 100), np.random.default_rng(6)
+    free = np.array(rule.free_of_kinds(1))
+    assert free[J.SUBSET] == 0 and (free >= np.array(rule.free_of_kinds())).all()
+    for n in [*range(25, 60), 100, 180, 400, 1500, 6000]:
+        for _ in range(5):
+            a = rng.integers(0, 2**64, n, np.uint64)
+            lost = rule.most_apart(2 * n) // 2
+            b = np.concatenate([a[lost:], rng.integers(0, 2**64, lost, np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            shared = np.intersect1d(J.keys(a, rule, 1), J.keys(b, rule, 1)) & np.uint64(J.KIND)
+            assert any((shared == kind).sum() >= 2 * free[int(kind)] + 1 for kind in np.unique(shared))
